@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions.barrier import with_computed
 from newsloom.functions.text import MIN_TITLE_CHARS, normalise, word_count
@@ -52,15 +53,8 @@ def clean_articles(entries: DataFrame, profiles: DataFrame, order: list[str]) ->
         "kept",
     )
     spoken = detect_language(kept, profiles, "url", "_text", "language")
-    extra = [c for c in order if c not in CLEAN_ARTICLES.fieldNames()]
-    aligned = align(spoken.withColumn("is_clean", F.lit(True)), CLEAN_ARTICLES) if not extra else spoken.withColumn(
-        "is_clean", F.lit(True)
-    ).select(
-        *extra,
-        *[(F.col(f.name) if f.name in spoken.columns or f.name == "is_clean" else F.lit(None)).cast(f.dataType).alias(f.name)
-          for f in CLEAN_ARTICLES.fields],
-    )
-    return aligned
+    extra = [f for f in kept.schema.fields if f.name in order and f.name not in CLEAN_ARTICLES.fieldNames()]
+    return align(spoken.withColumn("is_clean", F.lit(True)), T.StructType(extra + CLEAN_ARTICLES.fields))
 
 
 def cleaning_counters(entries: DataFrame, order: list[str]) -> DataFrame:
