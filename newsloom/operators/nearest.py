@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.barrier import with_computed
 from newsloom.functions.features import cosine, set_cosine
 from newsloom.operators.joins import skew_safe_join
 from newsloom.session import stage
@@ -407,23 +408,26 @@ def _cell_join(queries, groups, threshold, earlier, probes, pivots) -> DataFrame
 # --- one query ---------------------------------------------------------------------------------
 
 
-def nearest_to(table: DataFrame, query: DataFrame, vector: str, columns: list[str],
-               threshold: float = -1.0, exclude_self: bool = True) -> DataFrame:
-    """The row of `table` nearest to the one vector in `query` `(id, vector)`, if similar enough.
+def similarity_to(table: DataFrame, query: DataFrame, vector: str) -> DataFrame:
+    """`table` with `query_id` and `similarity` to the one row of `query` `(id, vector)`.
 
-    One pass over the table and a top-1; the single query row travels as a scalar subquery.
+    The single query row travels as a scalar subquery. The generator keeps the subquery out of the
+    array functions, where Spark does not accept one.
     """
-    one = query.select("id", "vector").limit(1)
-    scored = (
-        table.where(F.col(vector).isNotNull())
-        .withColumn("_q", one.select(F.struct("id", "vector")).scalar())
-        .where(F.col("_q").isNotNull())
-    )
-    if exclude_self:
-        scored = scored.where(F.col("id") != F.col("_q.id"))
+    one = query.select(F.struct("id", "vector")).scalar()
+    asked = with_computed(table.where(F.col(vector).isNotNull()), _q=one).where(F.col("_q").isNotNull())
     similarity = F.round(cosine(F.col(vector), F.col("_q.vector")), PLACES)
+    return asked.withColumns({"query_id": F.col("_q.id"), "similarity": similarity}).drop("_q")
+
+
+def nearest_to(table: DataFrame, query: DataFrame, vector: str, columns: list[str],
+               threshold: float = -1.0, exclude_self: bool = True) -> DataFrame:
+    """The row of `table` nearest to the one row of `query`, if similar enough: one pass and a top-1."""
+    scored = similarity_to(table, query, vector)
+    if exclude_self:
+        scored = scored.where(F.col("id") != F.col("query_id"))
     return (
-        scored.select(F.col("_q.id").alias("query_id"), *columns, similarity.alias("similarity"))
-        .where(F.col("similarity") >= threshold)
+        scored.where(F.col("similarity") >= threshold)
+        .select("query_id", *columns, "similarity")
         .orderBy(F.desc("similarity"), "id").limit(1)
     )

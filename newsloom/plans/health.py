@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.barrier import with_computed
 from newsloom.functions.features import set_cosine
 from newsloom.functions.text import similarity_band
 from newsloom.operators.dedup import THRESHOLD
@@ -43,7 +44,7 @@ def latest_match(articles: DataFrame, threshold: float = LOOSE_THRESHOLD, simila
     """Best match of the newest embedded article among all others, if above `threshold`."""
     newest = latest_embedded(articles, vector).select(F.struct("id", "vector")).scalar()
     scored = (
-        articles.where(F.col(vector).isNotNull()).withColumn("_q", newest)
+        with_computed(articles.where(F.col(vector).isNotNull()), _q=newest)
         .where(F.col("id") != F.col("_q.id"))
         .select(
             F.col("_q.id").alias("query_id"), F.col("id").alias("match_id"), F.left("url", F.lit(60)).alias("url"),

@@ -9,6 +9,7 @@ from newsloom.operators.clean import clean_articles
 from newsloom.operators.dedup import THRESHOLD, dedup_insert
 from newsloom.operators.enrich import enrich
 from newsloom.operators.maintenance import mark_fetched, run_row
+from newsloom.session import stage
 from newsloom.sources.tables import TableStore
 
 # Order in which entries count as earlier: by source, then by position in the feed.
@@ -26,8 +27,8 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
     started = store.spark.range(1).select(F.current_timestamp().alias("t")).first().t
     stored = store.articles(before=batch)
     try:
-        enriched = enrich(entries, pages)
-        cleaned = clean_articles(enriched, profiles, ENTRY_ORDER)
+        entries = stage(entries, "entries")
+        cleaned = stage(clean_articles(enrich(entries, pages), profiles, ENTRY_ORDER), "cleaned")
         added = dedup_insert(stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started))
         store.write_articles(added.rows, batch)
         store.write_sources(mark_fetched(store.sources(before=batch), entries, F.lit(started)), batch)

@@ -300,8 +300,7 @@ def _(spark, sf):
     with {_SIMS} select other as id, round(s, 6) as similarity from sims where id = 7""")
 def _(spark, sf):
     e = _embeddings(spark, sf)
-    one = e.where("id = 7").select("vector").scalar()
-    return e.select("id", F.round(features.cosine(F.col("vector"), one), 6).alias("similarity"))
+    return nearest.similarity_to(e, e.where("id = 7"), "vector").select("id", F.round("similarity", 6).alias("similarity"))
 
 
 @query("t6_latest_embedded", "select max(vec_id) as id from embeddings")
@@ -441,8 +440,8 @@ _SOURCE_TEXT = rf"""
                            trim(regexp_replace(full_text, '{WS}', ' ', 'g')) as s from firsts where rn <= 5)
               group by source_id),
     source_text as (
-        select s.id, s.name, s.category, ('name: ' || s.name || ' category: ' || s.category || ' ' ||
-               substr('feed: Source ' || s.id || ' about: All of Source ' || s.id || ' ' || i.items, 1, 700))[1:1024] as text
+        select s.id, s.name, s.category, trim('name: ' || s.name || ' category: ' || s.category || ' ' ||
+               substr('feed: Source ' || s.id || ' about: All of Source ' || s.id || ' ' || i.items, 1, 700)) as text
         from sources s join items i on i.source_id = s.id)"""
 
 

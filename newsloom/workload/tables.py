@@ -57,7 +57,7 @@ def _(spark, sf):
 
 @query("s5_all_feeds", f"""
     with {_FEED_ROWS}
-    select position, source_id, url, f.title, summary, published, author, s.name as source_name, s.category
+    select position, source_id, f.url, f.title, summary, published, author, s.name as source_name, s.category
     from landed f join sources s on s.id = f.source_id where s.is_active and f.title <> ''""")
 def _(spark, sf):
     return feeds.collect(views.feeds(spark, sf), views.sources(spark, sf))

@@ -49,6 +49,10 @@ def check(spark, con, sf_dir, name, function, sql):
     for g, w in zip(got[1], want[1]):
         if g != w:
             bad = [(c, a, b) for c, a, b in zip(got[0], g, w) if a != b]
+            c, a, b = bad[0]
+            if isinstance(a, str) and isinstance(b, str):
+                at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                return f"differs in {c} at {at}: {a[max(0, at - 60):at + 60]!r} != {b[max(0, at - 60):at + 60]!r}"
             return f"differs: {str(bad)[:700]}"
     return None
 
