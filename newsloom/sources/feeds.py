@@ -57,8 +57,22 @@ def _atom_link(links: Column) -> Column:
     return F.coalesce(F.get(main, 0)["_href"], F.get(links, 0)["_href"])
 
 
-def _texts(*columns: str) -> Column:
-    return first_non_empty(*[F.col(c) for c in columns])
+def _rss_entry(e: Column) -> Column:
+    return F.struct(
+        F.trim(e["link"]).alias("url"), e["title"].alias("title"),
+        first_non_empty(e["content:encoded"], e["summary"], e["description"]).alias("summary"),
+        first_date(e["pubDate"], e["dc:date"]).alias("published"),
+        first_non_empty(e["author"], e["dc:creator"]).alias("author"),
+    )
+
+
+def _atom_entry(e: Column) -> Column:
+    return F.struct(
+        F.trim(_atom_link(e["link"])).alias("url"), e["title"].alias("title"),
+        first_non_empty(e["content"], e["summary"]).alias("summary"),
+        first_date(e["published"], e["updated"], e["created"]).alias("published"),
+        F.coalesce(e["author"]["name"], F.lit("")).alias("author"),
+    )
 
 
 def entries(feeds: DataFrame, carry: tuple[str, ...] = ("source_id",)) -> DataFrame:
@@ -66,27 +80,18 @@ def entries(feeds: DataFrame, carry: tuple[str, ...] = ("source_id",)) -> DataFr
 
     Entries without a link or a title are left out. The summary is the first of content, summary
     and description that is not empty; the date the first of published, updated and created that
-    can be read.
+    can be read. A document is read once, whichever of the two forms it has.
     """
-    rss = feeds.select(*carry, F.posexplode("feed.channel.item").alias("position", "e")).select(
-        *carry, "position", F.trim("e.link").alias("url"), F.col("e.title").alias("title"),
-        _texts("e.content:encoded", "e.summary", "e.description").alias("summary"),
-        first_date(F.col("e.pubDate"), F.col("`e`.`dc:date`")).alias("published"),
-        _texts("e.author", "e.dc:creator").alias("author"),
-    )
-    atom = feeds.select(*carry, F.posexplode("feed.entry").alias("position", "e")).select(
-        *carry, "position", F.trim(_atom_link(F.col("e.link"))).alias("url"), F.col("e.title").alias("title"),
-        _texts("e.content", "e.summary").alias("summary"),
-        first_date(F.col("e.published"), F.col("e.updated"), F.col("e.created")).alias("published"),
-        F.coalesce("e.author.name", F.lit("")).alias("author"),
+    found = F.coalesce(
+        F.transform("feed.channel.item", _rss_entry), F.transform("feed.entry", _atom_entry)
     )
     return (
-        rss.unionByName(atom)
-        .withColumns({
-            "title": strip_tags(F.col("title")),
-            "summary": clip(strip_tags(F.col("summary")), SUMMARY_CHARS),
-            "author": strip_tags(F.col("author")),
-        })
+        feeds.select(*carry, F.posexplode(found).alias("position", "e"))
+        .select(
+            *carry, "position", "e.url", strip_tags(F.col("e.title")).alias("title"),
+            clip(strip_tags(F.col("e.summary")), SUMMARY_CHARS).alias("summary"), "e.published",
+            strip_tags(F.col("e.author")).alias("author"),
+        )
         .where("url <> '' AND title <> ''")
     )
 

@@ -9,7 +9,7 @@ from newsloom.operators import admission, dedup, maintenance, nearest
 from newsloom.plans import health, report
 from newsloom.session import stage
 from newsloom.workload import views
-from newsloom.workload.catalog import query
+from newsloom.workload.catalog import ORACLE, query
 from newsloom.workload.views import WS, table
 
 # Vectors of `embeddings` are far apart: their closest pairs reach about 0.5.
@@ -172,33 +172,44 @@ def _insert_sql(tail: str) -> str:
     return f"with {_INSERTED}, texts as ({texts}), shingled as ({shingled}), {_FLAGGED} {tail}"
 
 
-def _register_insert():
-    from newsloom.workload.catalog import ORACLE, QUERIES
-
-    def head(tail):
-        sql = _insert_sql(tail)
-        base = f"articles as ({views.VIEWS['articles']}), raw_batch as ({views.VIEWS['raw_batch']})"
-        return f"with {base}, {sql.strip()[5:]}"
-
-    QUERIES["d5_dedup_insert"] = lambda spark, sf: _insert(spark, sf).rows.select(
-        "id", "url", "is_duplicate", "duplicate_of_id", "similarity_score")
-    ORACLE["d5_dedup_insert"] = head(
-        "select n.id, n.url, f.is_duplicate, f.duplicate_of_id, f.similarity_score from numbered n join flagged f on f.id = n.id")
-    QUERIES["a9_insert_counters"] = lambda spark, sf: _insert(spark, sf).counters
-    ORACLE["a9_insert_counters"] = head("""
-        select (select count(*) from raw_batch) as found, count(*) as inserted,
-               count(*) filter (where is_duplicate) as skipped_vector,
-               (select count(*) from raw_batch) - count(*) as skipped_url,
-               count(*) filter (where is_duplicate) + (select count(*) from raw_batch) - count(*) as skipped
-        from flagged""")
-    QUERIES["d7_insert_by_hand"] = _by_hand
-    ORACLE["d7_insert_by_hand"] = head("""
-        select n.id, n.url, '(untitled)' as title, c.match_id is not null as is_duplicate, c.match_id as duplicate_of_id,
-               c.similarity as similarity_score
-        from numbered n left join content c on c.id = n.id""")
-
-
-def _by_hand(spark, sf):
+def _insert_oracle(tail: str) -> str:
+    base = f"articles as ({views.VIEWS['articles']}), raw_batch as ({views.VIEWS['raw_batch']})"
+    return f"with {base}, {_insert_sql(tail).strip()[5:]}"
+
+
+def insert_query(name: str, tail: str):
+    """Register a query over the insert; its views are already spelled out."""
+
+    def add(function):
+        query(name)(function)
+        ORACLE[name] = _insert_oracle(tail)
+        return function
+
+    return add
+
+
+@insert_query("d5_dedup_insert", """
+    select n.id, n.url, f.is_duplicate, f.duplicate_of_id, f.similarity_score
+    from numbered n join flagged f on f.id = n.id""")
+def _(spark, sf):
+    return _insert(spark, sf).rows.select("id", "url", "is_duplicate", "duplicate_of_id", "similarity_score")
+
+
+@insert_query("a9_insert_counters", """
+    select (select count(*) from raw_batch) as found, count(*) as inserted,
+           count(*) filter (where is_duplicate) as skipped_vector,
+           (select count(*) from raw_batch) - count(*) as skipped_url,
+           count(*) filter (where is_duplicate) + (select count(*) from raw_batch) - count(*) as skipped
+    from flagged""")
+def _(spark, sf):
+    return _insert(spark, sf).counters
+
+
+@insert_query("d7_insert_by_hand", """
+    select n.id, n.url, '(untitled)' as title, c.match_id is not null as is_duplicate, c.match_id as duplicate_of_id,
+           c.similarity as similarity_score
+    from numbered n left join content c on c.id = n.id""")
+def _(spark, sf):
     batch = stage(views.raw_batch(spark, sf), "batch").select(
         "ord", "url", F.lit("").alias("title"), "summary", "full_text", F.lit("General").alias("category"))
     empty = spark.createDataFrame([], dedup.ARTICLES)
@@ -206,9 +217,6 @@ def _by_hand(spark, sf):
         "id", "url", "title", "is_duplicate", "duplicate_of_id", "similarity_score")
 
 
-_register_insert()
-
-
 @query("s10_article_append", "select count(*) as articles, count(distinct id) as ids from articles")
 def _(spark, sf):
     """Append through the table store in two batches, then read back what is visible."""
@@ -482,7 +490,7 @@ def _source_vectors(spark, sf):
 
 @query("j7_nearest_source", f"""
     with {_SOURCE_SIM}
-    select m.id, m.other as match_id, s.name as match_name, round(m.s, 6) as similarity
+    select cast(m.id as bigint) as id, cast(m.other as bigint) as match_id, s.name as match_name, round(m.s, 6) as similarity
     from match m join sources s on s.id = m.other""")
 def _(spark, sf):
     rows = _source_vectors(spark, sf)
@@ -495,7 +503,7 @@ def _(spark, sf):
 
 @query("d8_source_admission", f"""
     with {_SOURCE_SIM}
-    select t.id, m.id is null as accepted, case when m.id is not null then 'similar' end as reason, m.other as match_id
+    select t.id, m.id is null as accepted, case when m.id is not null then 'similar' end as reason, cast(m.other as bigint) as match_id
     from source_text t left join match m on m.id = t.id where t.id >= 10""")
 def _(spark, sf):
     rows = _source_vectors(spark, sf)

@@ -48,7 +48,7 @@ def _title():
 
 
 def articles(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     e = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"), "user_id"
     )

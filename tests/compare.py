@@ -37,10 +37,22 @@ def rows(columns, data):
     return sorted(columns), sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP", "date": "DATE",
+}
+
+
 def check(spark, con, sf_dir, name, function, sql):
     df = function(spark, sf_dir)
     got = rows(df.columns, df.collect())
     rel = con.execute(sql)
+    types = {d[0]: str(d[1]) for d in rel.description}
+    odd = [
+        (c, t, types.get(c)) for c, t in df.dtypes if types.get(c) != SAME_TYPE.get(t)
+    ]
+    if odd:
+        print("     type note", name, odd, flush=True)
     want = rows([d[0] for d in rel.description], rel.fetchall())
     if got[0] != want[0]:
         return f"columns {got[0]} != {want[0]}"
