@@ -30,7 +30,7 @@ DOCUMENT = (
 def read_feed_documents(spark: SparkSession, root: str) -> DataFrame:
     """`(source_id, document)` of every landed feed file."""
     return (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", False).text(root)
+        spark.read.text(root, wholetext=True)
         .select(F.col("source_id").cast("int").alias("source_id"), F.col("value").alias("document"))
     )
 

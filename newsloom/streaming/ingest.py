@@ -8,6 +8,8 @@ can be replayed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.functions.urls import url_key
@@ -16,8 +18,6 @@ from newsloom.plans.ingest import run_batch
 from newsloom.schema import RAW_ENTRIES
 from newsloom.sources.feeds import collect, parse_feeds
 from newsloom.sources.tables import TableStore
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LANDED_ENTRIES = T.StructType(RAW_ENTRIES.fields + [T.StructField("position", T.IntegerType())])
 INTERVAL = "60 minutes"
@@ -33,10 +33,10 @@ def entry_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 def feed_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
     """Landed feed documents as a stream of `(source_id, document)`."""
-    reader = spark.readStream.schema("value string, source_id int").option("wholetext", True)
+    reader = spark.readStream.schema("value string, source_id int")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(root).select("source_id", F.col("value").alias("document"))
+    return reader.text(root, wholetext=True).select("source_id", F.col("value").alias("document"))
 
 
 def unique_url_stream(entries: DataFrame, watermark: str | None = None) -> DataFrame:

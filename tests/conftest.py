@@ -13,7 +13,7 @@ def spark():
     from newsloom.session import build_session
 
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+        "tests", "local[4]", spark__sql__shuffle__partitions="3", spark__driver__memory="8g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("OFF")

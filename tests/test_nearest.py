@@ -43,8 +43,7 @@ def result(df):
     return {r.id: (r.match_id, r.similarity) for r in df.collect()}
 
 
-@pytest.mark.parametrize("threshold", [0.92, 0.8])
-@pytest.mark.parametrize("light", [65_536, 20])
+@pytest.mark.parametrize("threshold, light", [(0.92, 65_536), (0.8, 20)])
 def test_earlier_sets(spark, monkeypatch, threshold, light):
     monkeypatch.setattr(nearest, "LIGHT_PAIRS", light)
     monkeypatch.setattr(nearest, "BLOCK_ROWS", 16)
@@ -55,9 +54,8 @@ def test_earlier_sets(spark, monkeypatch, threshold, light):
     assert got == want
 
 
-@pytest.mark.parametrize("light", [65_536, 20])
-def test_sets_of_two_tables(spark, monkeypatch, light):
-    monkeypatch.setattr(nearest, "LIGHT_PAIRS", light)
+def test_sets_of_two_tables(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "LIGHT_PAIRS", 20)
     monkeypatch.setattr(nearest, "BLOCK_ROWS", 16)
     a, b = make_sets(150, 2), make_sets(200, 3)
     got = result(nearest.nearest_sets(frame(spark, a), frame(spark, b), 0.9))

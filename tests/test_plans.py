@@ -30,8 +30,7 @@ def test_keep_first_cuts_groups_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", [
-    "a2_articles_per_source", "d3_content_duplicates", "d2_new_urls", "j3_fresh_entries", "j5_nearest_sets",
-    "d3_dense_duplicates", "p10_language", "j11_originals",
+    "a2_articles_per_source", "d3_content_duplicates", "d2_new_urls", "j3_fresh_entries", "p10_language",
 ])
 def test_no_pairwise_joins(spark, name):
     text = plan(entry.queries()[name](spark, SF))
