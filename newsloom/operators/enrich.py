@@ -21,9 +21,10 @@ def enrich(entries: DataFrame, pages: DataFrame, extracted: DataFrame | None = N
     `pages`: `(url, html)`, one row per URL. `extracted` optionally holds what another extractor
     made of a page: `(url, text, author, published_at)`; it is not used for sites that need
     rendering, and its text only when at least 200 characters long or longer than ours. Author and
-    date of the feed win over it. The page text is computed once per page, before the join.
+    date of the feed win over it. Only pages that an entry asks for are read for their text, once each.
     """
-    text = with_page_text(pages.select("url", "html"), "html", "_page").drop("html")
+    wanted = pages.select("url", "html").join(entries.select("url").distinct(), "url", "left_semi")
+    text = with_page_text(wanted, "html", "_page").drop("html")
     joined = entries.join(text, "url", "left")
     if extracted is None:
         joined = joined.withColumns({

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.clean import clean_articles
-from newsloom.operators.dedup import THRESHOLD, dedup_insert
+from newsloom.operators.dedup import THRESHOLD, dedup_insert, unique_urls
 from newsloom.operators.enrich import enrich
 from newsloom.operators.maintenance import mark_fetched, run_row
 from newsloom.session import stage
@@ -28,7 +28,9 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
     stored = store.articles(before=batch)
     try:
         entries = stage(entries, "entries")
-        cleaned = stage(clean_articles(enrich(entries, pages), profiles, ENTRY_ORDER), "cleaned")
+        # Cleaning keeps the first row of a URL whatever its text, so the others need no page.
+        first = unique_urls(entries, ENTRY_ORDER)
+        cleaned = stage(clean_articles(enrich(first, pages), profiles, ENTRY_ORDER), "cleaned")
         added = dedup_insert(stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started))
         store.write_articles(added.rows, batch)
         store.write_sources(mark_fetched(store.sources(before=batch), entries, F.lit(started)), batch)
