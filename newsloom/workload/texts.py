@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions import dates, features, text as tx, urls
-from newsloom.functions.barrier import with_computed
 from newsloom.functions.page_text import CONTAINER_TAGS, NOISE_TAGS, with_page_text
 from newsloom.operators import clean, enrich, language
 from newsloom.workload import views
