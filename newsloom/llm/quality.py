@@ -23,9 +23,9 @@ MAX_BROADCAST_HOSTS = 100_000
 #: A document fails a rule where its expression is true; integers only, so any engine agrees.
 RULES = {
     "symbols": "10 * n_symbols > n_words",
-    "many_symbols": "2 * n_symbols > n_words",
+    "many_symbols": "10 * n_symbols > 3 * n_words",
     "word_length": "word_chars < 3 * n_words OR word_chars > 12 * n_words",
-    "lines": "10 * n_dup_lines > 3 * n_lines",
+    "lines": "n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines",
     "repeats": "100 * n_repeat_words > 10 * n_words",
 }
 
