@@ -1,4 +1,4 @@
 """All queries of this package."""
 
-from newsloom.llm import decontaminate, lines, quality, simhash  # noqa: F401
+from newsloom.llm import decontaminate, lines, mixing, quality, simhash  # noqa: F401
 from newsloom.llm.registry import ORACLE, QUERIES  # noqa: F401
