@@ -50,12 +50,14 @@ class Words(NamedTuple):
     end: np.ndarray  # behind its last byte
     bounds: np.ndarray  # words bounds[i] ... bounds[i+1]-1 belong to segment i
     hash: np.ndarray  # 64 bits of every word
+    prefix: np.ndarray | None = None  # and of its first bytes, where asked for
 
 
 class Splitter:
-    """Splits buffers into words. `separators`: bytes between words; `lower`: A-Z count as a-z."""
+    """Splits buffers into words. `separators`: bytes between words; `lower`: A-Z count as a-z; `prefix`: bytes of a prefix."""
 
-    def __init__(self, separators: bytes = WHITE_SPACE, lower: bool = False):
+    def __init__(self, separators: bytes = WHITE_SPACE, lower: bool = False, prefix: int = 0):
+        self.prefix = prefix
         self.is_separator = np.zeros(256, dtype=bool)
         self.is_separator[list(separators)] = True
         byte = np.arange(256)
@@ -83,7 +85,10 @@ class Splitter:
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(self.value[data] * self.up[:n], out=sums[1:])
         hashed = mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
-        return Words(start, end, np.searchsorted(start, offsets), hashed)
+        front = None
+        if self.prefix:
+            front = mix((sums[np.minimum(start + self.prefix, end)] - sums[start]) * self.down[start])
+        return Words(start, end, np.searchsorted(start, offsets), hashed, front)
 
 
 class Runs:
