@@ -169,7 +169,7 @@ def training_rows(texts: list[str], seed: int = 1) -> tuple[np.ndarray, np.ndarr
             wrong = [number, day, f"{d[0]}.{d[1]}{d[2]}.{d[3]}.{rng.randint(256, 999)}", f"{rng.randint(10**6, 10**9)}.{d[5]}{d[6]}",
                      f"{rng.randint(10**8, 10**12)}"]
             add(before + rng.choice(wrong) + after, ("", 0, 0), i % 3)
-    return np.array(x, dtype=float).reshape(len(x), -1), np.array(y), np.array(fold)
+    return np.array(x, dtype=float).reshape(len(x), len(x[0]) if x else 0), np.array(y), np.array(fold, dtype=int)
 
 
 class Detector:
