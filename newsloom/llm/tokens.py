@@ -111,4 +111,4 @@ def op9(spark, sf_dir):
     """Tokens of every document, counted from its file; NULL and empty texts have none."""
     written = write_token_files(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), public_encoder())
     counts = count_tokens(spark, written.where("ordinal < 0").select("path", "bytes"))
-    return written.where("ordinal >= 0").join(counts, ["path", "ordinal"], "left").select(F.col("key").alias("doc_id"), "n_tokens")
+    return written.where("ordinal >= 0").join(counts.hint("merge"), ["path", "ordinal"], "left").select(F.col("key").alias("doc_id"), "n_tokens")
