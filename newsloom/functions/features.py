@@ -32,7 +32,7 @@ SHINGLE = 3
 NON_WORD = r"[^\p{L}\p{N}]+"
 
 
-def _trimmed(text: Column) -> Column:
+def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$", "")
 
 
@@ -43,19 +43,19 @@ def _labelled(label: str, text: Column) -> Column:
 def general_text(title: Column, description: Column, content: Column,
                  category: Column | None = None) -> Column:
     """Labelled text for the general vector; empty parts are left out."""
-    parts = [_labelled("title", _trimmed(title))]
+    parts = [_labelled("title", trimmed(title))]
     if category is not None:
-        parts.append(_labelled("category", _trimmed(category)))
-    parts.append(_labelled("description", F.substring(_trimmed(description), 1, DESCRIPTION_CHARS)))
-    parts.append(_labelled("content", F.substring(_trimmed(content), 1, CONTENT_CHARS)))
+        parts.append(_labelled("category", trimmed(category)))
+    parts.append(_labelled("description", F.substring(trimmed(description), 1, DESCRIPTION_CHARS)))
+    parts.append(_labelled("content", F.substring(trimmed(content), 1, CONTENT_CHARS)))
     return F.substring(F.concat_ws(" ", *parts), 1, EMBED_CHARS)
 
 
-def content_text(content: Column) -> Column:
-    """Text for the content vector; NULL when there is no content."""
-    body = _trimmed(content)
-    text = F.concat(F.lit("content: "), F.substring(body, 1, EMBED_CHARS))
-    return F.when(body != "", F.substring(text, 1, EMBED_CHARS))
+def content_text(content: Column, limit: int = EMBED_CHARS) -> Column:
+    """Text for the content vector, at most `limit` characters; NULL when there is no content."""
+    body = trimmed(content)
+    text = F.concat(F.lit("content: "), F.substring(body, 1, limit))
+    return F.when(body != "", F.substring(text, 1, limit))
 
 
 def words(text: Column) -> Column:
@@ -96,13 +96,14 @@ def with_dense_vector(df: DataFrame, text: str, out: str, width: int = DENSE_WID
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def unit(buckets: pd.Series) -> pd.Series:
-        def one(b):
-            if b is None or len(b) == 0:
-                return None
-            counts = np.bincount(b, minlength=width).astype("float64")
-            return counts / np.sqrt(np.dot(counts, counts))
-
-        return buckets.map(one)
+        sizes = buckets.map(lambda b: 0 if b is None else len(b)).to_numpy()
+        if not sizes.any():
+            return pd.Series([None] * len(buckets), index=buckets.index, dtype="object")
+        row = np.repeat(np.arange(len(buckets)), sizes)
+        flat = np.concatenate([b for b, n in zip(buckets, sizes) if n])
+        counts = np.bincount(row * width + flat, minlength=len(buckets) * width).reshape(-1, width).astype("float64")
+        counts /= np.maximum(np.sqrt((counts * counts).sum(axis=1, keepdims=True)), 1e-300)
+        return pd.Series([v if n else None for v, n in zip(counts, sizes)], index=buckets.index)
 
     hashed = with_computed(df, **{out: word_buckets(F.col(text), width)})
     return hashed.withColumn(out, unit(F.col(out)))
@@ -127,8 +128,14 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of vectors of any length."""
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    """Cosine similarity of vectors of any length; NULL where one of them is zero."""
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
+
+
+def has_direction(vector: Column) -> Column:
+    """Whether a vector can be compared: not NULL, not zero, all numbers finite."""
+    square = dot(vector, vector)
+    return F.coalesce((square > 0) & ~F.isnan(square) & (square < float("inf")), F.lit(False))
 
 
 def rounded(similarity: Column, places: int = 4) -> Column:

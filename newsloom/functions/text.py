@@ -77,8 +77,3 @@ def similarity_band(similarity: Column, duplicate: float = 0.92, near: float = 0
         .when(similarity >= near, "near")
         .otherwise("different")
     )
-
-
-def ascii_contains_ci(text: Column, needle: str) -> Column:
-    """Case-insensitive substring test; the needle has no wildcards."""
-    return F.contains(F.lower(text), F.lit(needle.lower()))

@@ -64,7 +64,8 @@ def admit_sources(stored: DataFrame, candidates: DataFrame, threshold: float = T
     `stored`: `(id, name, url, category, source_embedding)`; `candidates`: `(id, name, url,
     category, source_embedding)` with ids of their own. Result: the candidate columns plus
     `accepted`, `reason` ('similar', 'url' or NULL) and the match. Every candidate is judged against
-    the stored sources; candidates that may resemble each other belong in successive calls.
+    the stored sources; of those with one URL, ignoring case, only the first that is not turned away
+    otherwise is accepted. Candidates that may resemble each other in text belong in successive calls.
     """
     match = nearest_vectors(
         candidates.select(F.col("id").cast("bigint").alias("id"), F.col("source_embedding").alias("vector")),
@@ -80,8 +81,10 @@ def admit_sources(stored: DataFrame, candidates: DataFrame, threshold: float = T
         candidates.join(match, "id", "left").join(known, "match_id", "left")
         .withColumn("_key", url_key(F.col("url"))).join(taken, "_key", "left")
         .withColumn("reason", F.when(F.col("match_id").isNotNull(), "similar").when(F.col("_taken"), "url"))
+        .withColumn("_twin", F.row_number().over(Window.partitionBy("_key", F.col("reason").isNull()).orderBy("id")))
+        .withColumn("reason", F.coalesce("reason", F.when((F.col("_twin") > 1) & F.col("_key").isNotNull(), "url")))
         .withColumn("accepted", F.col("reason").isNull())
-        .drop("_key", "_taken", "source_embedding")
+        .drop("_key", "_taken", "_twin", "source_embedding")
     )
 
 

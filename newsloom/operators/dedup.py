@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.features import content_text, feature_set, general_text
+from newsloom.functions.features import content_text, feature_set, general_text, trimmed
 from newsloom.functions.urls import url_key
 from newsloom.operators.ids import assign_ids
 from newsloom.operators.joins import skew_safe_join
@@ -58,8 +58,7 @@ def with_vectors(rows: DataFrame, category: str | None = None) -> DataFrame:
 
 
 def long_enough(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    return F.coalesce(F.length(trimmed) >= MIN_QUERY_CHARS, F.lit(False))
+    return F.coalesce(F.length(trimmed(text)) >= MIN_QUERY_CHARS, F.lit(False))
 
 
 def content_matches(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

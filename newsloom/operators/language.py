@@ -1,17 +1,21 @@
 """Language identification from character trigram profiles.
 
-Training: the 300 most frequent trigrams of each language (Cavnar and Trenkle, 1994), weighted by
-rank, 300 for the most frequent one down to 1. Scoring: a text gets, per language, the sum of the
-weights of its trigram occurrences, and the highest sum wins. All scores are integers. Texts under
-50 characters, and texts without any known trigram, are `en`; only the first 2,000 characters are
-looked at. These are the fixed rules of the feature.
-
-Scale: each text's trigrams are summed per language inside the task that produced them (partial
-aggregation), so what is shuffled is a handful of integers per text, never its trigrams.
+Training: the 300 most frequent trigrams of each language (Cavnar and Trenkle, 1994), counted over
+whole texts and weighted by rank, 300 for the most frequent one down to 1. Scoring: a text gets, per
+language, the sum of the weights of its trigram occurrences, and the highest sum wins. All scores are
+integers. Texts under 50 characters, and texts without any known trigram, are `en`; of a text to be
+judged only the first 2,000 characters are looked at. These are the fixed rules of the feature.
+
+Scale: trigrams are counted inside the tasks before anything is shuffled. Scoring needs no shuffle
+at all: profiles are small, so they go to the tasks and texts stay where they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,65 +26,94 @@ DETECT_CHARS = 2_000
 MIN_CHARS = 50
 DEFAULT_LANGUAGE = "en"
 PROFILE_SIZE = 300
-# Profiles for all 184 codes of ISO 639-1 stay within this many rows: small enough to broadcast.
-MAX_BROADCAST_ROWS = 184 * PROFILE_SIZE
+# Profiles for all 184 codes of ISO 639-1 stay within this many rows: small enough for every task.
+MAX_PROFILE_ROWS = 184 * PROFILE_SIZE
+_BITS = 21
 
 
-def trigrams(text: Column) -> Column:
-    letters = F.filter(F.split(F.lower(F.substring(text, 1, DETECT_CHARS)), ""), lambda c: c != "")
+def _codes(text: str) -> np.ndarray:
+    """Every trigram of a text as one number, three code points of 21 bits."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    return (c[:-2] << 2 * _BITS) | (c[1:-1] << _BITS) | c[2:] if len(c) > 2 else np.zeros(0, np.int64)
+
+
+def _gram(code: int) -> str:
+    mask = (1 << _BITS) - 1
+    return "".join(chr(code >> shift & mask) for shift in (2 * _BITS, _BITS, 0))
+
 
-    def windows(chars):
-        starts = F.sequence(F.lit(0), F.size(chars) - 3)
-        return F.when(
-            F.size(chars) >= 3,
-            F.transform(starts, lambda i: F.concat(chars[i], chars[i + 1], chars[i + 2])),
-        )
+def trigram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, gram, n) over whole texts, lower-cased; counted batch by batch in the tasks."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: dict[str, list[np.ndarray]] = {}
+            for own, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parts.setdefault(own, []).append(_codes(words))
+            for own, codes in parts.items():
+                code, n = np.unique(np.concatenate(codes), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([own] * len(code), pa.string()), pa.array([_gram(int(c)) for c in code], pa.string()), pa.array(n)],
+                    names=["lang", "gram", "n"])
 
-    return let(letters, windows)
+    usable = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    counted = usable.select(F.col(lang).alias("lang"), F.lower(text).alias("text")).mapInArrow(
+        count, "lang string, gram string, n bigint")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def train_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, gram, weight), at most 300 rows per language, stored in the shared folder."""
-    counts = (
-        labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
-        .groupBy("lang", "gram").agg(F.count("*").alias("n"))
-    )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     ranked = (
-        counts.withColumn("rank", F.row_number().over(order))
+        trigram_counts(labelled, text, lang).withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= PROFILE_SIZE)
         .select("lang", "gram", (F.lit(PROFILE_SIZE + 1) - F.col("rank")).alias("weight"))
     )
     return stage(ranked, "profiles")
 
 
-def language_scores(texts: DataFrame, profiles: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, lang, score) for every text that is long enough and shares a trigram.
-
-    `profiles` is a stored table (see `train_profiles`); it is counted, and broadcast only when as
-    small as profiles should be. Otherwise the trigrams are joined by shuffle.
-    """
-    if profiles.count() <= MAX_BROADCAST_ROWS:
-        profiles = F.broadcast(profiles)
-    return (
-        texts.where(F.length(text) >= MIN_CHARS)
-        .select(key, F.explode(trigrams(F.col(text))).alias("gram"))
-        .join(profiles, "gram")
-        .groupBy(key, "lang").agg(F.sum("weight").alias("score"))
+def _judged(profiles: DataFrame, text: Column) -> Column:
+    """Language of each text by profiles small enough for every task."""
+    rows = profiles.select("lang", "gram", "weight").collect()  # at most MAX_PROFILE_ROWS
+    langs = sorted({r["lang"] for r in rows})
+    known = np.array(sorted({int(_codes(r["gram"])[0]) for r in rows if len(r["gram"]) == 3}), dtype=np.int64)
+    weights = np.zeros((len(known), len(langs)), dtype=np.int64)
+    for r in rows:
+        if len(r["gram"]) == 3:
+            weights[np.searchsorted(known, _codes(r["gram"])[0]), langs.index(r["lang"])] = r["weight"]
+
+    @F.arrow_udf("string")
+    def best(texts: pa.Array) -> pa.Array:
+        out = []
+        for own in texts.to_pylist():
+            codes = _codes(own or "")
+            at = np.searchsorted(known, codes)
+            at[at == len(known)] = 0
+            hit = at[known[at] == codes] if len(known) else at[:0]
+            out.append(langs[int(weights[hit].sum(axis=0).argmax())] if len(hit) else None)
+        return pa.array(out, pa.string())
+
+    return best(F.lower(F.substring(text, 1, DETECT_CHARS)))
+
+
+def _judged_by_join(texts: DataFrame, profiles: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, _lang): the same by a join, for profiles of more languages than there are codes."""
+    letters = F.filter(F.split(F.lower(F.substring(text, 1, DETECT_CHARS)), ""), lambda c: c != "")
+    grams = let(letters, lambda c: F.when(F.size(c) >= 3, F.transform(
+        F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(c[i], c[i + 1], c[i + 2]))))
+    scores = (
+        texts.where(F.length(text) >= MIN_CHARS).select(key, F.explode(grams).alias("gram"))
+        .join(profiles, "gram").groupBy(key, "lang").agg(F.sum("weight").alias("score"))
     )
+    return scores.groupBy(key).agg(F.min_by("lang", F.struct(-F.col("score"), F.col("lang"))).alias("_lang"))
 
 
 def detect_language(texts: DataFrame, profiles: DataFrame, key: str, text: str,
                     out: str = "language") -> DataFrame:
-    """`texts` with a language column. `key` identifies a row."""
-    best = (
-        language_scores(texts, profiles, key, text)
-        .groupBy(key)
-        .agg(F.min_by("lang", F.struct(-F.col("score"), F.col("lang"))).alias("_lang"))
-    )
-    return (
-        texts.join(best, key, "left")
-        .withColumn(out, F.coalesce("_lang", F.lit(DEFAULT_LANGUAGE)))
-        .drop("_lang")
-    )
+    """`texts` with a language column. `key` identifies a row; `profiles` is a stored table."""
+    default = F.lit(DEFAULT_LANGUAGE)
+    if profiles.count() <= MAX_PROFILE_ROWS:
+        spoken = F.when(F.length(text) >= MIN_CHARS, _judged(profiles, F.col(text)))
+        return texts.withColumn(out, F.coalesce(spoken, default))
+    best = _judged_by_join(texts, profiles, key, text)
+    return texts.join(best, key, "left").withColumn(out, F.coalesce("_lang", default)).drop("_lang")

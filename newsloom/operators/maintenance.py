@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from newsloom.functions.features import content_text, feature_set
 from newsloom.functions.urls import url_key
-from newsloom.operators.dedup import UNTITLED
+from newsloom.operators.dedup import UNTITLED, keep_first
 from newsloom.operators.ids import assign_ids
 
 DEFAULT_CATEGORY = "General"
@@ -18,9 +18,13 @@ DEFAULT_LANGUAGE = "en"
 def upsert_sources(sources: DataFrame, seeds: DataFrame, now: Column) -> DataFrame:
     """Seeds update name and category of the source with their URL, or become new sources.
 
-    `seeds`: `(name, url, category)`, one row per URL. Ids and flags of known sources stay.
+    `seeds`: `(name, url, category)`; of seeds with one URL, ignoring case, the last counts. Ids and
+    flags of known sources stay.
     """
-    new = seeds.select(
+    placed = seeds.withColumn("_place", F.monotonically_increasing_id())
+    last = placed.groupBy(url_key(F.col("url")).alias("_key")).agg(
+        F.max_by(F.struct("name", "url", "category"), "_place").alias("_seed"))
+    new = last.select("_seed.*").select(
         url_key(F.col("url")).alias("_key"), F.col("name").alias("_name"), F.col("url").alias("_url"),
         F.col("category").alias("_category"),
     )
@@ -37,7 +41,13 @@ def upsert_sources(sources: DataFrame, seeds: DataFrame, now: Column) -> DataFra
 
 
 def insert_sources(sources: DataFrame, added: DataFrame, now: Column) -> DataFrame:
-    """Rows for new sources `(name, url, category)`: defaults filled, ids after the stored ones."""
+    """Rows for new sources `(name, url, category)`: defaults filled, ids after the stored ones.
+
+    Sources whose URL, ignoring case, is stored or comes earlier among the new ones (by URL, then
+    name) are left out.
+    """
+    fresh = keep_first(added, url_key(F.col("url")), ["url", "name", "category"]).withColumn("_key", url_key(F.col("url")))
+    added = fresh.join(sources.select(url_key(F.col("url")).alias("_key")), "_key", "left_anti").drop("_key")
     last = sources.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
     return assign_ids(added, ["url"], last).select(
         F.col("id").cast("int").alias("id"), "name", "url",
@@ -115,11 +125,13 @@ def with_defaults(articles: DataFrame, now: Column) -> DataFrame:
 
 
 def evolve(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
-    """`df` in the given schema: missing columns are added, with a default where one is given."""
+    """`df` in the given schema: missing columns are added, with a default where one is given; columns
+    that the schema does not know come last."""
     empty = df.sparkSession.createDataFrame([], schema)
     known = {f.name for f in schema.fields}
     missing = [f for f in schema.fields if f.name not in df.columns]
-    wide = empty.unionByName(df.select(*[c for c in df.columns if c in known]), allowMissingColumns=True)
+    ordered = [c for c in df.columns if c in known] + [c for c in df.columns if c not in known]
+    wide = empty.unionByName(df.select(*[F.col(f"`{c}`") for c in ordered]), allowMissingColumns=True)
     fills = {f.name: F.lit(defaults[f.name]).cast(f.dataType) for f in missing if f.name in (defaults or {})}
     return wide.withColumns(fills) if fills else wide
 

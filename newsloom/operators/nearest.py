@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.barrier import with_computed
-from newsloom.functions.features import cosine, set_cosine
+from newsloom.functions.features import cosine, has_direction, set_cosine
 from newsloom.operators.joins import skew_safe_join
 from newsloom.session import stage
 
@@ -250,7 +250,7 @@ def _row_best(q_id, c_id, similarity, threshold, earlier) -> pd.DataFrame:
 
 def _unit_rows(df: DataFrame, *extra: str) -> DataFrame:
     vector = F.transform("vector", lambda x: x.cast("double"))
-    return df.where("vector IS NOT NULL").select("id", *extra, vector.alias("vector")).select(
+    return df.where(has_direction(F.col("vector"))).select("id", *extra, vector.alias("vector")).select(
         "id", *extra, "vector", *_vector_key(F.col("vector"))
     )
 
@@ -415,9 +415,10 @@ def similarity_to(table: DataFrame, query: DataFrame, vector: str) -> DataFrame:
     array functions, where Spark does not accept one.
     """
     one = query.select(F.struct("id", "vector")).scalar()
-    asked = with_computed(table.where(F.col(vector).isNotNull()), _q=one).where(F.col("_q").isNotNull())
+    asked = with_computed(table.where(has_direction(F.col(vector))), _q=one).where(F.col("_q").isNotNull())
     similarity = F.round(cosine(F.col(vector), F.col("_q.vector")), PLACES)
-    return asked.withColumns({"query_id": F.col("_q.id"), "similarity": similarity}).drop("_q")
+    scored = asked.withColumns({"query_id": F.col("_q.id"), "similarity": similarity}).drop("_q")
+    return scored.where(F.col("similarity").isNotNull())
 
 
 def nearest_to(table: DataFrame, query: DataFrame, vector: str, columns: list[str],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,14 +36,19 @@ _local_scratch: dict[str, str] = {}
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's `spark.checkpoint.dir`.
 
-    Only where that setting is missing (tests, a laptop) is a temporary folder used instead.
+    Only where that setting is missing and the master is local (tests, a laptop) is a temporary folder
+    used instead; on a cluster each executor would have one of its own, so there it is an error. The
+    folder goes with the process; the owner of a shared folder cleans it.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if not master.startswith("local[") and master != "local":
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="newsloom-")
+        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
     return _local_scratch[app]
 
 

@@ -318,7 +318,7 @@ def _(spark, sf):
 
 
 @query("j9_pair_similarity", f"""
-    with {_LONG}, pairs as (select event_id % 500 as id1, user_id as id2 from events),
+    with {_LONG}, pairs as (select event_id % (select count(*) from embeddings) as id1, user_id as id2 from events),
     distinct_pairs as (select distinct id1, id2 from pairs
                        where id1 in (select vec_id from embeddings) and id2 in (select vec_id from embeddings)),
     sims as (select p.id1, p.id2, round(sum(cast(a.x as double) * b.x) / any_value(na.n * nb.n), 4) as similarity
@@ -327,7 +327,9 @@ def _(spark, sf):
     select id1, id2, similarity, case when similarity >= 0.92 then 'duplicate' when similarity >= 0.8 then 'near'
                                       else 'different' end as band from sims""")
 def _(spark, sf):
-    pairs = table(spark, sf, "events").select((F.col("event_id") % 500).alias("id1"), F.col("user_id").alias("id2")).distinct()
+    n = _embeddings(spark, sf).agg(F.count("*")).scalar()
+    pairs = table(spark, sf, "events").withColumn("n", n).select(
+        (F.col("event_id") % F.col("n")).alias("id1"), F.col("user_id").alias("id2")).distinct()
     rows = _embeddings(spark, sf).withColumn("url", F.concat(F.lit("https://example.com/"), "id"))
     return health.pair_similarity(rows, pairs, features.cosine, "vector").select("id1", "id2", "similarity", "band")
 

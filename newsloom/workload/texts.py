@@ -88,12 +88,14 @@ def _(spark, sf):
 
 
 _LANGUAGE = """
-    letters as (select doc_id, lang, length(text) as n, lower(substr(text, 1, 2000)) as t from documents),
+    letters as (select doc_id, lang, length(text) as n, lower(text) as whole, lower(substr(text, 1, 2000)) as t from documents),
+    taught as (select lang, substr(whole, i, 3) as gram
+               from (select lang, whole, unnest(range(1, greatest(length(whole) - 1, 1))) as i from letters)),
     grams as (select doc_id, lang, n, substr(t, i, 3) as gram
               from (select doc_id, lang, n, t, unnest(range(1, greatest(length(t) - 1, 1))) as i from letters)),
     profile as (select lang, gram, 301 - rk as weight from (
                     select lang, gram, row_number() over (partition by lang order by count(*) desc, gram) as rk
-                    from grams group by lang, gram) where rk <= 300),
+                    from taught group by lang, gram) where rk <= 300),
     scores as (select g.doc_id, p.lang, sum(p.weight) as score from grams g join profile p on g.gram = p.gram
                where g.n >= 50 group by 1, 2)"""
 
