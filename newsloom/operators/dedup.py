@@ -16,7 +16,7 @@ from newsloom.functions.features import content_text, feature_set, general_text,
 from newsloom.functions.urls import url_key
 from newsloom.operators.ids import assign_ids
 from newsloom.operators.joins import skew_safe_join
-from newsloom.operators.nearest import nearest_earlier_sets
+from newsloom.operators.nearest import KnownSets, best_of, known_sets, nearest_earlier_sets, nearest_known_sets
 from newsloom.schema import ARTICLES
 from newsloom.session import stage
 
@@ -61,38 +61,50 @@ def long_enough(text: Column) -> Column:
     return F.coalesce(F.length(trimmed(text)) >= MIN_QUERY_CHARS, F.lit(False))
 
 
-def content_matches(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _matches(stored: DataFrame, asking: DataFrame, vector: str, threshold: float, known: KnownSets | None) -> DataFrame:
+    """Nearest earlier row of asking rows `(id, features, asks)`: in the batch itself, or stored.
+
+    Stored rows are looked up through `known`; without it, it is made of all of them.
+    """
+    within = nearest_earlier_sets(asking, threshold)
+    if known is None:
+        if stored.isEmpty():
+            return within
+        known = known_sets(stored.select("id", F.col(vector).alias("features")), threshold)
+    return best_of(within, nearest_known_sets(asking.where("asks").select("id", "features"), known, threshold))
+
+
+def content_matches(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD,
+                    known: KnownSets | None = None) -> DataFrame:
     """Nearest earlier article by content for every batch row with at least 50 characters of text.
 
     Both frames have `id` (stored ids below batch ids) and `content_embedding`; the batch also has
-    `full_text`. A candidate needs any content at all.
+    `full_text`, or `asks` which says whether that is long enough. A candidate needs any content at all.
     """
-    rows = stored.select("id", F.col("content_embedding").alias("features"), F.lit(False).alias("asks"))
-    asking = batch.select(
-        "id", F.col("content_embedding").alias("features"), long_enough(F.col("full_text")).alias("asks")
-    )
-    return nearest_earlier_sets(rows.unionByName(asking), threshold)
+    asks = F.col("asks") if "asks" in batch.columns else long_enough(F.col("full_text"))
+    asking = batch.select("id", F.col("content_embedding").alias("features"), asks.alias("asks"))
+    return _matches(stored, asking, "content_embedding", threshold, known)
 
 
 def general_matches(stored: DataFrame, batch: DataFrame, matched: DataFrame,
-                    threshold: float = THRESHOLD) -> DataFrame:
+                    threshold: float = THRESHOLD, known: KnownSets | None = None) -> DataFrame:
     """Nearest earlier article by general text for batch rows not in `matched`."""
-    rows = stored.select("id", F.col("embedding").alias("features"), F.lit(False).alias("asks"))
     done = matched.select("id", F.lit(False).alias("open"))
     asking = batch.join(done, "id", "left").select(
         "id", F.col("embedding").alias("features"), F.coalesce("open", F.lit(True)).alias("asks")
     )
-    return nearest_earlier_sets(rows.unionByName(asking), threshold)
+    return _matches(stored, stage(asking, "asking"), "embedding", threshold, known)
 
 
 def flag_duplicates(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD,
-                    general: bool = True) -> DataFrame:
+                    general: bool = True, known: dict[str, KnownSets] | None = None) -> DataFrame:
     """Batch rows with is_duplicate, duplicate_of_id, similarity_score and general_similarity.
 
     A match by general text is recorded with the threshold as its score; the true value is kept in
     `general_similarity`.
     """
-    content = content_matches(stored, batch, threshold)
+    known = known or {}
+    content = content_matches(stored, batch, threshold, known.get("content"))
     if not general:
         return batch.join(content, "id", "left").select(
             *batch.columns,
@@ -102,7 +114,7 @@ def flag_duplicates(stored: DataFrame, batch: DataFrame, threshold: float = THRE
             F.lit(None).cast("double").alias("general_similarity"),
         )
     content = stage(content, "content-matches")
-    other = general_matches(stored, batch, content, threshold).select(
+    other = general_matches(stored, batch, content, threshold, known.get("general")).select(
         "id", F.col("match_id").alias("g_match"), F.col("similarity").alias("g_similarity")
     )
     return (
@@ -128,19 +140,23 @@ class Inserted:
 
 def dedup_insert(stored: DataFrame, batch: DataFrame, order: list[str], threshold: float = THRESHOLD,
                  use_vectors: bool = True, general: bool = True, category: str | None = None,
-                 scraped_at: Column | None = None) -> Inserted:
+                 scraped_at: Column | None = None, known: dict[str, KnownSets] | None = None) -> Inserted:
     """The rows a batch adds to the article table.
 
     URL conflicts are dropped, ids continue after the stored ones in the given order, and rows that
-    resemble an earlier one are flagged. Without vectors only the URL counts.
+    resemble an earlier one are flagged. Without vectors only the URL counts. `known` holds the stored
+    sets by kind ('content', 'general'); without it they are made from `stored`. Flags are found on ids
+    and feature sets; texts join them at the end.
     """
     last = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
     fresh = assign_ids(new_urls(batch, stored, order), order, last)
     if "scraped_at" not in fresh.columns:
         fresh = fresh.withColumn("scraped_at", scraped_at if scraped_at is not None else F.current_timestamp())
     if use_vectors:
-        fresh = stage(with_vectors(fresh, category), "fresh")
-        flagged = flag_duplicates(stored, fresh, threshold, general)
+        slim = with_vectors(fresh, category).select(
+            "id", "embedding", "content_embedding", long_enough(F.col("full_text")).alias("asks"))
+        flags = stage(flag_duplicates(stored, stage(slim, "fresh"), threshold, general, known).drop("asks"), "flags")
+        flagged = fresh.join(flags, "id")
     else:
         flagged = fresh.withColumns({
             "is_duplicate": F.lit(False),
@@ -149,10 +165,9 @@ def dedup_insert(stored: DataFrame, batch: DataFrame, order: list[str], threshol
             "embedding": F.lit(None).cast("array<bigint>"),
             "content_embedding": F.lit(None).cast("array<bigint>"),
         })
-    rows = stage(
-        flagged.select(*[F.col(f.name).cast(f.dataType) for f in ARTICLES.fields]), "inserted"
-    )
-    return Inserted(rows, insert_counters(batch, rows))
+        flags = fresh.select("id", F.lit(False).alias("is_duplicate"))
+    rows = flagged.select(*[F.col(f.name).cast(f.dataType) for f in ARTICLES.fields])
+    return Inserted(rows, insert_counters(batch, flags))
 
 
 def insert_counters(batch: DataFrame, rows: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ With `earlier=True` only candidates with a smaller id count, and all queries are
 
 from __future__ import annotations
 
+import functools
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -73,17 +75,8 @@ def nearest_earlier_sets(rows: DataFrame, threshold: float) -> DataFrame:
 
 def nearest_sets(queries: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
     """Nearest candidate set of every query. Inputs: `(id, features)`; equal sets fold as above."""
-
-    def folded(df: DataFrame) -> DataFrame:
-        return (
-            df.where("features IS NOT NULL")
-            .select("id", "features", *_vector_key(F.col("features")))
-            .groupBy("k1", "k2")
-            .agg(F.min("id").alias("id"), F.any_value("features").alias("features"))
-        )
-
-    asked = stage(folded(queries), "asked-sets")
-    stored = stage(folded(candidates), "stored-sets")
+    asked = stage(_distinct_sets(queries), "asked-sets")
+    stored = stage(_distinct_sets(candidates), "stored-sets")
     firsts = stored.select("k1", "k2", F.col("id").alias("match_id"))
     equal = asked.join(firsts, ["k1", "k2"]).select("k1", "k2", "match_id", F.lit(1.0).alias("similarity"))
     unequal = asked.join(firsts, ["k1", "k2"], "left_anti")
@@ -101,6 +94,79 @@ def nearest_sets(queries: DataFrame, candidates: DataFrame, threshold: float) ->
     )
 
 
+def _prefix_length(n: Column, threshold: float) -> Column:
+    return n - F.ceil(n * F.lit(threshold * threshold) - F.lit(1e-9)).cast("int") + 1
+
+
+def set_postings(sets: DataFrame, threshold: float) -> DataFrame:
+    """`(f, id, n, pos)` of the prefixes of `sets` `(id, features)`, coordinates in hash order.
+
+    That order never changes, so postings can be stored once and looked up by later sets.
+    """
+    n = F.size("features")
+    return sets.select(
+        "id", n.alias("n"), F.posexplode(F.slice("features", F.lit(1), _prefix_length(n, threshold))).alias("pos", "f")
+    ).select("f", "id", "n", "pos")
+
+
+@dataclass
+class KnownSets:
+    """Stored distinct sets: `keys` (k1, k2, id), `postings` (f, id, n, pos), `features` (id, features)."""
+
+    keys: DataFrame
+    postings: DataFrame
+    features: DataFrame
+
+
+def _distinct_sets(rows: DataFrame) -> DataFrame:
+    """`(k1, k2, id, features)`: each set once, under its smallest id."""
+    keyed = rows.where("features IS NOT NULL").select("id", "features", *_vector_key(F.col("features")))
+    return keyed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.any_value("features").alias("features"))
+
+
+def known_sets(rows: DataFrame, threshold: float) -> KnownSets:
+    """What `nearest_known_sets` looks up, made from a whole table `(id, features)`."""
+    distinct = stage(_distinct_sets(rows), "known-sets")
+    return KnownSets(distinct.select("k1", "k2", "id"), set_postings(distinct, threshold), distinct.select("id", "features"))
+
+
+def new_sets(rows: DataFrame, known: KnownSets, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The keys and postings that rows `(id, features)` add to what is known."""
+    fresh = stage(_distinct_sets(rows).join(known.keys.select("k1", "k2"), ["k1", "k2"], "left_anti"), "new-sets")
+    return fresh.select("k1", "k2", "id"), set_postings(fresh, threshold)
+
+
+def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -> DataFrame:
+    """Nearest known set of every query `(id, features)`.
+
+    Work follows the queries: of what is known, only postings of the queries' own prefix coordinates
+    and the features of sets that these name are taken; nothing stored is hashed, sorted or exploded.
+    """
+    asked = stage(_distinct_sets(queries), "asked-sets")
+    firsts = known.keys.select("k1", "k2", F.col("id").alias("match_id"))
+    equal = asked.join(firsts, ["k1", "k2"]).select("k1", "k2", "match_id", F.lit(1.0).alias("similarity"))
+    unequal = stage(asked.join(firsts, ["k1", "k2"], "left_anti"), "unequal-sets")
+    mine = set_postings(unequal, threshold)
+    theirs = stage(known.postings.join(mine.select("f").distinct(), "f", "left_semi"), "met-postings")
+    yes, no = F.lit(True), F.lit(False)
+    postings = stage(
+        mine.select("id", yes.alias("q"), no.alias("c"), "n", "pos", "f")
+        .unionByName(theirs.select("id", no.alias("q"), yes.alias("c"), "n", "pos", "f")), "met")
+    met = known.features.join(theirs.select("id").distinct(), "id", "left_semi")
+    rows = stage(
+        unequal.select("id", yes.alias("q"), no.alias("c"), "features")
+        .unionByName(met.select("id", no.alias("q"), yes.alias("c"), "features")), "sets")
+    near = _match(postings, rows, threshold, earlier=False)
+    found = asked.join(near, "id").select("k1", "k2", "match_id", "similarity")
+    keyed = queries.where("features IS NOT NULL").select("id", *_vector_key(F.col("features")))
+    return skew_safe_join(keyed, equal.unionByName(found), ["k1", "k2"]).select("id", "match_id", "similarity")
+
+
+def best_of(*matches: DataFrame) -> DataFrame:
+    """The most similar of several matches of a row, the smallest match on a tie."""
+    return _best(functools.reduce(DataFrame.unionByName, matches))
+
+
 def _prefix_join(rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
     """Neighbours among distinct sets `(id, q, c, features)`; q and c mark queries and candidates.
     `rows` is a stored table, as it is read several times.
@@ -109,14 +175,13 @@ def _prefix_join(rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
     within the first `n - ceil(t^2 n) + 1` of each. Joining on those coordinates alone finds every
     partner; sizes and positions drop most others before the sets themselves are compared.
     """
-    square = threshold * threshold
     ranks = (
         rows.where("c").select(F.explode("features").alias("f"))
         .groupBy("f").agg(F.count("*").alias("df"))
         .where(F.col("df") > 1)
         .orderBy(F.desc("df"), "f").limit(RANKED_COORDINATES)
     )
-    length = F.col("n") - F.ceil(F.col("n") * F.lit(square) - F.lit(1e-9)).cast("int") + 1
+    length = _prefix_length(F.col("n"), threshold)
     prefixes = stage(
         rows.select("id", "q", "c", F.size("features").alias("n"), F.explode("features").alias("f"))
         .join(F.broadcast(ranks), "f", "left")
@@ -126,6 +191,11 @@ def _prefix_join(rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
         "prefixes",
     )
     postings = prefixes.select("id", "q", "c", "n", F.posexplode("prefix").alias("pos", "f"))
+    return _match(postings, rows, threshold, earlier)
+
+
+def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
+    """Neighbours by `postings` `(id, q, c, n, pos, f)` of the prefixes of `rows`, both stored."""
     counts = stage(
         postings.groupBy("f")
         .agg(F.count_if("q").alias("mq"), F.count_if("c").alias("mc"))

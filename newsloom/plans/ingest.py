@@ -20,10 +20,15 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
               threshold: float = THRESHOLD, use_vectors: bool = True) -> DataFrame:
     """Ingest one batch of collected entries; returns its run row.
 
-    Works on what earlier batches stored and writes only under its own number, the run row last, so
-    a replay gives the same tables. A batch without entries leaves one 'partial' run. On an error
-    nothing of the batch becomes visible but a 'failed' run row, and the error is raised.
+    Works on what earlier batches stored and writes only to folders of this attempt, the run row last,
+    so nothing is visible before all of it is, a replay replaces the batch at once and whole, and a replay
+    that fails leaves the batch as it was. A batch without entries leaves one 'partial' run. On an error
+    nothing of the attempt becomes visible but a 'failed' run row, and the error is raised. Texts are
+    written when cleaned, when numbered, and in the result; all that is compared are ids and feature sets.
     """
+    if threshold < store.least_threshold:
+        raise ValueError("the store's postings are for thresholds from %s" % store.least_threshold)
+    attempt = store.new_attempt()
     started = store.spark.range(1).select(F.current_timestamp().alias("t")).first().t
     stored = store.articles(before=batch)
     try:
@@ -31,18 +36,21 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
         # Cleaning keeps the first row of a URL whatever its text, so the others need no page.
         first = unique_urls(entries, ENTRY_ORDER)
         cleaned = stage(clean_articles(enrich(first, pages), profiles, ENTRY_ORDER), "cleaned")
-        added = dedup_insert(stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started))
-        store.write_articles(added.rows, batch)
-        store.write_sources(mark_fetched(store.sources(before=batch), entries, F.lit(started)), batch)
+        known = store.known_sets(before=batch)
+        added = dedup_insert(
+            stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started), known=known)
+        store.write_articles(added.rows, batch, attempt)
+        if use_vectors:
+            store.write_sets(store.written(batch, attempt), known, batch, attempt)
+        store.write_sources(mark_fetched(store.sources(before=batch), entries, F.lit(started)), batch, attempt)
         found = entries.agg(F.count("*").alias("found")).scalar()
         counters = added.counters.withColumn("found", found)
         run = run_row(batch, counters, F.lit(started), F.current_timestamp())
-        store.write_run(run, batch)
+        store.write_run(run, batch, attempt)
     except Exception:
-        store.write_articles(stored.limit(0), batch)
         none = store.spark.range(1).select(
             *[F.lit(0).cast("bigint").alias(c) for c in ("found", "inserted", "skipped_vector", "skipped_url", "skipped")]
         )
-        store.write_run(run_row(batch, none, F.lit(started), F.current_timestamp(), failed=True), batch)
+        store.write_run(run_row(batch, none, F.lit(started), F.current_timestamp(), failed=True), batch, attempt)
         raise
     return store.runs().where(F.col("id") == batch)

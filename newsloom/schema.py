@@ -62,3 +62,19 @@ RUNS = T.StructType([
     T.StructField("errors", T.LongType()),
     T.StructField("status", T.StringType()),
 ])
+
+# Distinct feature sets of articles, by kind of text, and the coordinates they are found by.
+SETS = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("k1", T.LongType()),
+    T.StructField("k2", T.LongType()),
+    T.StructField("id", T.LongType()),
+])
+
+POSTINGS = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("f", T.LongType()),
+    T.StructField("id", T.LongType()),
+    T.StructField("n", T.IntegerType()),
+    T.StructField("pos", T.IntegerType()),
+])

@@ -1,18 +1,26 @@
 """Stored tables: scans, parameterised SQL, and the append-only article store.
 
-Layout under one root: `articles/batch=<id>`, `runs/batch=<id>`, `sources/version=<id>`. A batch
-overwrites only its own folders, so replaying it changes nothing. The run row is written last and
-readers take only batches that have one: a batch is visible whole or not at all.
+Layout under one root: `<table>/batch=<n>/attempt=<name>` for the tables articles, sources, sets,
+postings and runs. An attempt at a batch writes its own folders, its run row last. Readers take, of
+each batch, the attempt whose run row is the newest without failure: a batch is visible whole or not
+at all, and no attempt touches what another has written. Batch 0 holds the first sources.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from newsloom.schema import ARTICLES, RUNS, SOURCES
+from newsloom.operators.dedup import THRESHOLD
+from newsloom.operators.nearest import KnownSets, new_sets
+from newsloom.schema import ARTICLES, POSTINGS, RUNS, SETS, SOURCES
+
+FIRST = "first"
+KINDS = {"content": "content_embedding", "general": "embedding"}
 
 
 def active_sources(sources: DataFrame) -> DataFrame:
@@ -35,13 +43,21 @@ def query(spark: SparkSession, sql: str, args: dict | None = None, **tables: Dat
 
 
 class TableStore:
-    """Reads and writes the tables under one root folder."""
+    """Reads and writes the tables under one root folder.
+
+    `least_threshold`: the lowest similarity that stored postings can answer (a lower one needs longer
+    prefixes); it must stay what it was when the store began.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, least_threshold: float = THRESHOLD):
+        self.spark, self.root, self.least_threshold = spark, root.rstrip("/"), least_threshold
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    @staticmethod
+    def new_attempt() -> str:
+        return uuid.uuid4().hex
 
-    def _read(self, name: str, schema: T.StructType, partition: str) -> DataFrame:
-        wide = T.StructType(schema.fields + [T.StructField(partition, T.LongType())])
+    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+        wide = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("attempt", T.StringType())])
         try:
             return self.spark.read.schema(wide).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
@@ -49,30 +65,68 @@ class TableStore:
                 raise
             return self.spark.createDataFrame([], wide)
 
-    def runs(self) -> DataFrame:
-        return self._read("runs", RUNS, "batch").drop("batch")
+    def _write(self, rows: DataFrame, name: str, batch: int, attempt: str) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}/attempt={attempt}")
 
-    def articles(self, before: int | None = None) -> DataFrame:
-        """Articles of finished batches (with a number below `before`, when given)."""
-        finished = self._read("runs", RUNS, "batch").select("batch").distinct()
-        rows = self._read("articles", ARTICLES, "batch")
-        if before is not None:
-            rows = rows.where(F.col("batch") < before)
-        return rows.join(finished, "batch", "left_semi").drop("batch")
+    def _valid_runs(self) -> DataFrame:
+        """One run row of each batch: the newest that did not fail, else the newest."""
+        newest = Window.partitionBy("batch").orderBy(F.col("status") == "failed", F.desc("finished_at"), "attempt")
+        rows = self._read("runs", RUNS).withColumn("_rn", F.row_number().over(newest))
+        return rows.where("_rn = 1").drop("_rn")
 
-    def sources(self, before: int | None = None) -> DataFrame:
-        """The newest version of the source table (below `before`, when given)."""
-        rows = self._read("sources", SOURCES, "version")
+    def _visible(self, name: str, schema: T.StructType, before: int | None) -> DataFrame:
+        rows = self._read(name, schema)
         if before is not None:
-            rows = rows.where(F.col("version") < before)
-        newest = rows.agg(F.max("version")).scalar()
-        return rows.where(F.col("version") == newest).drop("version")
+            rows = rows.where(F.col("batch") < before)
+        valid = self._valid_runs().where("status <> 'failed'").select("batch", "attempt")
+        if name == "sources":
+            valid = valid.unionByName(self.spark.createDataFrame([(0, FIRST)], "batch bigint, attempt string"))
+        return rows.join(valid, ["batch", "attempt"], "left_semi").drop("attempt")
 
-    def write_articles(self, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/articles/batch={batch}")
+    def runs(self) -> DataFrame:
+        return self._valid_runs().drop("batch", "attempt")
 
-    def write_run(self, row: DataFrame, batch: int) -> None:
-        row.write.mode("overwrite").parquet(f"{self.root}/runs/batch={batch}")
+    def articles(self, before: int | None = None) -> DataFrame:
+        """Articles of finished batches (with a number below `before`, when given)."""
+        return self._visible("articles", ARTICLES, before).drop("batch")
 
-    def write_sources(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/sources/version={version}")
+    def sources(self, before: int | None = None) -> DataFrame:
+        """The source table as the newest finished batch (below `before`, when given) left it."""
+        rows = self._visible("sources", SOURCES, before)
+        newest = rows.agg(F.max("batch")).scalar()
+        return rows.where(F.col("batch") == newest).drop("batch")
+
+    def known_sets(self, before: int | None = None) -> dict[str, KnownSets]:
+        """The distinct feature sets of finished batches, by kind."""
+        keys, postings = self._visible("sets", SETS, before), self._visible("postings", POSTINGS, before)
+        articles = self.articles(before)
+        return {
+            kind: KnownSets(
+                keys.where(F.col("kind") == kind).select("k1", "k2", "id"),
+                postings.where(F.col("kind") == kind).select("f", "id", "n", "pos"),
+                articles.where(F.col(vector).isNotNull()).select("id", F.col(vector).alias("features")),
+            ) for kind, vector in KINDS.items()
+        }
+
+    def written(self, batch: int, attempt: str) -> DataFrame:
+        """Articles of an attempt, whether or not it is finished."""
+        return self.spark.read.schema(ARTICLES).parquet(f"{self.root}/articles/batch={batch}/attempt={attempt}")
+
+    def write_articles(self, rows: DataFrame, batch: int, attempt: str = "only") -> None:
+        self._write(rows, "articles", batch, attempt)
+
+    def write_sets(self, articles: DataFrame, known: dict[str, KnownSets], batch: int, attempt: str = "only") -> None:
+        """Keys and postings of the feature sets that `articles` add to what is known."""
+        keys, postings = [], []
+        for kind, vector in KINDS.items():
+            new = new_sets(articles.select("id", F.col(vector).alias("features")), known[kind], self.least_threshold)
+            for part, all_ in zip(new, (keys, postings)):
+                all_.append(part.withColumn("kind", F.lit(kind)))
+        self._write(keys[0].unionByName(keys[1]).select(*SETS.fieldNames()), "sets", batch, attempt)
+        self._write(postings[0].unionByName(postings[1]).select(*POSTINGS.fieldNames()), "postings", batch, attempt)
+
+    def write_run(self, row: DataFrame, batch: int, attempt: str = "only") -> None:
+        self._write(row, "runs", batch, attempt)
+
+    def write_sources(self, rows: DataFrame, batch: int, attempt: str = FIRST) -> None:
+        self._write(rows, "sources", batch, attempt)

@@ -217,6 +217,66 @@ def _(spark, sf):
         "id", "url", "title", "is_duplicate", "duplicate_of_id", "similarity_score")
 
 
+# --- the insert into a filled table ---------------------------------------------------------------
+
+
+def _insert_in_two(spark, sf):
+    """The same insert in two batches through the table store: the second meets what the first stored."""
+    from newsloom.session import scratch_path
+    from newsloom.sources.tables import TableStore
+
+    rows = stage(views.raw_batch(spark, sf), "batch").select(
+        "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
+        F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
+    half = rows.agg((F.max("ord") / 2).alias("half")).scalar()
+    placed = stage(rows.withColumn("late", F.col("ord") > half), "placed")
+    store, counters = TableStore(spark, scratch_path(spark, "store")), []
+    for batch, part in ((1, placed.where("NOT late")), (2, placed.where("late"))):
+        known = store.known_sets(before=batch)
+        added = dedup.dedup_insert(store.articles(before=batch), part.drop("late"), ["ord"], known=known)
+        store.write_articles(added.rows, batch)
+        store.write_sets(store.written(batch, "only"), known, batch)
+        counters.append(stage(added.counters, "counters"))
+        store.write_run(maintenance.run_row(batch, counters[-1], F.current_timestamp(), F.current_timestamp()), batch)
+    return store, counters
+
+
+@insert_query("d5_insert_into_stored", """
+    select n.id, n.url, n.title, f.is_duplicate, f.duplicate_of_id, f.similarity_score
+    from numbered n join flagged f on f.id = n.id""")
+def _(spark, sf):
+    """One batch or two: the rows are the same."""
+    return _insert_in_two(spark, sf)[0].articles().select("id", "url", "title", "is_duplicate", "duplicate_of_id", "similarity_score")
+
+
+_LATE = "select id, ord > (select max(ord) / 2.0 from raw_batch) as late from numbered"
+
+
+@insert_query("a9_counters_of_stored", f"""
+    select p.late, (select count(*) from raw_batch r where (r.ord > (select max(ord) / 2.0 from raw_batch)) = p.late) as found,
+           count(*) as inserted, count(*) filter (where is_duplicate) as skipped_vector
+    from flagged f join ({_LATE}) p on p.id = f.id group by p.late""")
+def _(spark, sf):
+    first, second = _insert_in_two(spark, sf)[1]
+    return (
+        first.withColumn("late", F.lit(False)).unionByName(second.withColumn("late", F.lit(True)))
+        .select("late", "found", "inserted", "skipped_vector"))
+
+
+@insert_query("d6_url_only_into_stored", """
+    select n.id, n.url from numbered n where n.ord > (select max(ord) / 2.0 from raw_batch)""")
+def _(spark, sf):
+    """The second half by URL only, after the first."""
+    rows = stage(views.raw_batch(spark, sf), "batch").select(
+        "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
+        F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
+    half = rows.agg((F.max("ord") / 2).alias("half")).scalar()
+    placed = stage(rows.withColumn("late", F.col("ord") > half), "placed")
+    empty = spark.createDataFrame([], dedup.ARTICLES)
+    stored = stage(dedup.dedup_insert(empty, placed.where("NOT late").drop("late"), ["ord"], use_vectors=False).rows, "stored")
+    return dedup.dedup_insert(stored, placed.where("late").drop("late"), ["ord"], use_vectors=False).rows.select("id", "url")
+
+
 @query("s10_article_append", "select count(*) as articles, count(distinct id) as ids from articles")
 def _(spark, sf):
     """Append through the table store in two batches, then read back what is visible."""

@@ -94,6 +94,30 @@ def test_failed_batch_is_invisible(spark, landed, sources, profiles, tmp_path):
     assert (run.status, run.errors, run.articles_inserted) == ("failed", 1, 0)
 
 
+def test_failed_replay_leaves_the_batch(spark, landed, sources, profiles, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    store.write_sources(sources, 0)
+    entries = feeds.collect(feeds.parse_feeds(feeds.read_feed_documents(spark, landed)), sources)
+    run_batch(store, 1, entries, pages(spark), profiles)
+    before = sorted(store.articles().collect())
+    broken = entries.withColumn("title", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        run_batch(store, 1, broken, pages(spark), profiles)
+    assert sorted(store.articles().collect()) == before and [r.status for r in store.runs().collect()] == ["success"]
+    # A crash between the writes: articles and sources are there, the run row is not.
+    monkeypatch.setattr(TableStore, "write_run", lambda *a: None)
+    run_batch(store, 1, entries.limit(1), pages(spark), profiles)
+    run_batch(store, 2, entries.limit(1), pages(spark), profiles)
+    assert sorted(store.articles().collect()) == before and store.runs().count() == 1
+    assert {r.name for r in store.sources().collect()} == {"Daily", "Weekly", "Off", "Silent"}
+
+
+def test_lower_threshold_than_the_postings_is_refused(spark, sources, profiles, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    with pytest.raises(ValueError):
+        run_batch(store, 1, None, None, profiles, threshold=0.5)
+
+
 def test_stream_of_feed_files(spark, landed, sources, profiles, tmp_path):
     store = TableStore(spark, str(tmp_path / "tables"))
     store.write_sources(sources, 0)
