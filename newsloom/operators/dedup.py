@@ -67,9 +67,9 @@ def _matches(stored: DataFrame, asking: DataFrame, vector: str, threshold: float
     Stored rows are looked up through `known`; without it, it is made of all of them.
     """
     within = nearest_earlier_sets(asking, threshold)
+    if (stored if known is None else known.keys).isEmpty():
+        return within
     if known is None:
-        if stored.isEmpty():
-            return within
         known = known_sets(stored.select("id", F.col(vector).alias("features")), threshold)
     return best_of(within, nearest_known_sets(asking.where("asks").select("id", "features"), known, threshold))
 
@@ -152,7 +152,7 @@ def dedup_insert(stored: DataFrame, batch: DataFrame, order: list[str], threshol
     fresh = assign_ids(new_urls(batch, stored, order), order, last)
     if "scraped_at" not in fresh.columns:
         fresh = fresh.withColumn("scraped_at", scraped_at if scraped_at is not None else F.current_timestamp())
-    if use_vectors:
+    if use_vectors and not fresh.isEmpty():
         slim = with_vectors(fresh, category).select(
             "id", "embedding", "content_embedding", long_enough(F.col("full_text")).alias("asks"))
         flags = stage(flag_duplicates(stored, stage(slim, "fresh"), threshold, general, known).drop("asks"), "flags")

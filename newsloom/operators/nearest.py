@@ -27,7 +27,8 @@ RANKED_COORDINATES = 100_000
 # A coordinate with more query/candidate pairs than this is compared in blocks.
 LIGHT_PAIRS = 65_536
 BLOCK_ROWS = 1_024
-PIVOTS = 256
+# Pivots are collected and sent to every task: at most 12 MB at a width of 384.
+PIVOTS = 4_096
 DENSE_BLOCK_ROWS = 2_048
 PLACES = 9
 
@@ -49,8 +50,9 @@ def _best(scored: DataFrame) -> DataFrame:
 # --- feature sets ------------------------------------------------------------------------------
 
 
-def nearest_earlier_sets(rows: DataFrame, threshold: float) -> DataFrame:
+def nearest_earlier_sets(rows: DataFrame, threshold: float, light_pairs: int | None = None) -> DataFrame:
     """Nearest earlier feature set of every asking row. Input: `(id, features, asks)`.
+    Coordinates with more than `light_pairs` pairs are compared in blocks.
 
     All rows are candidates for later ones. Equal sets are folded first: the smallest id of each
     distinct set stands for all of them, so a set held by a third of all rows costs one aggregation
@@ -70,7 +72,7 @@ def nearest_earlier_sets(rows: DataFrame, threshold: float) -> DataFrame:
     firsts = groups.select("k1", "k2", F.col("id").alias("match_id"))
     copies = skew_safe_join(keyed.where("asks").select("id", "k1", "k2"), firsts, ["k1", "k2"])
     copies = copies.where("match_id < id").select("id", "match_id", F.lit(1.0).alias("similarity"))
-    return copies.unionByName(_prefix_join(groups, threshold, earlier=True))
+    return copies.unionByName(_prefix_join(groups, threshold, True, light_pairs))
 
 
 def nearest_sets(queries: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
@@ -148,6 +150,9 @@ def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -
     unequal = stage(asked.join(firsts, ["k1", "k2"], "left_anti"), "unequal-sets")
     mine = set_postings(unequal, threshold)
     theirs = stage(known.postings.join(mine.select("f").distinct(), "f", "left_semi"), "met-postings")
+    keyed = queries.where("features IS NOT NULL").select("id", *_vector_key(F.col("features")))
+    if theirs.isEmpty():
+        return skew_safe_join(keyed, equal, ["k1", "k2"]).select("id", "match_id", "similarity")
     yes, no = F.lit(True), F.lit(False)
     postings = stage(
         mine.select("id", yes.alias("q"), no.alias("c"), "n", "pos", "f")
@@ -158,7 +163,6 @@ def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -
         .unionByName(met.select("id", no.alias("q"), yes.alias("c"), "features")), "sets")
     near = _match(postings, rows, threshold, earlier=False)
     found = asked.join(near, "id").select("k1", "k2", "match_id", "similarity")
-    keyed = queries.where("features IS NOT NULL").select("id", *_vector_key(F.col("features")))
     return skew_safe_join(keyed, equal.unionByName(found), ["k1", "k2"]).select("id", "match_id", "similarity")
 
 
@@ -167,7 +171,7 @@ def best_of(*matches: DataFrame) -> DataFrame:
     return _best(functools.reduce(DataFrame.unionByName, matches))
 
 
-def _prefix_join(rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
+def _prefix_join(rows: DataFrame, threshold: float, earlier: bool, light_pairs: int | None = None) -> DataFrame:
     """Neighbours among distinct sets `(id, q, c, features)`; q and c mark queries and candidates.
     `rows` is a stored table, as it is read several times.
 
@@ -191,17 +195,19 @@ def _prefix_join(rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
         "prefixes",
     )
     postings = prefixes.select("id", "q", "c", "n", F.posexplode("prefix").alias("pos", "f"))
-    return _match(postings, rows, threshold, earlier)
+    return _match(postings, rows, threshold, earlier, light_pairs)
 
 
-def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool) -> DataFrame:
+def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool, light_pairs: int | None = None) -> DataFrame:
     """Neighbours by `postings` `(id, q, c, n, pos, f)` of the prefixes of `rows`, both stored."""
     counts = stage(
         postings.groupBy("f")
         .agg(F.count_if("q").alias("mq"), F.count_if("c").alias("mc"))
         .where((F.col("mq") > 0) & (F.col("mc") > (1 if earlier else 0))),
         "coordinates",
-    ).withColumn("heavy", F.col("mq") * F.col("mc") > LIGHT_PAIRS)
+    ).withColumn("heavy", F.col("mq") * F.col("mc") > (LIGHT_PAIRS if light_pairs is None else light_pairs))
+    if counts.isEmpty():
+        return rows.sparkSession.createDataFrame([], RESULT)
     live = stage(skew_safe_join(postings, counts, ["f"]), "postings")
 
     def side(df: DataFrame, flag: str, prefix: str) -> DataFrame:
@@ -305,8 +311,10 @@ def _incidence(flat: np.ndarray, sizes: np.ndarray, coordinates: np.ndarray) ->
     return matrix
 
 
-def _row_best(q_id, c_id, similarity, threshold, earlier) -> pd.DataFrame:
+def _row_best(q_id, c_id, similarity, threshold, earlier, exclude_self=False) -> pd.DataFrame:
     """Best candidate per query; candidates are in id order, so the first maximum is the smallest."""
+    if exclude_self:
+        similarity = np.where(c_id[None, :] != q_id[:, None], similarity, -1.0)
     if earlier:
         similarity = np.where(c_id[None, :] < q_id[:, None], similarity, -1.0)
     at = similarity.argmax(axis=1)
@@ -326,7 +334,7 @@ def _unit_rows(df: DataFrame, *extra: str) -> DataFrame:
 
 
 def nearest_earlier_vectors(rows: DataFrame, threshold: float, probes: int | None = None,
-                            pivots: int = PIVOTS) -> DataFrame:
+                            pivots: int = PIVOTS, cell_rows: int | None = None) -> DataFrame:
     """Nearest earlier vector of every asking row. Input: `(id, vector, asks)`.
 
     See `nearest_vectors` for the method. Equal vectors are folded as in `nearest_earlier_sets`.
@@ -339,7 +347,7 @@ def nearest_earlier_vectors(rows: DataFrame, threshold: float, probes: int | Non
         ),
         "distinct-vectors",
     )
-    near = _cell_join(groups.where("asked"), groups, threshold, True, probes, pivots)
+    near = _cell_join(groups.where("asked"), groups, threshold, True, probes, pivots, cell_rows)
     by_key = groups.where("asked").select("k1", "k2", F.col("id").alias("first_id")).join(
         near.withColumnRenamed("id", "first_id"), "first_id", "left"
     )
@@ -355,14 +363,17 @@ def nearest_earlier_vectors(rows: DataFrame, threshold: float, probes: int | Non
 
 
 def nearest_vectors(queries: DataFrame, candidates: DataFrame, threshold: float,
-                    probes: int | None = None, pivots: int = PIVOTS) -> DataFrame:
+                    probes: int | None = None, pivots: int = PIVOTS, cell_rows: int | None = None,
+                    exclude_self: bool = False) -> DataFrame:
     """Nearest candidate vector of every query. Inputs: `(id, vector)`. Similarities have 9 places.
 
     Exact by default: candidates are spread over the cells of at most `pivots` pivot vectors and
     rings around them; a query visits only cells and rings that the triangle and bisector bounds
     cannot rule out (Lu et al. 2012). Inside a cell, blocks of bounded size are compared by matrix
     product. With `probes` set, a query visits its `probes` nearest cells only: the approximate
-    search of an inverted-file index, which may miss neighbours.
+    search of an inverted-file index, which may miss neighbours. Cells hold about `cell_rows` vectors,
+    as long as `pivots` allow. With `exclude_self` both inputs are parts of one table, and a row is
+    not its own neighbour. Zero vectors and those with numbers that aren't finite have no neighbours.
     """
 
     def folded(df: DataFrame) -> DataFrame:
@@ -372,18 +383,38 @@ def nearest_vectors(queries: DataFrame, candidates: DataFrame, threshold: float,
 
     asked = stage(folded(queries), "asked-vectors")
     stored = stage(folded(candidates), "stored-vectors")
-    near = _cell_join(asked, stored, threshold, False, probes, pivots)
+    if exclude_self:
+        return _nearest_others(queries, candidates, stored, threshold, probes, pivots, cell_rows)
+    near = _cell_join(asked, stored, threshold, False, probes, pivots, cell_rows, exclude_self)
     by_key = asked.select("id", "k1", "k2").join(near, "id").select("k1", "k2", "match_id", "similarity")
     keyed = _unit_rows(queries).select("id", "k1", "k2")
     return skew_safe_join(keyed, by_key, ["k1", "k2"]).select("id", "match_id", "similarity")
 
 
-def _cell_join(queries, groups, threshold, earlier, probes, pivots) -> DataFrame:
+def _nearest_others(queries, candidates, stored, threshold, probes, pivots, cell_rows) -> DataFrame:
+    """Nearest candidate other than the row itself: the smallest other id with the same vector, or what
+    the vector, searched once without its own, is nearest to."""
+    keyed = _unit_rows(queries)
+    firsts = stored.select("k1", "k2", F.col("id").alias("first"))
+    later = _unit_rows(candidates).join(firsts, ["k1", "k2"]).where("id > first").groupBy("k1", "k2").agg(F.min("id").alias("second"))
+    pairs = stage(firsts.join(later, ["k1", "k2"], "left"), "first-ids")
+    met = skew_safe_join(keyed, pairs, ["k1", "k2"], "left").withColumn(
+        "other", F.when(F.col("first") != F.col("id"), F.col("first")).otherwise(F.col("second")))
+    met = stage(met, "met-vectors")
+    copies = met.where("other IS NOT NULL").select("id", F.col("other").alias("match_id"), F.lit(1.0).alias("similarity"))
+    named = met.withColumn("_name", F.coalesce("first", "id"))
+    asked = stage(named.groupBy(F.col("_name").alias("id")).agg(F.any_value("vector").alias("vector")), "asked-vectors")
+    near = _cell_join(asked, stored, threshold, False, probes, pivots, cell_rows, True).withColumnRenamed("id", "_name")
+    found = skew_safe_join(named.select("id", "_name"), near, ["_name"]).select("id", "match_id", "similarity")
+    return best_of(copies, found)
+
+
+def _cell_join(queries, groups, threshold, earlier, probes, pivots, cell_rows=None, exclude_self=False) -> DataFrame:
     spark = groups.sparkSession
     reach = math.sqrt(max(2.0 - 2.0 * threshold, 0.0)) + 1e-6
     # Cells should fill a block: every further cell a query visits costs a copy of its vector. The
     # number of vectors collected is bounded; hash order spreads them like the data.
-    pivots = max(1, min(pivots, groups.count() // DENSE_BLOCK_ROWS))
+    pivots = max(1, min(pivots, groups.count() // (cell_rows or DENSE_BLOCK_ROWS)))
     chosen = groups.orderBy("k1", "k2").limit(pivots).select("vector").collect()
     if not chosen:
         return spark.createDataFrame([], RESULT)
@@ -464,7 +495,7 @@ def _cell_join(queries, groups, threshold, earlier, probes, pivots) -> DataFrame
         a, b = np.stack(q.vector.to_numpy()), np.stack(c.vector.to_numpy())
         a = a / np.linalg.norm(a, axis=1, keepdims=True)
         b = b / np.linalg.norm(b, axis=1, keepdims=True)
-        return _row_best(q.id.to_numpy(), c.id.to_numpy(), np.round(a @ b.T, PLACES), threshold, earlier)
+        return _row_best(q.id.to_numpy(), c.id.to_numpy(), np.round(a @ b.T, PLACES), threshold, earlier, exclude_self)
 
     keys = ["cell", "bq", "bc"]
     best = (

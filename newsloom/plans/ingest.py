@@ -40,8 +40,9 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
         added = dedup_insert(
             stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started), known=known)
         store.write_articles(added.rows, batch, attempt)
-        if use_vectors:
-            store.write_sets(store.written(batch, attempt), known, batch, attempt)
+        written = store.written(batch, attempt)
+        if use_vectors and not written.isEmpty():
+            store.write_sets(written, known, batch, attempt)
         store.write_sources(mark_fetched(store.sources(before=batch), entries, F.lit(started)), batch, attempt)
         found = entries.agg(F.count("*").alias("found")).scalar()
         counters = added.counters.withColumn("found", found)

@@ -1,4 +1,4 @@
-"""Landed feed documents (RSS and Atom) to entry rows.
+"""Landed feed documents (RSS 2.0, RSS 1.0 and Atom) to entry rows.
 
 A feed document is one file: `<root>/source_id=<id>/<name>.xml`. Documents are read whole, one row
 each, and entries keep their position in the document.
@@ -9,20 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions.barrier import with_computed
 from newsloom.functions.dates import first_date
 from newsloom.functions.text import SUMMARY_CHARS, clip, first_non_empty, strip_tags
 
 _ITEM = (
-    "title STRING, link STRING, description STRING, summary STRING, `content:encoded` STRING, "
+    "title STRING, link STRING, guid STRUCT<_VALUE: STRING, _isPermaLink: STRING>, "
+    "description STRING, summary STRING, `content:encoded` STRING, "
     "pubDate STRING, `dc:date` STRING, author STRING, `dc:creator` STRING"
 )
 _ENTRY = (
     "title STRING, link ARRAY<STRUCT<_href: STRING, _rel: STRING>>, summary STRING, content STRING, "
     "published STRING, updated STRING, created STRING, author STRUCT<name: STRING>"
 )
-# RSS keeps its entries in <channel>, Atom directly in the root.
+# RSS 2.0 keeps its entries in <channel>, RSS 1.0 beside it, Atom directly in the root.
 DOCUMENT = (
-    f"channel STRUCT<title: STRING, description: STRING, item: ARRAY<STRUCT<{_ITEM}>>>, "
+    f"channel STRUCT<title: STRING, description: STRING, item: ARRAY<STRUCT<{_ITEM}>>>, item ARRAY<STRUCT<{_ITEM}>>, "
     f"title STRING, subtitle STRING, entry ARRAY<STRUCT<{_ENTRY}>>, _broken STRING"
 )
 
@@ -35,12 +37,27 @@ def read_feed_documents(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _parsed(document: Column) -> Column:
+    return F.from_xml(document, DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+
+
+def _salvaged(document: Column) -> Column:
+    """What is whole in a damaged document: its root tag, which declares name spaces, and all complete entries."""
+    root = F.regexp_extract(document, r"<(?:rss|feed|rdf:RDF)\b[^>]*>", 0)
+    name = F.regexp_extract(root, r"<([^\s>]+)", 1)
+    whole = F.regexp_extract_all(document, F.lit(r"(?s)<(item|entry)\b[^>]*>.*?</\1>"), F.lit(0))
+    return F.concat(root, F.array_join(whole, ""), F.lit("</"), name, F.lit(">"))
+
+
 def parse_feeds(documents: DataFrame) -> DataFrame:
-    """`(…, feed)`: each document as one nested value; `feed._broken` holds unreadable ones."""
-    parsed = F.from_xml(
-        F.col("document"), DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    )
-    return documents.withColumn("feed", parsed).drop("document")
+    """`(…, feed)`: each document as one nested value. Of a damaged one, `feed` holds the complete
+    entries and `feed._broken` its text."""
+    read = with_computed(documents, _feed=_parsed(F.col("document")))
+    broken = F.col("_feed._broken").isNotNull()
+    saved = _parsed(F.when(broken, _salvaged(F.col("document"))))
+    read = with_computed(read, _saved=saved)
+    feed = F.when(broken, F.coalesce("_saved", "_feed").withField("_broken", F.col("_feed._broken"))).otherwise(F.col("_feed"))
+    return read.withColumn("feed", feed).drop("document", "_feed", "_saved")
 
 
 def channels(feeds: DataFrame) -> DataFrame:
@@ -57,9 +74,15 @@ def _atom_link(links: Column) -> Column:
     return F.coalesce(F.get(main, 0)["_href"], F.get(links, 0)["_href"])
 
 
+def _rss_link(e: Column) -> Column:
+    """The link, or else a guid that isn't said to be no link."""
+    guid = F.when(F.coalesce(F.lower(e["guid"]["_isPermaLink"]), F.lit("true")) != "false", F.trim(e["guid"]["_VALUE"]))
+    return F.coalesce(F.nullif(F.trim(e["link"]), F.lit("")), guid)
+
+
 def _rss_entry(e: Column) -> Column:
     return F.struct(
-        F.trim(e["link"]).alias("url"), e["title"].alias("title"),
+        _rss_link(e).alias("url"), e["title"].alias("title"),
         first_non_empty(e["content:encoded"], e["summary"], e["description"]).alias("summary"),
         first_date(e["pubDate"], e["dc:date"]).alias("published"),
         first_non_empty(e["author"], e["dc:creator"]).alias("author"),
@@ -83,7 +106,8 @@ def entries(feeds: DataFrame, carry: tuple[str, ...] = ("source_id",)) -> DataFr
     can be read. A document is read once, whichever of the two forms it has.
     """
     found = F.coalesce(
-        F.transform("feed.channel.item", _rss_entry), F.transform("feed.entry", _atom_entry)
+        F.transform("feed.channel.item", _rss_entry), F.transform("feed.item", _rss_entry),
+        F.transform("feed.entry", _atom_entry)
     )
     return (
         feeds.select(*carry, F.posexplode(found).alias("position", "e"))
@@ -105,7 +129,7 @@ def collect(feeds: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def feed_counts(feeds: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per active source: documents, entries, and documents that could not be read."""
+    """Per active source: documents, entries, and documents that were damaged."""
     per_feed = feeds.groupBy("source_id").agg(
         F.count("*").alias("documents"), F.count_if(F.col("feed._broken").isNotNull()).alias("errors")
     )

@@ -96,6 +96,14 @@ def _(spark, sf):
     return dedup.content_matches(*_batch(spark, sf))
 
 
+@query("d3_heavy_blocks", f"with {_SETS} select * from content")
+def _(spark, sf):
+    """The same with every shared coordinate of more than twenty pairs compared in blocks."""
+    rows = _batch(spark, sf)[1].select(
+        "id", F.col("content_embedding").alias("features"), dedup.long_enough(F.col("full_text")).alias("asks"))
+    return nearest.nearest_earlier_sets(rows, dedup.THRESHOLD, light_pairs=20)
+
+
 @query("d4_general_duplicates", f"with {_SETS} select * from general")
 def _(spark, sf):
     stored, batch = _batch(spark, sf)
@@ -319,6 +327,43 @@ def _(spark, sf):
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@query("j5_pruned_cells", f"""
+    with {_SIMS}
+    select id, other as match_id, round(s, 6) as similarity from (
+        select id, other, s, row_number() over (partition by id order by s desc, other) as rk from sims
+        where label <= 4 and other_label > 4 and s >= {LOOSE}) where rk = 1""")
+def _(spark, sf):
+    """Cells of some 16 vectors, so that queries pass over cells and rings."""
+    e = _embeddings(spark, sf)
+    found = nearest.nearest_vectors(e.where("label <= 4"), e.where("label > 4"), LOOSE, cell_rows=16)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("j8_nearest_others", f"""
+    with {_SIMS}
+    select id, other as match_id, round(s, 6) as similarity from (
+        select id, other, s, row_number() over (partition by id order by s desc, other) as rk from sims
+        where other <> id and s >= {LOOSE}) where rk = 1""")
+def _(spark, sf):
+    """The nearest other vector of every vector."""
+    e = _embeddings(spark, sf)
+    return nearest.nearest_vectors(e, e, LOOSE, exclude_self=True).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("d3_probe_recall", f"""
+    with {_SIMS} select count(distinct id) as matches, true as recall_reached from sims where other < id and s >= {LOOSE}""")
+def _(spark, sf):
+    """How many rows exact search matches, and whether visiting half of eight cells finds 0.7 of these."""
+    rows = _embeddings(spark, sf).select("id", "vector", F.lit(True).alias("asks"))
+    n = rows.count()
+    exact = stage(nearest.nearest_earlier_vectors(rows, LOOSE), "exact")
+    few = nearest.nearest_earlier_vectors(rows, LOOSE, probes=4, pivots=8, cell_rows=max(1, n // 8))
+    found = exact.join(few.select("id", F.col("match_id").alias("found")), "id", "left")
+    return found.agg(
+        F.count("*").alias("matches"),
+        (F.count_if(F.col("found") == F.col("match_id")) >= 0.7 * F.count("*")).alias("recall_reached"))
+
+
 @query("j6_nearest_by_general", f"""
     with {_SIMS}
     select id, other as match_id from (
@@ -371,6 +416,29 @@ def _(spark, sf):
     return nearest.similarity_to(e, e.where("id = 7"), "vector").select("id", F.round("similarity", 6).alias("similarity"))
 
 
+@query("t6_dedup_health", f"""
+    with {_FLAGGED}, last as (
+        select a.id from articles a order by a.id desc limit 10),
+    newest as (select max(id) as id from shingled where len(cs) > 0),
+    post as (select id, len(cs) as n, unnest(cs) as f from shingled),
+    sims as (select b.id as m, count(*) / sqrt(any_value(a.n) * any_value(b.n)) as s from post a join post b on a.f = b.f
+             where a.id = (select id from newest) and b.id <> a.id group by b.id)
+    select 'Last Articles' as section, id, null::double as similarity from last
+    union all select 'Latest Match', m, round(s, 6) from (select m, s from sims where s >= 0.5 order by s desc, m limit 1)
+    union all select 'Counts', count(*), null from articles""")
+def _(spark, sf):
+    rows = stage(views.embedded(spark, sf), "embedded")
+    flags = stage(_flagged(spark, sf), "flagged").select("id", "is_duplicate", "duplicate_of_id", "similarity_score")
+    articles = views.articles(spark, sf).join(rows.select("id", "embedding", "content_embedding"), "id").join(flags, "id")
+    parts = health.dedup_health(articles)
+    none = F.lit(None).cast("double").alias("similarity")
+    counts = parts["Counts"]
+    return (
+        parts["Last Articles"].select(F.lit("Last Articles").alias("section"), F.col("id").cast("bigint").alias("id"), none)
+        .unionByName(parts["Latest Match"].select(F.lit("Latest Match").alias("section"), F.col("match_id").alias("id"), F.round("similarity", 6).alias("similarity")))
+        .unionByName(counts.select(F.lit("Counts").alias("section"), F.col(counts.columns[0]).cast("bigint").alias("id"), none)))
+
+
 @query("t6_latest_embedded", "select max(vec_id) as id from embeddings")
 def _(spark, sf):
     rows = _embeddings(spark, sf).withColumn("url", F.lit(""))

@@ -34,7 +34,7 @@ def _(spark, sf):
     return tables.active_names(views.sources(spark, sf))
 
 
-# Files 0, 7, 14, ... of source 3 are cut off and unreadable.
+# Files 0, 7, 14, ... of source 3 are cut off within their last entry.
 _FEED_ROWS = rf"""
     feed_rows as (
         select source_id, cast(id // {views.FEED_SPAN} as bigint) as snapshot, id, url,
@@ -44,7 +44,9 @@ _FEED_ROWS = rf"""
                date_trunc('second', published_at) as published, coalesce(author, '') as author
         from articles where source_id is not null
     ),
-    readable as (select * from feed_rows where not (source_id = 3 and snapshot % 7 = 0)),
+    readable as (
+        select * exclude (last_id) from (select *, max(id) over (partition by source_id, snapshot) as last_id from feed_rows)
+        where not (source_id = 3 and snapshot % 7 = 0 and id = last_id)),
     landed as (
         select *, cast(row_number() over (partition by source_id, snapshot order by id) - 1 as int) as position
         from readable)"""

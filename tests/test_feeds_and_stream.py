@@ -59,6 +59,24 @@ def test_feed_files(spark, landed, sources):
     assert channels == {1: ("Daily", "All news")}
 
 
+def test_damaged_guid_only_and_rss_1_feeds(spark):
+    item = "<item><title>{0} story</title><link>http://n/{0}</link></item>"
+    documents = [
+        (1, '<?xml version="1.0"?><rss xmlns:dc="http://d/"><channel><title>T</title>' + item.format("One")
+         + "<item><title>Two story</title><dc:date>2024-01-02</dc:date><link>http://n/2</link></item><item><title>Cut"),
+        (2, "<rss><channel><item><title>Guid story</title><guid>http://n/g</guid></item>"
+            '<item><title>No link</title><guid isPermaLink="false">17</guid></item></channel></rss>'),
+        (3, '<rdf:RDF xmlns:rdf="http://r/" xmlns="http://p/"><channel><title>C</title></channel>' + item.format("Old") + "</rdf:RDF>"),
+        (4, "nothing of the kind"), (5, None), (6, "<feed><entry><title>A</title><link href='http://n/a'/></entry><entry>"),
+    ]
+    parsed = feeds.parse_feeds(spark.createDataFrame(documents, "source_id int, document string"))
+    got = {(r.source_id, r.url, r.title) for r in feeds.entries(parsed).collect()}
+    assert got == {(1, "http://n/One", "One story"), (1, "http://n/2", "Two story"), (2, "http://n/g", "Guid story"),
+                   (3, "http://n/Old", "Old story"), (6, "http://n/a", "A")}
+    broken = {r.source_id for r in parsed.where("feed._broken IS NOT NULL").collect()}
+    assert broken == {1, 4, 6}
+
+
 def pages(spark):
     body = "".join(f"<p>Sentence number {i} of the body text is long enough to be kept.</p>" for i in range(9))
     return spark.createDataFrame([("http://n/3", f"<article>{body}</article>")], "url string, html string")

@@ -129,3 +129,34 @@ def test_prefix_anti_join(spark):
     got = [r.k for r in without_stored_prefix(left, right, "k").collect()]
     want = [f for f in fresh if f is None or not any(s.startswith(f) for s in stored)]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_known_sets_give_what_one_table_gives(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 16)
+    stored, batch = make_sets(200, 3), {1000 + i: s for i, s in make_sets(150, 2).items()}
+    for light in (65_536, 20):
+        monkeypatch.setattr(nearest, "LIGHT_PAIRS", light)
+        rows = frame(spark, stored)
+        first = nearest.known_sets(rows.where("id < 100"), 0.9)
+        keys, postings = nearest.new_sets(rows.where("id >= 100"), first, 0.9)
+        known = nearest.KnownSets(first.keys.unionByName(keys), first.postings.unionByName(postings), rows)
+        assert known.keys.count() == len(set(stored.values()))
+        got = result(nearest.nearest_known_sets(frame(spark, batch), known, 0.9))
+        assert got == brute_sets(batch, stored, 0.9, lambda q, c: True)
+
+
+def test_zero_and_endless_vectors_hide_nothing(spark):
+    rows = [(0, [0.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.01]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (5, None)]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    got = result(nearest.nearest_earlier_vectors(df.withColumn("asks", F.lit(True)), 0.9, pivots=2, cell_rows=1))
+    assert {i: m for i, (m, _) in got.items()} == {2: 1}
+    got = result(nearest.nearest_vectors(df, df, 0.9, exclude_self=True))
+    assert {i: m for i, (m, _) in got.items()} == {1: 2, 2: 1}
+    assert nearest.nearest_to(df, df.where("id = 1"), "vector", ["id"]).first().id == 2
+
+
+def test_nearest_others_with_copies(spark):
+    m = make_vectors(60)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id bigint, vector array<double>")
+    got = result(nearest.nearest_vectors(df, df, 0.5, cell_rows=8, exclude_self=True))
+    assert {i: v[0] for i, v in got.items()} == brute_vectors(m, m, 0.5, lambda q, c: q != c)
