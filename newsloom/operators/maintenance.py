@@ -101,14 +101,15 @@ def run_status(found: Column, failed: Column) -> Column:
 
 
 def run_row(run_id: int, counters: DataFrame, started_at: Column, finished_at: Column,
-            failed: bool = False) -> DataFrame:
-    """The row of one finished run from `insert_counters`. A run that found nothing is 'partial'."""
+            failed: bool = False, damaged: int = 0) -> DataFrame:
+    """The row of one finished run from `insert_counters`. A run that found nothing is 'partial';
+    errors are a failure of the run and its `damaged` feed documents."""
     return counters.select(
         F.lit(run_id).cast("bigint").alias("id"),
         started_at.cast("timestamp").alias("started_at"), finished_at.cast("timestamp").alias("finished_at"),
         F.col("found").alias("articles_found"), F.col("inserted").alias("articles_inserted"),
         F.col("skipped").alias("articles_skipped"),
-        F.lit(1 if failed else 0).cast("bigint").alias("errors"),
+        F.lit(int(failed) + damaged).cast("bigint").alias("errors"),
         run_status(F.col("found"), F.lit(failed)).alias("status"),
     )
 

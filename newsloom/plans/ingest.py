@@ -17,7 +17,7 @@ ENTRY_ORDER = ["source_id", "position", "url"]
 
 
 def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFrame, profiles: DataFrame,
-              threshold: float = THRESHOLD, use_vectors: bool = True) -> DataFrame:
+              threshold: float = THRESHOLD, use_vectors: bool = True, damaged: int = 0) -> DataFrame:
     """Ingest one batch of collected entries; returns its run row.
 
     Works on what earlier batches stored and writes only to folders of this attempt, the run row last,
@@ -46,7 +46,7 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
         store.write_sources(mark_fetched(store.sources(before=batch), entries, F.lit(started)), batch, attempt)
         found = entries.agg(F.count("*").alias("found")).scalar()
         counters = added.counters.withColumn("found", found)
-        run = run_row(batch, counters, F.lit(started), F.current_timestamp())
+        run = run_row(batch, counters, F.lit(started), F.current_timestamp(), damaged=damaged)
         store.write_run(run, batch, attempt)
     except Exception:
         none = store.spark.range(1).select(

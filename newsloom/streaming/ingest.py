@@ -61,10 +61,12 @@ def start_ingest(stream: DataFrame, store: TableStore, pages: DataFrame, profile
     """
 
     def ingest(batch_rows: DataFrame, batch_id: int) -> None:
-        rows = batch_rows
+        rows, damaged = batch_rows, 0
         if feeds:
-            rows = collect(parse_feeds(batch_rows), store.sources(before=batch_id + 1))
-        run_batch(store, batch_id + 1, rows, pages, profiles, threshold)
+            parsed = parse_feeds(batch_rows)
+            damaged = parsed.where("feed._broken IS NOT NULL").count()
+            rows = collect(parsed, store.sources(before=batch_id + 1))
+        run_batch(store, batch_id + 1, rows, pages, profiles, threshold, damaged=damaged)
 
     writer = stream.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=INTERVAL)

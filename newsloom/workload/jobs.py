@@ -11,45 +11,117 @@ from newsloom.sources.feeds import collect
 from newsloom.sources.tables import TableStore
 from newsloom.streaming.ingest import entry_stream, start_ingest, unique_url_stream
 from newsloom.workload import views
-from newsloom.workload.catalog import query
+from newsloom.workload.catalog import ORACLE, query
+from newsloom.workload.similarity import FLAGGED
+from newsloom.workload.tables import FEED_ROWS
+from newsloom.workload.texts import CLEAN_LANGUAGE, LANGUAGE, PAGE_TEXT, collapse, decode
 from newsloom.workload.views import spread, table
 
 
+# The job in SQL: entries of the landed feeds, page text, cleaning, languages, ids, and flags.
+_JOB = rf"""
+    articles as ({views.VIEWS["articles"]}), sources as ({views.VIEWS["sources"]}),
+    {FEED_ROWS},
+    {PAGE_TEXT},
+    entries as (
+        select l.source_id, l.position, l.url, l.title, l.summary, l.author, l.published, a.text
+        from landed l join sources s on s.id = l.source_id
+        left join (select x.url, p.text from page_text p join articles x on x.id = p.page_id) a on a.url = l.url
+        where s.is_active and l.title <> ''),
+    plain_rows as (
+        select source_id, position, url, nullif({collapse(decode('title'))}, '') as title,
+               nullif({collapse(decode('summary'))}, '') as summary,
+               nullif({collapse(decode("nullif(text[1:50000], '')"))}, '') as full_text from entries),
+    kept as (select *, coalesce(full_text, summary) as t from plain_rows
+             where (full_text is not null or summary is not null) and length(title) >= 5),
+    {LANGUAGE},
+    {CLEAN_LANGUAGE},
+    numbered as (
+        select row_number() over (order by source_id, position, k.url) as id, k.url, title, summary, full_text,
+               coalesce(b.lang, 'en') as language, cast(len(regexp_extract_all(t, '{views.WORD}')) as int) as word_count
+        from kept k left join kbest b on b.url = k.url and b.rk = 1),
+    texts as ({views.VIEWS["texts"].replace("from articles", "from numbered")}),
+    shingled as ({views.VIEWS["shingled"]}),
+    {FLAGGED}"""
+_ARTICLES = f"""
+    with {_JOB}
+    select n.id, n.url, n.title, n.language, n.word_count, f.is_duplicate, f.duplicate_of_id, f.similarity_score
+    from numbered n join flagged f on f.id = n.id"""
+
+
+def job_query(name: str, sql: str):
+    """Register a query whose SQL spells out its own views."""
+
+    def add(function):
+        query(name)(function)
+        ORACLE[name] = sql
+        return function
+
+    return add
+
+
 def _inputs(spark, sf):
     store = TableStore(spark, scratch_path(spark, "store"))
     store.write_sources(views.sources(spark, sf), 0)
     profiles = train_profiles(spread(table(spark, sf, "documents"), "doc_id"))
     entries = collect(views.feeds(spark, sf), views.sources(spark, sf))
-    # Feed positions restart in every file; the global order is by URL within a source.
-    return store, profiles, entries
+    # Pages stand under the URLs of the articles with their numbers.
+    urls = views.articles(spark, sf).select(F.col("id").alias("page_id"), "url")
+    pages = table(spark, sf, "pages").select("page_id", "html").join(urls, "page_id").select("url", "html")
+    return store, profiles, entries, pages
+
+
+def _stored(store):
+    return store.articles().select(
+        "id", "url", "title", "language", "word_count", "is_duplicate", "duplicate_of_id", "similarity_score")
 
 
-@query("r8_ingest_job")
+@job_query("r8_ingest_job", _ARTICLES)
 def _(spark, sf):
-    store, profiles, entries = _inputs(spark, sf)
-    run_batch(store, 1, entries, table(spark, sf, "pages"), profiles)
-    return store.runs().select("id", "articles_found", "articles_inserted", "articles_skipped", "errors", "status")
+    store, profiles, entries, pages = _inputs(spark, sf)
+    run_batch(store, 1, entries, pages, profiles)
+    return _stored(store)
+
+
+@job_query("r8_run_row", f"""
+    with {_JOB}
+    select 1::bigint as id, (select count(*) from entries) as articles_found, count(*) as articles_inserted,
+           count(*) filter (where is_duplicate) as articles_skipped, 0::bigint as errors, 'success' as status from flagged""")
+def _(spark, sf):
+    store, profiles, entries, pages = _inputs(spark, sf)
+    return run_batch(store, 1, entries, pages, profiles).select(
+        "id", "articles_found", "articles_inserted", "articles_skipped", "errors", "status")
 
 
 def _landed(spark, sf, entries):
+    """Two files, one after the other, so that they are read in this order."""
     path = scratch_path(spark, "landed")
-    entries.repartitionByRange(2, "source_id").write.parquet(path)
+    for part in (entries.where("source_id < 10"), entries.where("source_id >= 10")):
+        part.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-@query("st1_incremental_ingest")
+@job_query("st1_incremental_ingest", _ARTICLES)
 def _(spark, sf):
-    """Two landed files, one micro-batch each: ST1, ST2, ST4 and ST5 in one job."""
-    store, profiles, entries = _inputs(spark, sf)
+    """Two landed files, one micro-batch each: ST1, ST2, ST4 and ST5 in one job; the rows of one batch."""
+    store, profiles, entries, pages = _inputs(spark, sf)
     stream = entry_stream(spark, _landed(spark, sf, entries), files_per_batch=1)
-    start_ingest(
-        stream, store, table(spark, sf, "pages"), profiles, scratch_path(spark, "ingest"), once=True
-    ).awaitTermination()
-    return store.runs().select("id", "articles_found", "articles_inserted", "articles_skipped", "errors", "status")
+    start_ingest(stream, store, pages, profiles, scratch_path(spark, "ingest"), once=True).awaitTermination()
+    return _stored(store)
+
+
+@query("st3_watermarked_urls", "select distinct lower(url) as url_key from raw_batch where published_at is not null")
+def _(spark, sf):
+    """With a watermark of ten years no state is dropped, so every URL with a time comes once."""
+    return _unique(spark, sf, "3650 days").where("published IS NOT NULL").select("url_key").distinct()
 
 
-@query("st3_unique_url_stream", "select count(distinct lower(url)) as urls from raw_batch")
+@query("st3_unique_url_stream", "select distinct lower(url) as url_key from raw_batch")
 def _(spark, sf):
+    return _unique(spark, sf, None).select("url_key")
+
+
+def _unique(spark, sf, watermark):
     path = scratch_path(spark, "landed")
     views.raw_batch(spark, sf).select(
         "url", "title", "summary", F.col("published_at").alias("published"), "author", "source_id",
@@ -57,8 +129,8 @@ def _(spark, sf):
     ).write.parquet(path)
     out = scratch_path(spark, "unique")
     (
-        unique_url_stream(entry_stream(spark, path)).writeStream.format("parquet")
+        unique_url_stream(entry_stream(spark, path), watermark).writeStream.format("parquet")
         .option("checkpointLocation", scratch_path(spark, "unique-log"))
         .trigger(availableNow=True).start(out).awaitTermination()
     )
-    return spark.read.parquet(out).agg(F.count("*").alias("urls"))
+    return spark.read.parquet(out)

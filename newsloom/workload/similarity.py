@@ -110,7 +110,7 @@ def _(spark, sf):
     return dedup.general_matches(stored, batch, dedup.content_matches(stored, batch))
 
 
-_FLAGGED = f"""{_SETS},
+FLAGGED = f"""{_SETS},
     flagged as (
         select t.id, c.match_id is not null or g.match_id is not null as is_duplicate,
                coalesce(c.match_id, g.match_id) as duplicate_of_id,
@@ -177,7 +177,7 @@ def _(spark, sf):
 def _insert_sql(tail: str) -> str:
     texts = views.VIEWS["texts"].replace("from articles", "from numbered")
     shingled = views.VIEWS["shingled"]
-    return f"with {_INSERTED}, texts as ({texts}), shingled as ({shingled}), {_FLAGGED} {tail}"
+    return f"with {_INSERTED}, texts as ({texts}), shingled as ({shingled}), {FLAGGED} {tail}"
 
 
 def _insert_oracle(tail: str) -> str:
@@ -417,7 +417,7 @@ def _(spark, sf):
 
 
 @query("t6_dedup_health", f"""
-    with {_FLAGGED}, last as (
+    with {FLAGGED}, last as (
         select a.id from articles a order by a.id desc limit 10),
     newest as (select max(id) as id from shingled where len(cs) > 0),
     post as (select id, len(cs) as n, unnest(cs) as f from shingled),
@@ -472,7 +472,7 @@ def _flagged_articles(spark, sf):
 
 
 @query("t2_last_articles", f"""
-    with {_FLAGGED}
+    with {FLAGGED}
     select f.id, f.is_duplicate, f.duplicate_of_id, f.similarity_score, t.ct is not null as has_embedding, a.url[1:60] as url
     from flagged f join articles a on a.id = f.id join texts t on t.id = f.id order by f.id desc limit 20""")
 def _(spark, sf):
@@ -480,7 +480,7 @@ def _(spark, sf):
 
 
 @query("t3_duplicates", f"""
-    with {_FLAGGED}
+    with {FLAGGED}
     select f.id, f.is_duplicate, f.duplicate_of_id, f.similarity_score, a.url[1:65] as url
     from flagged f join articles a on a.id = f.id where f.is_duplicate""")
 def _(spark, sf):
@@ -488,7 +488,7 @@ def _(spark, sf):
 
 
 @query("a8_table_counts", f"""
-    with {_FLAGGED}
+    with {FLAGGED}
     select count(*) as total, count(t.ct) as with_embedding, count(*) - count(t.ct) as without_embedding,
            count(*) filter (where f.is_duplicate) as duplicates
     from flagged f join texts t on t.id = f.id""")
@@ -497,7 +497,7 @@ def _(spark, sf):
 
 
 @query("j11_originals", f"""
-    with {_FLAGGED}
+    with {FLAGGED}
     select f.id, a.url, f.duplicate_of_id, f.similarity_score, o.title as original_title, o.url as original_url
     from flagged f join articles a on a.id = f.id left join articles o on o.id = f.duplicate_of_id where f.is_duplicate""")
 def _(spark, sf):
@@ -505,7 +505,7 @@ def _(spark, sf):
 
 
 @query("u5_delete_article", f"""
-    with {_FLAGGED}, victim as (select min(duplicate_of_id) as v from flagged)
+    with {FLAGGED}, victim as (select min(duplicate_of_id) as v from flagged)
     select id, nullif(duplicate_of_id, (select v from victim)) as duplicate_of_id from flagged
     where id <> (select v from victim)""")
 def _(spark, sf):

@@ -35,7 +35,7 @@ def _(spark, sf):
 
 
 # Files 0, 7, 14, ... of source 3 are cut off within their last entry.
-_FEED_ROWS = rf"""
+FEED_ROWS = rf"""
     feed_rows as (
         select source_id, cast(id // {views.FEED_SPAN} as bigint) as snapshot, id, url,
                trim(regexp_replace(regexp_replace(title, '<[^>]+>', ' ', 'g'), '{WS}', ' ', 'g')) as title,
@@ -53,14 +53,14 @@ _FEED_ROWS = rf"""
 
 
 @query("s4_feed_entries", f"""
-    with {_FEED_ROWS}
+    with {FEED_ROWS}
     select source_id, snapshot, position, url, title, summary, published, author from landed where title <> ''""")
 def _(spark, sf):
     return feeds.entries(views.feeds(spark, sf), carry=("source_id", "snapshot"))
 
 
 @query("s5_all_feeds", f"""
-    with {_FEED_ROWS}
+    with {FEED_ROWS}
     select position, source_id, f.url, f.title, summary, published, author, s.name as source_name, s.category
     from landed f join sources s on s.id = f.source_id where s.is_active and f.title <> ''""")
 def _(spark, sf):
@@ -68,7 +68,7 @@ def _(spark, sf):
 
 
 @query("a13_feed_counts", f"""
-    with {_FEED_ROWS}, per_file as (
+    with {FEED_ROWS}, per_file as (
         select source_id, count(distinct snapshot) as documents,
                count(distinct snapshot) filter (where source_id = 3 and snapshot % 7 = 0) as errors
         from feed_rows group by 1),

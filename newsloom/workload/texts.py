@@ -12,11 +12,11 @@ from newsloom.workload.catalog import query
 from newsloom.workload.views import WORD, WS, spread, table
 
 
-def _collapse(sql: str) -> str:
+def collapse(sql: str) -> str:
     return f"trim(regexp_replace({sql}, '{WS}', ' ', 'g'))"
 
 
-def _decode(sql: str) -> str:
+def decode(sql: str) -> str:
     """The entities that occur in the given tables."""
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·")):
         sql = f"replace({sql}, '{entity}', '{char}')"
@@ -28,23 +28,23 @@ def _pages(spark, sf):
 
 
 @query("p1_strip_tags", f"""
-    select page_id, {_collapse("regexp_replace(html, '<[^>]+>', ' ', 'g')")} as text from pages""")
+    select page_id, {collapse("regexp_replace(html, '<[^>]+>', ' ', 'g')")} as text from pages""")
 def _(spark, sf):
     return _pages(spark, sf).select("page_id", tx.strip_tags(F.col("html")).alias("text"))
 
 
-@query("p2_decode_entities", f"select page_id, {_decode('html')} as html from pages")
+@query("p2_decode_entities", f"select page_id, {decode('html')} as html from pages")
 def _(spark, sf):
     return _pages(spark, sf).select("page_id", tx.decode_entities(F.col("html")).alias("html"))
 
 
-@query("p3_collapse_whitespace", f"select doc_id, {_collapse('text')} as text from documents")
+@query("p3_collapse_whitespace", f"select doc_id, {collapse('text')} as text from documents")
 def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.collapse_whitespace(F.col("text")).alias("text"))
 
 
 @query("p4_normalise", f"""
-    select ord, nullif({_collapse(_decode('title'))}, '') as title, nullif({_collapse(_decode('summary'))}, '') as summary
+    select ord, nullif({collapse(decode('title'))}, '') as title, nullif({collapse(decode('summary'))}, '') as summary
     from raw_batch""")
 def _(spark, sf):
     return clean.normalise_columns(views.raw_batch(spark, sf), ("title", "summary")).select("ord", "title", "summary")
@@ -87,7 +87,7 @@ def _(spark, sf):
         "ord", tx.word_count(F.col("full_text"), F.col("summary")).alias("words"))
 
 
-_LANGUAGE = """
+LANGUAGE = """
     letters as (select doc_id, lang, length(text) as n, lower(text) as whole, lower(substr(text, 1, 2000)) as t from documents),
     taught as (select lang, substr(whole, i, 3) as gram
                from (select lang, whole, unnest(range(1, greatest(length(whole) - 1, 1))) as i from letters)),
@@ -100,13 +100,13 @@ _LANGUAGE = """
                where g.n >= 50 group by 1, 2)"""
 
 
-@query("l1_language_profiles", f"with {_LANGUAGE} select lang, gram, cast(weight as int) as weight from profile")
+@query("l1_language_profiles", f"with {LANGUAGE} select lang, gram, cast(weight as int) as weight from profile")
 def _(spark, sf):
     return language.train_profiles(spread(table(spark, sf, "documents"), "doc_id"))
 
 
 @query("p10_language", f"""
-    with {_LANGUAGE}, best as (
+    with {LANGUAGE}, best as (
         select doc_id, lang, row_number() over (partition by doc_id order by score desc, lang) as rk from scores)
     select l.doc_id, coalesce(b.lang, 'en') as language from letters l left join best b on b.doc_id = l.doc_id and b.rk = 1""")
 def _(spark, sf):
@@ -169,7 +169,7 @@ def _noise_free(sql: str) -> str:
 
 
 _C = "|".join(CONTAINER_TAGS)
-_PAGE_TEXT = rf"""
+PAGE_TEXT = rf"""
     cut as (select page_id, url, string_split(regexp_replace({_noise_free("replace(html, chr(1), ' ')")},
                 '(?i)(</?(?:{_C}|p)(?:\s[^>]*)?>)', chr(1) || '\1', 'g'), chr(1)) as pieces from pages),
     piece as (select page_id, unnest(pieces) as t, unnest(range(1, len(pieces) + 1)) as i from cut),
@@ -185,14 +185,14 @@ _PAGE_TEXT = rf"""
     best as (select page_id, c from (
                  select page_id, c, row_number() over (partition by page_id order by count(*) desc, c) as rk
                  from para where c > 0 group by page_id, c) where rk = 1),
-    plain as (select p.page_id, p.i, {_collapse(_decode("regexp_replace(p.t, '<[^>]+>', ' ', 'g')"))} as t
+    plain as (select p.page_id, p.i, {collapse(decode("regexp_replace(p.t, '<[^>]+>', ' ', 'g')"))} as t
               from para p left join best b on b.page_id = p.page_id where b.c is null or b.c = p.c),
     page_text as (select g.page_id, g.url, coalesce(string_agg(q.t, chr(10) || chr(10) order by q.i), '') as text
                   from pages g left join plain q on q.page_id = g.page_id and length(q.t) > 40
                   group by g.page_id, g.url)"""
 
 
-@query("p18_page_text", f"with {_PAGE_TEXT} select page_id, text from page_text")
+@query("p18_page_text", f"with {PAGE_TEXT} select page_id, text from page_text")
 def _(spark, sf):
     return with_page_text(_pages(spark, sf), "html", "text").select("page_id", "text")
 
@@ -232,7 +232,7 @@ def _extracted(spark, sf):
 
 
 @query("r3_enrich", f"""
-    with {_PAGE_TEXT}
+    with {PAGE_TEXT}
     select cast(page_id as int) as position,
            case when page_id % 5 = 0 then repeat('extracted ', 30) else nullif(text[1:50000], '') end as full_text,
            case when page_id % 2 = 0 then 'feed author' else 'page author' end as author,
@@ -307,12 +307,12 @@ _CLEAN = f"""
     firsts as (select * from (select *, row_number() over (partition by url order by ord) as rn from raw_batch)
                     where rn = 1),
     plain as (select ord, source_id, url, published_at,
-                     nullif({_collapse(_decode('title'))}, '') as title, nullif({_collapse(_decode('summary'))}, '') as summary,
-                     nullif({_collapse(_decode('author'))}, '') as author,
-                     nullif({_collapse(_decode('full_text'))}, '') as full_text from firsts),
+                     nullif({collapse(decode('title'))}, '') as title, nullif({collapse(decode('summary'))}, '') as summary,
+                     nullif({collapse(decode('author'))}, '') as author,
+                     nullif({collapse(decode('full_text'))}, '') as full_text from firsts),
     kept as (select *, coalesce(full_text, summary) as t from plain
              where (full_text is not null or summary is not null) and length(title) >= 5)"""
-_CLEAN_LANGUAGE = """
+CLEAN_LANGUAGE = """
     kgrams as (select url, length(t) as n, unnest(range(1, greatest(length(l) - 1, 1))) as i, l
                from (select url, t, lower(substr(t, 1, 2000)) as l from kept)),
     kscores as (select k.url, p.lang, sum(p.weight) as score from kgrams k join profile p on substr(k.l, k.i, 3) = p.gram
@@ -321,7 +321,7 @@ _CLEAN_LANGUAGE = """
 
 
 @query("r2_clean", f"""
-    with {_LANGUAGE}, {_CLEAN}, {_CLEAN_LANGUAGE}
+    with {LANGUAGE}, {_CLEAN}, {CLEAN_LANGUAGE}
     select ord, source_id, title, k.url, author, published_at, summary, full_text,
            cast(len(regexp_extract_all(t, '{WORD}')) as int) as word_count, coalesce(b.lang, 'en') as language,
            true as is_clean

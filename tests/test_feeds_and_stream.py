@@ -143,7 +143,7 @@ def test_stream_of_feed_files(spark, landed, sources, profiles, tmp_path):
         start_ingest(feed_stream(spark, landed), store, pages(spark), profiles, str(tmp_path / "log"), feeds=True,
                      once=True).awaitTermination()
     assert store.articles().count() == 3
-    assert [r.status for r in store.runs().collect()] == ["success"]
+    assert [(r.status, r.errors) for r in store.runs().collect()] == [("success", 1)]
 
 
 def test_seeds_and_csv(spark, tmp_path):
