@@ -40,6 +40,20 @@ def test_pipeline_stages(spark):
     assert mixed.columns[:len(columns)] == columns and 0 < mixed.count() and {r.doc_id for r in mixed.collect()} <= set(kept)
 
 
+def test_pipeline_on_odd_rows(spark, odd_documents):
+    from pyspark.sql import functions as F
+
+    for docs in (odd_documents, odd_documents.limit(0)):
+        docs = docs.withColumns({"kept": F.lit(1), "c0": F.lit("x"), "print": F.lit(2), "places": F.lit("y")})
+        columns = docs.columns
+        for name, function in corpus_pipeline.STAGES:
+            docs = stage(function(spark, docs, SF), name)
+            assert docs.columns[:len(columns)] == columns
+        rows = docs.collect()
+        # Of the two texts of 30,000 words one is left, of the repeated rows one, and the text without a key.
+        assert {(r.doc_id, r.source) for r in rows} <= {(1, "src1"), (1, "src2"), (None, None), (5, "src1")}
+
+
 def test_operators_import_nothing_the_library_does_not_have():
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     for folder, _, names in os.walk(os.path.join(root, "newsloom")):
