@@ -39,7 +39,11 @@ def query(spark: SparkSession, sql: str, args: dict | None = None, **tables: Dat
     """Run SQL with named parameters over the given tables. Errors are raised, not swallowed."""
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args or {})
+    try:
+        return spark.sql(sql, args=args or {})
+    finally:  # names are resolved by now
+        for name in tables:
+            spark.catalog.dropTempView(name)
 
 
 class TableStore:

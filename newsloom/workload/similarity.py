@@ -63,10 +63,21 @@ def _(spark, sf):
     return v.where("weight <> 0").select("id", "bucket", F.round("weight", 9).alias("weight"))
 
 
-@query("p30_feature_sets", "select id, cast(len(cs) as int) as content_size, cast(len(gs) as int) as general_size from shingled")
+_SET_SIZES = """
+    select id, cast(len(cs) as int) as content_size, cast(len(gs) as int) as general_size,
+           cast(len(list_intersect(cs, gs)) as int) as shared from shingled"""
+
+
+def _set_sizes(rows):
+    """Hashes have no SQL form; how many two sets share shows that equal runs of words have equal ones."""
+    return rows.select(
+        "id", F.size("content_embedding").alias("content_size"), F.size("embedding").alias("general_size"),
+        F.size(F.array_intersect("content_embedding", "embedding")).alias("shared"))
+
+
+@query("p30_feature_sets", _SET_SIZES)
 def _(spark, sf):
-    return views.embedded(spark, sf).select(
-        "id", F.size("content_embedding").alias("content_size"), F.size("embedding").alias("general_size"))
+    return _set_sizes(views.embedded(spark, sf))
 
 
 _SETS = """
@@ -559,12 +570,9 @@ def _(spark, sf):
     return rows.select("id", F.coalesce(F.size("content_embedding"), F.lit(-1)).alias("size"))
 
 
-@query("u13_vectors_of_new_rows", """
-    with n as (select id, len(cs) as c, len(gs) as g from shingled)
-    select id, cast(c as int) as content_size, cast(g as int) as general_size from n""")
+@query("u13_vectors_of_new_rows", _SET_SIZES)
 def _(spark, sf):
-    rows = dedup.with_vectors(views.articles(spark, sf).select("id", "title", "summary", "full_text"))
-    return rows.select("id", F.size("content_embedding").alias("content_size"), F.size("embedding").alias("general_size"))
+    return _set_sizes(dedup.with_vectors(views.articles(spark, sf).select("id", "title", "summary", "full_text")))
 
 
 # --- sources ----------------------------------------------------------------------------------------
@@ -642,10 +650,11 @@ def _(spark, sf):
 
 
 @query("u12_backfill_sources", f"""
-    with {_SOURCE_SIM} select id, cast(count(*) as int) as coordinates from su group by id""")
+    with {_SOURCE_SIM} select id, cast(b as int) as bucket, round(v, 9) as weight from su""")
 def _(spark, sf):
     rows = _source_vectors(spark, sf)
     missing = rows.withColumn("source_embedding", F.when(F.col("id") % 2 == 0, F.col("source_embedding")))
     filled = maintenance.backfill_sources(
         missing, rows.where("id % 2 = 1").select("id", F.col("source_embedding").alias("vector")))
-    return filled.select("id", F.size(F.filter("source_embedding", lambda x: x != 0)).alias("coordinates"))
+    values = filled.select("id", F.posexplode("source_embedding").alias("bucket", "weight")).where("weight <> 0")
+    return values.select("id", "bucket", F.round("weight", 9).alias("weight"))
