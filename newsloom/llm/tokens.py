@@ -19,7 +19,7 @@ from newsloom.session import scratch_path, stage
 BLOCK_TOKENS = 4 << 20
 #: The vocabulary's first free id ends a document.
 END_OF_DOCUMENT = 50_256
-VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def byte_pair_encoder(path: str, pattern: str):
