@@ -45,3 +45,26 @@ def test_report_does_not_read_texts_it_does_not_need(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 25
+
+
+def test_what_is_stored_is_not_exploded_again(spark, tmp_path, monkeypatch):
+    """A batch looks its own coordinates up; stored feature sets are read for the articles met, and only joined."""
+    from newsloom.operators import nearest
+
+    rows = spark.createDataFrame([(i, [i, i + 1, i + 2, 500 + i // 2]) for i in range(40)], "id bigint, features array<bigint>")
+    known = nearest.known_sets(rows, 0.6)
+    stored = {}
+    for name in ("keys", "postings", "features"):
+        getattr(known, name).write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    plans, write = [], nearest.stage
+    monkeypatch.setattr(nearest, "stage", lambda df, name: (plans.append(plan(df)), write(df, name))[1])
+    batch = spark.createDataFrame([(100 + i, [i, i + 1, i + 2, 900 + i]) for i in range(3)], "id bigint, features array<bigint>")
+    found = nearest.nearest_known_sets(batch, nearest.KnownSets(**stored), 0.6)
+    assert found.count() == 3
+    reading = {name: [p for p in plans if str(tmp_path / name) in p] for name in stored}
+    assert reading["features"] and reading["postings"]
+    for p in reading["features"]:
+        assert "Generate" not in p and "Window" not in p
+    for p in reading["postings"]:
+        assert "LeftSemi" in p
