@@ -14,7 +14,8 @@ from newsloom.llm.registry import query, table
 from newsloom.llm.words import Runs, Splitter, counted, mix, pieces
 from newsloom.session import stage
 
-#: Shorter lines (headings, single sentences of few words) are never dropped.
+#: Shorter lines (headings, single sentences of few words) are never near copies of others; the query, which has a
+#: SQL form, does not drop them at all, the stage of the pipeline drops their exact copies (`exact_words`).
 MIN_WORDS = 10
 #: Half keys are looked up in a bit map of so many bits (32 MB at most, whatever the data); keys that
 #: share a bit by chance only cost work.
@@ -78,17 +79,18 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
-    """(key, version, place, line, halves): every long line of every text."""
+def _occurrences(docs: DataFrame, min_words: int, exact_words: int) -> DataFrame:
+    """(key, version, place, line, halves): every line of at least `exact_words` words of every text; halves of long lines only."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter()
         for batch in batches:
             for lo, hi, data, offsets in pieces(batch.column(2)):
-                own = _Lines(splitter, data, offsets, min_words)
+                own = _Lines(splitter, data, offsets, min(exact_words, min_words))
                 row, halves = pa.array(lo + own.text), own.halves()
+                short = own.end - own.start < min_words
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(row), batch.column(1).take(row), pa.array(own.place.astype(np.int32)), _signed(own.whole),
-                     *[_signed(halves[:, i]) for i in range(4)]],
+                     *[pa.array(np.ascontiguousarray(halves[:, i]).view(np.int64), mask=short) for i in range(4)]],
                     names=["key", "version", "place", "line", "h0", "h1", "h2", "h3"])
 
     return docs.select("key", "version", "text").mapInArrow(
@@ -97,7 +99,7 @@ def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
 
 def _half_filter(spark, occurrences: DataFrame) -> np.ndarray:
     """Bits of the half keys that two different lines share."""
-    keys = occurrences.select("line", F.explode(F.array("h0", "h1", "h2", "h3")).alias("half"))
+    keys = occurrences.where("h0 IS NOT NULL").select("line", F.explode(F.array("h0", "h1", "h2", "h3")).alias("half"))
     shared = keys.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b")
     bit = F.pmod(F.col("half"), F.lit(FILTER_BITS))
     rows = shared.groupBy((bit / _BUCKET).cast("int").alias("bucket")).agg(
@@ -158,13 +160,14 @@ def _verified(a: Column, b: Column) -> Column:
     return apart(a, b)
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int = MIN_WORDS) -> DataFrame:
     """(key, version, place) of the lines to drop from `docs` (key bigint, version bigint, text).
 
     Lines are cut at line feeds and compared as sequences of words. A line of at least `min_words`
     words goes when the same words, or words one edit away (one word inserted, lost or changed),
     occur earlier: in a smaller key, then version, then line number. It is judged by the lines that
-    were there, dropped or not, so decisions don't depend on each other.
+    were there, dropped or not, so decisions don't depend on each other. A shorter line of at least
+    `exact_words` words goes when the same words occur earlier.
 
     Equal lines are one line with its first place. Each distinct line emits hashes of itself and of
     all its variants with one word left out. Two lines of equal length are one change apart just
@@ -176,7 +179,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     NULL text has no lines; NULL keys come last; rows with equal key and version are one document.
     """
     spark = docs.sparkSession
-    found = stage(_occurrences(docs, min_words), "lines")
+    found = stage(_occurrences(docs, min_words, exact_words), "lines")
     order = F.struct(F.col("key").isNull().alias("last"), "key", "version", "place")
     lines = stage(found.groupBy("line").agg(F.min(order).alias("first"), F.count("*").alias("n")), "distinct_lines")
     keys = stage(_neighbourhoods(docs, _half_filter(spark, found), min_words), "neighbourhoods")
@@ -218,7 +221,8 @@ def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
 
 
-def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
+                           exact_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with repeated lines cut out of `text` (see `repeated_lines`); other columns stay as they are.
 
     A document that loses lines and keeps none with a word is dropped: all it says is in earlier
@@ -228,7 +232,7 @@ def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "te
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
     own = docs.toDF(*names)
-    drops = repeated_lines(_placed(own, at[key], at[text]), min_words)
+    drops = repeated_lines(_placed(own, at[key], at[text]), min_words, exact_words)
     drops = stage(drops.groupBy("key", "version").agg(F.collect_set("place").alias("places")), "drops")
     body, places = F.col(at[text]), F.col("places")
     kept = F.filter(F.split(body, "\n"), lambda _, i: ~F.array_contains(places, i))

@@ -65,3 +65,14 @@ def test_odd_rows_and_columns(odd_documents):
     # The long line comes again in document 6, which has nothing else; repeated rows of document 1 are one document.
     assert len(texts) == df.count() - 1 and not any(t[1] == 6 for t in texts)
     assert without_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_short_lines_go_as_exact_copies(documents):
+    import corpus_pipeline
+
+    long = "a line of ten words or more that says quite something"
+    rows = [(1, f"Share this\n{long}\nx"), (2, f"first\n Share  this\nx\n\nShare that"), (3, "Share this\nx"), (4, "x y\nsecond\nx y"),
+            (5, f"{long} today\nthird")]
+    got = corpus_pipeline.line_dedup(documents([]).sparkSession, documents([(*r, "en", "s") for r in rows]), "")
+    assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {
+        k: (t, len(t)) for k, t in {1: f"Share this\n{long}\nx", 2: "first\n\nShare that", 4: "x y\nsecond", 5: "third"}.items()}
