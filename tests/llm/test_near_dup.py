@@ -86,3 +86,35 @@ def test_clashing_columns(documents):
     df = documents([(1, "a b c d", "en", "s"), (2, "a b c d", "en", "s")], extra=["print", "component", "c0", "_row", "is_first"])
     kept = keep_first(df)
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_stage_against_brute_force_similarity(spark, documents):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    pool = [[f"w{rng.randint(0, 9999)}" for _ in range(rng.choice([3, 12, 40, 120]))] for _ in range(25)]
+    common = [f"c{i}" for i in range(30)]
+    rows = []
+    for key in range(150):
+        words = rng.choice(pool).copy()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 5)}"
+        words += common if rng.random() < 0.3 else []
+        rows.append((key, " ".join(w.upper() if rng.random() < 0.1 else w for w in words)))
+    rows += [(200, ""), (201, " \n"), (202, None)]
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    root, far = np.arange(len(rows)), 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                union(root, np.array([i]), np.array([j]))
+                far += bin(fingerprint_of((rows[i][1] or "").encode()) ^ fingerprint_of((rows[j][1] or "").encode())).count("1") > 3
+    want = {rows[r][0] for r in range(len(rows)) if not any(root[q] == root[r] for q in range(r))}
+    assert far > 10 and len(want) < 140
+    got = corpus_pipeline.simhash_near_dedup(spark, documents([(*r, "en", "s") for r in rows]), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
