@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
+
+#: Partitions that the splits of any number of files are dealt over, at most.
+MOST_PARTITIONS = 20_000
 
 
 def located(address: str) -> tuple[fs.FileSystem, str]:
@@ -22,3 +26,12 @@ def read_range(address: str, start: int, end: int) -> bytes:
     with system.open_input_file(path) as file:
         file.seek(min(start, file.size()))
         return file.read(end - start)
+
+
+def dealt(splits: DataFrame, *by: str) -> DataFrame:
+    """`splits` (small rows that name byte ranges of files) with as many partitions as rows.
+
+    The number is given because adaptive execution sees only the rows' few bytes, not the ranges that
+    they stand for, and would merge them into one task.
+    """
+    return splits.repartition(min(max(splits.count(), 1), MOST_PARTITIONS), *by)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.files import create, read_range
+from newsloom.llm.files import create, dealt, read_range
 from newsloom.llm.registry import query, table
 from newsloom.session import scratch_path, stage
 
@@ -47,8 +47,10 @@ def write_token_files(docs: DataFrame, folder: str, make_encoder, end: int = END
     """Write the tokens of `docs` to flat files (`width`: numpy type), `end` behind each document.
 
     Returns (path, ordinal, key, bytes): which document is the ordinal-th of a file, and one row of
-    ordinal -1 with each file's size. The files hold nothing but ids. An attempt of a task writes
-    its own file, and only files of accepted attempts are in the result.
+    ordinal -1 with each file's size. The files hold nothing but ids. NULL and empty texts are an end
+    id alone, NULL keys stay NULL, repeated rows are written again each, an empty table gives files
+    without documents; columns beside the two named are not read. An attempt of a task writes its own
+    file, and only files of accepted attempts are in the result.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, address, n, size = make_encoder(), f"{folder}/{uuid.uuid4().hex}.tokens", 0, 0
@@ -79,12 +81,13 @@ def count_tokens(spark: SparkSession, files: DataFrame, end: int = END_OF_DOCUME
     Each task finds the end ids of its blocks by one vectorised comparison. A running count and a
     running maximum of the last end id over a file's blocks (a row each) say how many documents
     begin before a block and where the one that reaches into it began, however many blocks it spans.
-    Tokens behind the last end id of a file are no document.
+    Tokens behind the last end id of a file are no document; a file without one, or of no bytes, has
+    none. Only `path` and `bytes` are read.
     """
     size = np.dtype(width).itemsize
     blocks = files.select("path", (F.col("bytes") / size).cast("bigint").alias("n")).where("n > 0").select(
         "path", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(block_tokens).cast("bigint"))).alias("start"))
-    blocks = blocks.select("path", "start", F.least(F.col("start") + block_tokens, "n").alias("end")).repartition("path", "start")
+    blocks = dealt(blocks.select("path", "start", F.least(F.col("start") + block_tokens, "n").alias("end")), "path", "start")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.files import create, located
+from newsloom.llm.files import create, dealt, located
 from newsloom.llm.registry import query, table
 from newsloom.session import scratch_path, stage
 
@@ -55,8 +55,9 @@ def write_archives(pages: DataFrame, folder: str, page: str = "page_id", url: st
     Among rows with equal payloads those with the largest page id are responses, the others
     revisit it. Only the digests that occur twice or more meet the pages again. NULL html is an
     empty payload, NULL page ids count as smallest (and are responses where there is no other), a
-    NULL url has no target field. A task names its files anew at each attempt, and only the files of
-    the attempt that Spark accepts are in the result.
+    NULL url has no target field. Repeated rows are written again each; an empty table gives no
+    archive; columns beside the three named are not read. A task names its files anew at each
+    attempt, and only the files of the attempt that Spark accepts are in the result.
     """
     own = pages.select(F.col(page).cast("bigint").alias("page"), F.col(url).cast("string").alias("url"),
                        F.coalesce(html, F.lit("")).alias("html")).withColumn("digest", F.sha1("html"))
@@ -145,7 +146,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, split_bytes: int = S
     `archives` (path, bytes); revisits have no payload. A response whose payload isn't what its digest says fails the job."""
     splits = archives.where("bytes > 0").select(
         "path", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"), "bytes")
-    splits = splits.select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end")).repartition("path", "start")
+    splits = dealt(splits.select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end")), "path", "start")
 
     def row(fields: dict[str, str], block: bytes) -> dict:
         http, _, payload = block.partition(b"\r\n\r\n")

@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
+
 from newsloom.llm import scoring
 from newsloom.llm.gru import GRU
 from newsloom.llm.scoring import language_model_scores
@@ -66,6 +68,20 @@ def test_token_counts_over_any_blocks(spark, odd_documents):
     assert write_token_files(odd_documents.limit(0), scratch_path(spark, "tokens"), made).where("ordinal >= 0").count() == 0
 
 
+def test_files_are_read_by_as_many_tasks_as_they_have_splits(spark, odd_documents):
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("cast(rand(1) as string)").alias("html"))
+    archives = write_archives(pages, scratch_path(spark, "warc"))
+    size = archives.agg(F.sum("bytes")).first()[0]
+    files = write_token_files(odd_documents, scratch_path(spark, "tokens"), public_encoder()).where("ordinal < 0").select("path", "bytes")
+    tokens = files.agg(F.sum(F.ceil(F.col("bytes") / 2 / 1000))).first()[0]
+    for found, splits in ((read_archives(spark, archives, split_bytes=200), size // 200), (count_tokens(spark, files, block_tokens=1000), tokens)):
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and splits > 20
+        dealt = [int(n) for n in re.findall(r"hashpartitioning\(path#\d+, start#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)]
+        assert dealt and min(dealt) >= splits
+
+
 def test_gru_gradients_and_carried_state():
     net = GRU(40, 3, 0, hidden=5, seed=2)
     for p in net.parts[:3]:
