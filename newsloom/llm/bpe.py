@@ -200,6 +200,46 @@ def vocabulary(path: str) -> Vocabulary:
                       np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32), classes())
 
 
+def merge_vocabulary(path: str) -> Vocabulary:
+    """A byte-level vocabulary with a list of merges, in a JSON file of the `tokenizers` library. Read on the driver only.
+
+    Only listed pairs merge, in the order of the list, and a slice that is a token is merged like any other.
+    """
+    import json
+
+    from tokenizers import pre_tokenizers
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    # Bytes stand for themselves where they print in Latin-1, the others for characters from 256 on.
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    ids = model["vocab"]
+    tokens = [b""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        tokens[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    merged = [ids[a + b] for a, b in merges]
+    if any(x >= y for x, y in zip(merged, merged[1:], strict=False)):
+        raise ValueError("merges and their tokens are expected in one order")
+    pairs = {ids[a] << 32 | ids[b]: m for (a, b), m in zip(merges, merged, strict=True)}
+    pair = np.array(sorted(pairs), dtype=np.int64)
+    by_char = {b: ids[c] for c, b in byte_of.items()}
+    known = classes()
+    cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    asked = np.flatnonzero((known == _LETTER) | (known == _NUMBER) | (known == _WHITE))
+    which = np.full(len(asked), _WHITE, dtype=np.uint8)
+    for mark, of in (("a", _LETTER), ("1", _NUMBER), ("!", _OTHER)):  # what follows a mark of its class without a cut
+        starts = np.zeros(2 * len(asked) + 1, dtype=bool)
+        starts[[at[0] for _, at in cut("".join(mark + chr(c) for c in asked))]] = True
+        which[~starts[1::2]] = of
+    known[asked] = which
+    return Vocabulary(np.frombuffer(b"".join(tokens), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in tokens])]), pair,
+                      np.array([pairs[int(p)] for p in pair], dtype=np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int32),
+                      np.array([by_char[i] for i in range(256)], dtype=np.int32), known)
+
+
 def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place in the sorted keys, whether it is there) of each wanted."""
     if not len(keys):
