@@ -1,4 +1,9 @@
-"""Texts that share most of their word shingles: an exact set similarity join by prefixes."""
+"""Texts that share most of their word shingles: SimHash links by a vantage-point tree, completed by an exact set join.
+
+Fingerprints within a few bits are found by operator 4's tree. A radius that reached all pairs of similarity 0.8 (some 10 of
+64 bits apart, with a tail) would leave the tree nothing to prune, so the pairs beyond it come from a prefix
+join over the shingles. Every link of either kind is verified on the texts.
+"""
 
 from __future__ import annotations
 
@@ -9,21 +14,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from newsloom.llm.components import connected_components
+from newsloom.llm.simhash import RADIUS, print_links
 from newsloom.llm.words import Runs, Splitter, counted, mix, pieces
 from newsloom.session import stage
 
 WIDTH = 5
 SIMILARITY = 0.8
-#: Shingles that so many of SAMPLE_DOCS distinct texts share come last in the order of prefixes, at most HOT of them
-#: (0.5 MB). The order decides what is compared, not what is found.
-SAMPLE_DOCS, SHARED, HOT = 10_000, 5, 1 << 16
+#: Shingles that many texts share come last in the order of prefixes, at most HOT of them (0.5 MB): first those that so
+#: many of SAMPLE_DOCS distinct texts share, then those that turn out to begin the prefixes of more than HEAVY sets. The
+#: order decides what is compared, not what is found.
+SAMPLE_DOCS, SHARED, HOT, HEAVY, ROUNDS = 10_000, 5, 1 << 16, 1_024, 3
+#: Sets of one shingle that are compared at once.
+BLOCK = 1_024
 _ROUNDING = 1e-9
 _ROWS = 1 << 16
-#: Texts to verify are picked by a bit map of their sets (2 MB); sets that share a bit by chance only cost work.
-FILTER_BITS, _BUCKET = 1 << 24, 32_768
+#: A bit map has some 16 bits for every member, 2**28 (32 MB) at most. Chance hits only cost work: where they become many,
+#: rows that the map would have held back are shuffled, which is linear in the input.
+_LEAST_BITS, _MOST_BITS, _BUCKET = 16, 28, 32_768
 
 
 def shingles_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,27 +57,89 @@ def shingles_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(hashes)
 
 
-_SET = T.StructType([T.StructField("set", T.LongType()), T.StructField("n", T.IntegerType())])
+_DIGEST = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("print", T.LongType()), T.StructField("sketch", T.BinaryType())])
+
+
+def _fingerprints(row: np.ndarray, hashed: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """SimHash of each row's shingles: the bits that more than half of them have."""
+    ones = np.zeros((len(n), 64), dtype=np.int32)
+    full = np.flatnonzero(n)
+    first = (np.cumsum(n) - n)[full]
+    if len(full):
+        for bit in range(64):
+            ones[full, bit] = np.add.reduceat(((hashed >> np.uint64(63 - bit)) & np.uint64(1)).astype(np.int32), first)
+    return np.frombuffer(np.packbits(2 * ones > n[:, None], axis=1).tobytes(), dtype=">u8").astype(np.uint64)
+
+
+def sketches(row: np.ndarray, hashed: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """How many of each row's shingles fall into each of some n / 4 buckets (a power of two of them), in a byte each."""
+    level = np.maximum(np.log2(np.maximum(n, 1) / 4).astype(np.int64), 0)
+    size = np.where(n > 0, 1 << level, 0)
+    first = np.concatenate([[0], np.cumsum(size)])
+    counts = np.bincount(first[row] + (hashed.view(np.int64) & (size[row] - 1)), minlength=int(first[-1]))
+    # 255 or more of one bucket: no sketch, which rules nothing out.
+    kept = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return [b"" if b"\xff" in (own := kept[a:b]) else own for a, b in zip(first, first[1:], strict=False)]
+
+
+def most_shared(a: bytes, b: bytes) -> float:
+    """A bound of the shingles that two sets share, from their sketches."""
+    if not a or not b:
+        return float("inf")
+    x, y = np.frombuffer(a, dtype=np.uint8).astype(np.int64), np.frombuffer(b, dtype=np.uint8).astype(np.int64)
+    m = min(len(x), len(y))
+    return float(np.minimum(x.reshape(-1, m).sum(axis=0), y.reshape(-1, m).sum(axis=0)).sum())
 
 
 def _digest(text: Column, width: int) -> Column:
-    """struct<set, n>: a 64-bit digest of a text's shingles whatever their order, and their number."""
-    @F.arrow_udf(_SET)
+    """struct<n, print, sketch> of a text's shingles: their number, SimHash and sketch."""
+    @F.arrow_udf(_DIGEST)
     def digest(texts: pa.Array) -> pa.Array:
-        row, hashed = shingles_of(texts, width)
-        sums = np.zeros(len(texts), dtype=np.uint64)
-        np.add.at(sums, row, mix(hashed))
-        n = np.bincount(row, minlength=len(texts))
-        found = mix(sums + n.astype(np.uint64)).view(np.int64)
-        return pa.StructArray.from_arrays([pa.array(found), pa.array(n.astype(np.int32))], names=["set", "n"])
+        numbers, prints, drawn = [], [], []
+        for lo in range(0, len(texts), 256):
+            own = texts.slice(lo, 256)
+            row, hashed = shingles_of(own, width)
+            n = np.bincount(row, minlength=len(own))
+            numbers.append(n.astype(np.int32))
+            prints.append(_fingerprints(row, hashed, n).view(np.int64))
+            drawn += sketches(row, hashed, n)
+        parts = [pa.array(np.concatenate(x) if x else np.zeros(0, t), k) for x, t, k in (
+            (numbers, np.int32, pa.int32()), (prints, np.int64, pa.int64()))]
+        return pa.StructArray.from_arrays([*parts, pa.array(drawn, pa.binary())], names=["n", "print", "sketch"])
 
     return digest(text)
 
 
-def _prefixes(sets: DataFrame, width: int, least: float, hot: np.ndarray | None) -> DataFrame:
+class _Bits:
+    """A broadcast bit map of 64-bit values, sized by how many there are."""
+
+    def __init__(self, values: DataFrame, column: str):
+        spark = values.sparkSession
+        self.size = 1 << min(max(int(np.ceil(np.log2(16 * max(values.count(), 1)))), _LEAST_BITS), _MOST_BITS)
+        bit = F.pmod(column, F.lit(self.size))
+        rows = values.groupBy((bit / _BUCKET).cast("int").alias("bucket")).agg(F.bitmap_construct_agg(bit % _BUCKET).alias("bits"))
+        found = np.zeros(self.size // 8, dtype=np.uint8)
+        for bucket, bits in rows.toLocalIterator():  # at most size / _BUCKET rows of 4 kB
+            own = np.frombuffer(bytes(bits), dtype=np.uint8)
+            found[bucket * _BUCKET // 8:bucket * _BUCKET // 8 + len(own)] = own
+        self.shared = spark.sparkContext.broadcast(found)
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        at = values.view(np.uint64) & np.uint64(self.size - 1)
+        return (self.shared.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def maybe(self, column: Column) -> Column:
+        @F.arrow_udf(T.BooleanType())
+        def maybe(own: pa.Array) -> pa.Array:
+            return pa.array(self.has(own.to_numpy(zero_copy_only=False)))
+
+        return maybe(column)
+
+
+def _prefixes(sets: DataFrame, width: int, least: float, hot: np.ndarray | None, only: _Bits | None = None) -> DataFrame:
     """(shingle, set, n, place): the first shingles of every set (set, text), of which two similar sets share one.
 
-    `hot`: shingles that come last, the rarest of them first; None gives all shingles of every set.
+    `hot`: shingles that come last, the rarest of them first; None gives all shingles of every set. `only`: shingles to write.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.argsort(hot) if hot is not None else np.zeros(0, dtype=np.int64)
@@ -93,6 +164,9 @@ def _prefixes(sets: DataFrame, width: int, least: float, hot: np.ndarray | None)
             if hot is not None:
                 chosen = place <= size[row] - np.ceil(least * size[row] - _ROUNDING)
                 row, hashed, place = row[chosen], hashed[chosen], place[chosen]
+            if only is not None:
+                chosen = only.has(hashed.view(np.int64))
+                row, hashed, place = row[chosen], hashed[chosen], place[chosen]
             for lo in range(0, len(row), _ROWS):
                 part = slice(lo, lo + _ROWS)
                 yield pa.RecordBatch.from_arrays(
@@ -112,104 +186,154 @@ def _hot(sets: DataFrame, count: int, width: int) -> np.ndarray:
     return np.array([r[0] for r in reversed(rows)], dtype=np.int64).view(np.uint64)
 
 
-def _possible(an: str, ai: str, bn: str, bi: str, least: float) -> Column:
+def _shared_prefixes(sets: DataFrame, count: int, width: int, least: float) -> DataFrame:
+    """(shingle, set, n, place, sets): prefixes whose shingle several sets have, and how often it was met, each row once.
+
+    First only shingles are shuffled, to see which are met in several sets; then the rows that have them.
+    """
+    hot = _hot(sets, count, width)
+    for _ in range(ROUNDS):
+        met = _prefixes(sets, width, least, hot).groupBy("shingle").agg(
+            F.min("set").alias("a"), F.max("set").alias("b"), F.count("*").alias("sets")).where("a <> b").drop("a", "b")
+        met = stage(met, "met_shingles")
+        room = HOT - len(hot)
+        heavy = met.where(F.col("sets") > HEAVY).orderBy(F.desc("sets"), "shingle").limit(room).collect() if room else []
+        heavy = np.array([r["shingle"] for r in reversed(heavy)], dtype=np.int64).view(np.uint64)
+        heavy = heavy[~np.isin(heavy, hot)]
+        if not len(heavy):
+            break
+        hot = np.concatenate([hot, heavy])
+    else:
+        met = stage(_prefixes(sets, width, least, hot).groupBy("shingle").agg(
+            F.min("set").alias("a"), F.max("set").alias("b"), F.count("*").alias("sets")).where("a <> b").drop("a", "b"), "met_shingles")
+    rows = _prefixes(sets, width, least, hot, _Bits(met, "shingle"))
+    return stage(rows.join(met, "shingle").distinct(), "shared_prefixes")
+
+
+def _possible(an, ai, bn, bi, least: float, lesser=F.least, greater=F.greatest):
     """Whether sets of these sizes whose first common shingle has these places can be similar enough."""
-    a, b = F.col(an), F.col(bn)
-    shared = F.least(a - F.col(ai), b - F.col(bi))
-    return (F.least(a, b) >= least * F.greatest(a, b) - _ROUNDING) & (shared >= least / (1 + least) * (a + b) - _ROUNDING)
+    shared = lesser(an - ai, bn - bi)
+    return (lesser(an, bn) >= least * greater(an, bn) - _ROUNDING) & (shared >= least / (1 + least) * (an + bn) - _ROUNDING)
 
 
 def _similar(a: Column, b: Column, width: int, least: float) -> Column:
     @F.arrow_udf(T.BooleanType())
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
-        (i, x), (j, y) = shingles_of(left, width), shingles_of(right, width)
-        row, hashed = np.concatenate([i, j]), np.concatenate([x, y])
-        order = np.lexsort((hashed, row))
-        row, hashed = row[order], hashed[order]
-        twice = (row[1:] == row[:-1]) & (hashed[1:] == hashed[:-1])
-        both = np.bincount(row[1:][twice], minlength=len(left))
-        either = np.bincount(row, minlength=len(left)) - both
-        return pa.array(both >= least * either - _ROUNDING)
+        out = []
+        for lo in range(0, len(left), 256):
+            (i, x), (j, y) = shingles_of(left.slice(lo, 256), width), shingles_of(right.slice(lo, 256), width)
+            size = min(256, len(left) - lo)
+            row, hashed = np.concatenate([i, j]), np.concatenate([x, y])
+            order = np.lexsort((hashed, row))
+            row, hashed = row[order], hashed[order]
+            twice = (row[1:] == row[:-1]) & (hashed[1:] == hashed[:-1])
+            both = np.bincount(row[1:][twice], minlength=size)
+            either = np.bincount(row, minlength=size) - both
+            out.append(both >= least * either - _ROUNDING)
+        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
     return similar(a, b)
 
 
-def _bits(spark, sets: DataFrame):
-    """Broadcast bit map of the sets (`set`)."""
-    bit = F.pmod("set", F.lit(FILTER_BITS))
-    rows = sets.groupBy((bit / _BUCKET).cast("int").alias("bucket")).agg(F.bitmap_construct_agg(bit % _BUCKET).alias("bits"))
-    found = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for bucket, bits in rows.toLocalIterator():  # at most FILTER_BITS / _BUCKET rows of 4 kB
-        own = np.frombuffer(bytes(bits), dtype=np.uint8)
-        found[bucket * _BUCKET // 8:bucket * _BUCKET // 8 + len(own)] = own
-    return spark.sparkContext.broadcast(found)
-
-
-def _maybe(sets: Column, bits) -> Column:
-    """Whether a set may be one of those in the bit map."""
+def _plausible(a: Column, b: Column, an: Column, bn: Column, least: float) -> Column:
     @F.arrow_udf(T.BooleanType())
-    def maybe(own: pa.Array) -> pa.Array:
-        at = own.to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(FILTER_BITS - 1)
-        return pa.array((bits.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1)
+    def plausible(left: pa.Array, right: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
+        enough = least / (1 + least) * (n.to_numpy() + m.to_numpy()) - _ROUNDING
+        return pa.array([most_shared(x, y) >= e for x, y, e in zip(left.to_pylist(), right.to_pylist(), enough, strict=True)], pa.bool_())
 
-    return maybe(sets)
-
-
-def _texts(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, text): one text of each set of `wanted` (set)."""
-    filter_ = _bits(sets.sparkSession, wanted)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            own = batch.column(0).to_numpy()
-            at = own.view(np.uint64) & np.uint64(FILTER_BITS - 1)
-            hit = (filter_.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-            _, first = np.unique(own, return_index=True)
-            first = np.sort(first[(hit[first] == 1) & ~np.isin(own[first], seen)])
-            seen = np.concatenate([seen, own[first]])
-            yield batch.take(pa.array(first))
+    return plausible(a, b, an, bn)
 
-    found = sets.select("set", "text").mapInArrow(scan, "set bigint, text string").join(wanted, "set", "left_semi")
-    return stage(found.groupBy("set").agg(F.first("text").alias("text")), "texts")
 
+def _compared(own: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of sets of one shingle (shingle, set, n, place, root, sets, sketch) that aren't connected and may be similar.
 
-def similar_links(sets: DataFrame, width: int = WIDTH, least: float = SIMILARITY) -> DataFrame:
-    """Edges (a, b) between sets whose components are those of all pairs with a Jaccard similarity of
-    at least `least`. `sets` (set, text) is staged; texts of equal sets have equal `set`.
+    The sets of a shingle are cut into blocks of some BLOCK, and a task compares two blocks at a time; only
+    pairs that sizes, places and sketches don't rule out leave it.
+    """
+    blocks = F.ceil(F.col("sets") / BLOCK).cast("int")
+    dealt = own.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set", "shingle"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                         (F.col("block") > F.col("other")).alias("second"), "set", "n", "place", "root", "sketch")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+
+        def pairs(rows: pa.Table) -> pa.RecordBatch:
+            i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+            second = rows["second"].to_numpy()
+            first = rows if i == j else rows.filter(pa.array(~second))
+            other = rows if i == j else rows.filter(pa.array(second))
+            cols = [{c: t[c].to_numpy() for c in ("set", "n", "place", "root")} for t in (first, other)]
+            drawn = [t["sketch"].to_pylist() for t in (first, other)]
+            a, b = [], []
+            for x in range(first.num_rows):
+                p, q = {k: v[x].astype(np.int64) for k, v in cols[0].items()}, cols[1]
+                good = (p["root"] != q["root"]) & ((p["set"] < q["set"]) if i == j else True)
+                good &= _possible(p["n"], p["place"], q["n"].astype(np.int64), q["place"], least, np.minimum, np.maximum)
+                for y in np.flatnonzero(good):
+                    if most_shared(drawn[0][x], drawn[1][y]) >= least / (1 + least) * (p["n"] + q["n"][y]) - _ROUNDING:
+                        a.append(int(p["set"]))
+                        b.append(int(q["set"][y]))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    Similar sets share one of their first n - ceil(least n) + 1 shingles, in any order common to all
-    sets. First the sets of a shingle are compared with one of them, which connects families of near
-    copies; then all sets of a shingle that are not connected yet with each other. Every pair is
-    verified on its texts. Only shingles of several sets are ever written.
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)])
+            starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if batch.num_rows else []
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                if at is not None and tuple(keys[:, lo]) != at:
+                    yield pairs(pa.Table.from_batches(held))
+                    held = []
+                at = tuple(keys[:, lo])
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    grouped = dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
+    return grouped.mapInArrow(compare, "a bigint, b bigint")
+
+
+def similar_links(docs: DataFrame, sets: DataFrame, width: int = WIDTH, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """Edges (a, b) between sets whose components are those of all pairs with a Jaccard similarity of at least `least`.
+
+    `docs` (set, text) gives the texts, `sets` (set, n, print, sketch; staged) has each set once. First come
+    fingerprints within `radius` bits (the tree), and sets that share a prefix shingle with the smallest set of that
+    shingle, which connects families of near copies; then all sets of a shingle that aren't connected yet with each
+    other. Similar sets share one of their first n - ceil(least n) + 1 shingles, in any order common to all sets, so
+    no pair is missed. Pairs that the sketches don't rule out are verified on their texts.
     """
-    prefixes = _prefixes(sets, width, least, _hot(sets, sets.count(), width))
-    by_shingle = Window.partitionBy("shingle")
-    shared = (
-        prefixes.withColumns({"low": F.min("set").over(by_shingle), "high": F.max("set").over(by_shingle)})
-        .where("low < high").select("shingle", "set", "n", "place", "low").distinct()
-    )
-    prefixes = stage(shared, "shared_prefixes")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stage(pairs.distinct(), f"{name}_pairs")
-        texts = _texts(sets, pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct())
+    prefixes = _shared_prefixes(docs, sets.count(), width, least)
+    drawn = sets.select("set", "n", "sketch")
+
+    def verified(pairs: DataFrame, name: str, sketched: bool) -> DataFrame:
+        pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if not sketched:
+            a, b = (drawn.select(F.col("set").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
+            pairs = pairs.join(a, "a").join(b, "b").where(_plausible(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"), least))
+        pairs = stage(pairs.select("a", "b"), f"{name}_pairs")
+        named = stage(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), f"{name}_sets")
+        texts = docs.where(_Bits(named, "set").maybe(F.col("set"))).join(named, "set", "left_semi")
+        texts = stage(texts.groupBy("set").agg(F.first("text").alias("text")), f"{name}_texts")
         both = (
             pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("left")), "a")
-            .join(texts.select(F.col("set").alias("b"), F.col("text").alias("right")), "b")
-        )
+            .join(texts.select(F.col("set").alias("b"), F.col("text").alias("right")), "b"))
         return stage(both.where(_similar(F.col("left"), F.col("right"), width, least)).select("a", "b"), name)
 
-    heads = prefixes.where("set = low").select("shingle", F.col("set").alias("head"), F.col("n").alias("n_b"), F.col("place").alias("place_b"))
-    stars = prefixes.where("set <> low").join(heads, "shingle").where(_possible("n", "place", "n_b", "place_b", least))
-    found = verified(stars.select(F.col("set").alias("a"), F.col("head").alias("b")), "stars")
+    # Sets of one fingerprint hang on the smallest of them, and those of linked fingerprints on each other.
+    prints = stage(sets.groupBy("print").agg(F.min("set").alias("first")), "set_prints")
+    ends = [prints.select(F.col("print").alias(s), F.col("first").alias(f"first_{s}")) for s in "ab"]
+    tree = (
+        print_links(prints.select("print"), radius).join(ends[0], "a").join(ends[1], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+        .union(sets.join(prints, "print").select(F.col("set").alias("a"), F.col("first").alias("b"))))
+    heads = prefixes.groupBy("shingle").agg(F.min(F.struct("set", "n", "place")).alias("head"))
+    stars = prefixes.join(heads, "shingle").where(
+        _possible(F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place"), least)).select(F.col("set").alias("a"), F.col("head.set").alias("b"))
+    found = verified(tree.union(stars), "stars", False)
     roots = stage(connected_components(found).withColumnRenamed("node", "set"), "star_roots")
-    own = prefixes.drop("low").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    own = prefixes.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     apart = own.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("shingle")
-    own = stage(own.join(apart, "shingle", "left_semi"), "apart")
-    other = own.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("set", "n", "place", "root")])
-    rest = own.join(other, "shingle").where("root < root_b").where(_possible("n", "place", "n_b", "place_b", least))
-    return found.union(verified(rest.select(F.col("set").alias("a"), F.col("set_b").alias("b")), "rest"))
+    own = own.join(apart, "shingle", "left_semi").join(drawn.select("set", "sketch"), "set")
+    return found.union(verified(_compared(own, least), "rest", True))
 
 
 def keep_first_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -217,25 +341,32 @@ def keep_first_similar(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """`docs` with one row of each group of texts linked by similarity, that with the smallest key.
 
     Two texts link when the Jaccard similarity of their sets of `width`-word shingles (case of A-Z
-    does not count) is at least `least`; a shorter text is one shingle. Texts of equal sets are
-    folded before anything is compared. NULL texts and those without a word are all equal; NULL keys
-    come last; of repeated rows one stays.
+    does not count) is at least `least`; a shorter text is one shingle. Equal texts are folded before
+    anything is compared. NULL texts and those without a word are all equal; NULL keys come last;
+    of repeated rows one stays. An empty table stays empty; columns of any name are kept.
+
+    Texts are read where they are: of a text that nothing resembles only its key, hashes and the
+    hashes of its first shingles are ever written or shuffled.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
-    own = docs.toDF(*names).withColumn("_set", _digest(F.col(at[text]), width))
-    own = own.select(*names, F.col("_set.set").alias("_set"), F.col("_set.n").alias("_n"), F.monotonically_increasing_id().alias("_row"))
-    own = stage(own, "digests")
-    order = F.struct(F.col(at[key]).isNull().alias("last"), F.col(at[key]).alias("key"), F.col("_row").alias("row"))
-    distinct = stage(own.groupBy("_set").agg(F.min(order).alias("first"), F.count("*").alias("n")), "distinct")
-    sets = own.where("_n > 0").select(F.col("_set").alias("set"), F.col(at[text]).alias("text"))
-    roots = connected_components(similar_links(sets, width, least)).withColumnRenamed("node", "_set")
-    rooted = stage(distinct.join(roots, "_set", "left").withColumn("root", F.coalesce("root", "_set")), "rooted")
-    groups = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    groups = stage(groups, "groups")
+    worded = F.coalesce(F.col(at[text]).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = docs.toDF(*names).withColumn("_set", F.when(worded, F.xxhash64(at[text])).otherwise(F.lit(0).cast("bigint")))
+    digests = own.select(F.col(at[key]).alias("key"), F.col("_set").alias("set"), _digest(F.col(at[text]), width).alias("own"))
+    digests = stage(digests.select("key", "set", "own.*"), "digests")
+    order = F.struct(F.col("key").isNull().alias("last"), "key", "set")
+    sets = digests.groupBy("set").agg(F.min(order).alias("first"), F.count("*").alias("rows"), F.first(F.struct("n", "print", "sketch")).alias("own"))
+    sets = stage(sets.select("set", "first", "rows", "own.*"), "sets")
+    texts = own.where("_set <> 0").select(F.col("_set").alias("set"), F.col(at[text]).alias("text"))
+    links = similar_links(texts, sets.where("set <> 0").select("set", "n", "print", "sketch"), width, least)
+    roots = connected_components(links).withColumnRenamed("node", "set")
+    rooted = stage(sets.select("set", "first", "rows").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "rooted")
+    groups = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("rows").alias("rows")).where("rows > 1")
+    members = stage(rooted.select("set", "root").join(groups, "root").select(F.col("set").alias("_set"), "first"), "members")
     # Texts that nothing resembles stay where they are; only the others are joined.
-    others = _maybe(F.col("_set"), _bits(docs.sparkSession, rooted.join(groups.select("root"), "root", "left_semi").select(F.col("_set").alias("set"))))
-    marked = own.withColumn("_maybe", others)
-    gone = rooted.join(groups.select("root", F.col("first.row").alias("_first")), "root").select("_set", "_first")
-    joined = marked.where("_maybe").join(gone, "_set", "left").where("_first IS NULL OR _first = _row")
-    return marked.where("NOT _maybe").select(*names).union(joined.select(*names)).toDF(*docs.columns)
+    marked = own.withColumn("_maybe", _Bits(members, "_set").maybe(F.col("_set")))
+    joined = marked.where("_maybe").join(members, "_set", "left")
+    first = F.col("first")
+    winners = joined.where(first.isNotNull() & F.col(at[key]).eqNullSafe(first["key"]) & (F.col("_set") == first["set"])).dropDuplicates(["_set", at[key]])
+    return (
+        marked.where("NOT _maybe").select(*names).union(joined.where(first.isNull()).select(*names)).union(winners.select(*names)).toDF(*docs.columns))

@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pytest
 
+from newsloom.llm import shingle_sets
 from newsloom.llm.components import connected_components
 from newsloom.llm.simhash import fingerprint_of, keep_first, near_duplicates
 from newsloom.llm.vantage import Leaf, plant, route, union
@@ -88,9 +90,37 @@ def test_clashing_columns(documents):
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1]
 
 
-def test_stage_against_brute_force_similarity(spark, documents):
+def test_a_sketch_never_rules_out_what_is_shared():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n, m = rng.integers(1, 400, 2)
+        shared = rng.integers(0, min(n, m) + 1)
+        pool = rng.integers(0, 2**63, n + m, dtype=np.uint64)
+        a, b = np.sort(pool[:n]), np.sort(pool[n - shared:n + m - shared])
+        row = np.repeat([0, 1], [n, m])
+        x, y = shingle_sets.sketches(row, np.concatenate([a, b]), np.array([n, m]))
+        assert shared <= shingle_sets.most_shared(x, y) <= min(n, m)
+    many = np.full(300, 8, dtype=np.uint64)
+    assert shingle_sets.most_shared(*shingle_sets.sketches(np.zeros(300, int), many, np.array([300, 0]))) == float("inf")
+
+
+def test_fingerprints_are_those_of_the_bits():
+    rng = np.random.default_rng(6)
+    n = np.array([3, 0, 1, 50])
+    hashed = rng.integers(0, 2**63, int(n.sum()), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, int(n.sum()), dtype=np.uint64)
+    got = shingle_sets._fingerprints(np.repeat(np.arange(4), n), hashed, n)
+    for i, at in enumerate(np.cumsum(n) - n):
+        own = [int(h) for h in hashed[at:at + n[i]]]
+        assert int(got[i]) == sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in own) > len(own))
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_stage_against_brute_force_similarity(spark, documents, monkeypatch, small):
     import corpus_pipeline
 
+    if small:  # many blocks, heavy shingles in every round, nothing known from the sample
+        for name, value in (("BLOCK", 3), ("HEAVY", 4), ("SHARED", 10**6)):
+            monkeypatch.setattr(shingle_sets, name, value)
     rng = random.Random(7)
     pool = [[f"w{rng.randint(0, 9999)}" for _ in range(rng.choice([3, 12, 40, 120]))] for _ in range(25)]
     common = [f"c{i}" for i in range(30)]
@@ -116,5 +146,6 @@ def test_stage_against_brute_force_similarity(spark, documents):
                 far += bin(fingerprint_of((rows[i][1] or "").encode()) ^ fingerprint_of((rows[j][1] or "").encode())).count("1") > 3
     want = {rows[r][0] for r in range(len(rows)) if not any(root[q] == root[r] for q in range(r))}
     assert far > 10 and len(want) < 140
-    got = corpus_pipeline.simhash_near_dedup(spark, documents([(*r, "en", "s") for r in rows]), "")
-    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+    rows += [rows[0], (-1, None)]
+    got = corpus_pipeline.simhash_near_dedup(spark, documents([(*r, "en", "s") for r in rows], extra=["set", "_set", "n", "first"]), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted([-1, *(want - {200})])

@@ -7,19 +7,27 @@ import pytest
 import corpus_pipeline
 from compare import check, duck
 from newsloom.llm import all_queries
-from newsloom.llm.simhash import fingerprint_of
 from newsloom.session import stage
 
 SF = "/root/testdata/sf0.001"
 
 
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def similar(a, b):
+    return min(len(a), len(b)) * 5 >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)
+
+
 @pytest.mark.parametrize("name", sorted(all_queries.ORACLE))
 def test_query(spark, name):
     assert check(spark, duck(SF), SF, name, all_queries.QUERIES[name], all_queries.ORACLE[name]) is None
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in all_queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in all_queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
@@ -31,10 +39,11 @@ def test_pipeline_stages(spark):
         now = {r.doc_id: r for r in docs.collect()}
         assert set(now) <= set(kept) and len(now) > 0.7 * len(kept)
         if name == "simhash_near_dedup":
-            prints = {k: fingerprint_of(r.text.encode()) for k, r in kept.items()}
-            linked = lambda a, b: bin(prints[a] ^ prints[b]).count("1") <= 3
-            assert not any(linked(a, b) for a in now for b in now if a < b)
-            assert all(any(linked(a, b) for b in kept if b != a) for a in set(kept) - set(now))
+            gone = set(kept) - set(now)
+            sets = {k: shingles(r.text) for k, r in kept.items()}
+            assert not any(similar(sets[a], sets[b]) for a in now for b in now if a < b)
+            # What goes has a similar text, the first of each group stays.
+            assert all(any(similar(sets[a], sets[b]) for b in kept if b != a) for a in gone)
         kept = now
     mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert mixed.columns[:len(columns)] == columns and 0 < mixed.count() and {r.doc_id for r in mixed.collect()} <= set(kept)
