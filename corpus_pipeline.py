@@ -32,8 +32,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest doc_id.
 
-    Near are texts whose five-word shingles have a Jaccard similarity of 0.8 or more. Such pairs are some 10 of 64
-    SimHash bits apart, with a tail that no radius cuts off cheaply, so they are found by an exact set join.
+    Near are texts whose five-word shingles have a Jaccard similarity of 0.8 or more. Texts within three SimHash bits are
+    found by the vantage-point tree; such pairs may be some 10 bits apart, with a tail that no radius cuts off
+    cheaply, so an exact set join finds the others. All links are verified.
     """
     bounded_batches(spark)
     return keep_first_similar(docs)
@@ -57,7 +58,7 @@ STAGES = [
     ("decontaminate", decontaminate),
     ("mix_sources", mix_sources),
 ]
-#: Fingerprints are XXH64, which the SQL engine of the checks does not have; tests/llm holds a brute-force form.
+#: Similar texts, windows against items and connected groups have no SQL form; tests/llm holds brute-force forms.
 ORACLE_SQL = None
 
 
