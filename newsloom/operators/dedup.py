@@ -140,16 +140,29 @@ class Inserted:
 
 def dedup_insert(stored: DataFrame, batch: DataFrame, order: list[str], threshold: float = THRESHOLD,
                  use_vectors: bool = True, general: bool = True, category: str | None = None,
-                 scraped_at: Column | None = None, known: dict[str, KnownSets] | None = None) -> Inserted:
+                 scraped_at: Column | None = None, known: dict[str, KnownSets] | None = None,
+                 taken: DataFrame | None = None, replaced: DataFrame | None = None) -> Inserted:
     """The rows a batch adds to the article table.
 
     URL conflicts are dropped, ids continue after the stored ones in the given order, and rows that
     resemble an earlier one are flagged. Without vectors only the URL counts. `known` holds the stored
     sets by kind ('content', 'general'); without it they are made from `stored`. Flags are found on ids
     and feature sets; texts join them at the end.
+
+    `taken` are the rows whose URLs are not free, where these are not just `stored`; `replaced` are rows
+    that this insert replaces: their URLs keep their ids.
     """
-    last = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
-    fresh = assign_ids(new_urls(batch, stored, order), order, last)
+    taken = stored if taken is None else taken
+    ids = taken.select("id") if replaced is None else taken.select("id").unionByName(replaced.select("id"))
+    last = ids.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
+    fresh = new_urls(batch, taken, order)
+    if replaced is None or replaced.isEmpty():
+        fresh = assign_ids(fresh, order, last)
+    else:
+        had = replaced.select(url_key(F.col("url")).alias("_key"), F.col("id").alias("_had"))
+        fresh = stage(fresh.withColumn("_key", url_key(F.col("url"))).join(had, "_key", "left").drop("_key"), "replayed")
+        new = assign_ids(fresh.where("_had IS NULL").drop("_had"), order, last)
+        fresh = new.unionByName(fresh.where("_had IS NOT NULL").withColumnRenamed("_had", "id"))
     if "scraped_at" not in fresh.columns:
         fresh = fresh.withColumn("scraped_at", scraped_at if scraped_at is not None else F.current_timestamp())
     if use_vectors and not fresh.isEmpty():

@@ -391,6 +391,13 @@ def nearest_vectors(queries: DataFrame, candidates: DataFrame, threshold: float,
     return skew_safe_join(keyed, by_key, ["k1", "k2"]).select("id", "match_id", "similarity")
 
 
+def nearest_earlier_of(queries: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
+    """Nearest candidate with a smaller id than the query's. Inputs: `(id, vector)`; no two candidates have one vector."""
+    asked = stage(_unit_rows(queries).select("id", "vector"), "asked-vectors")
+    stored = stage(_unit_rows(candidates).select("k1", "k2", "id", "vector"), "stored-vectors")
+    return _cell_join(asked, stored, threshold, True, None, PIVOTS)
+
+
 def _nearest_others(queries, candidates, stored, threshold, probes, pivots, cell_rows) -> DataFrame:
     """Nearest candidate other than the row itself: the smallest other id with the same vector, or what
     the vector, searched once without its own, is nearest to."""
@@ -418,62 +425,77 @@ def _cell_join(queries, groups, threshold, earlier, probes, pivots, cell_rows=No
     chosen = groups.orderBy("k1", "k2").limit(pivots).select("vector").collect()
     if not chosen:
         return spark.createDataFrame([], RESULT)
-    centres = np.array([r.vector for r in chosen])
-    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
-    shared = spark.sparkContext.broadcast(centres)
-    ring = max(reach, 1 / 16)
-    rings = 64
+    cells = Cells(spark, np.array([r.vector for r in chosen]), max(reach, 1 / 16))
+    stored = stage(cells.placed(groups.select("id", "vector")), "cells")
+    asking = stage(cells.visited(queries.select("id", "vector"), reach, probes), "visits")
+    return compare_cells(stored, asking, threshold, earlier, exclude_self)
+
+
+class Cells:
+    """The cells of some pivots, and rings of one width around each: code = pivot * RINGS + ring."""
 
-    def distances(frame: pd.DataFrame) -> np.ndarray:
+    RINGS = 64
+
+    def __init__(self, spark, pivots: np.ndarray, ring: float):
+        centres = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
+        self.shared, self.ring = spark.sparkContext.broadcast(centres), ring
+
+    def _distances(self, frame: pd.DataFrame) -> np.ndarray:
         vectors = np.stack(frame.vector.to_numpy())
         vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        return np.sqrt(np.maximum(2.0 - 2.0 * (vectors @ shared.value.T), 0.0))
-
-    def place(batches):
-        for frame in batches:
-            if frame.empty:
-                continue
-            d = distances(frame)
-            own = d.argmin(axis=1)
-            radius = d[np.arange(len(frame)), own]
-            yield frame.assign(cell=(own * rings + (radius // ring)).astype("int32"))
-
-    def visit(batches):
-        centre_gap = np.sqrt(np.maximum(2.0 - 2.0 * (shared.value @ shared.value.T), 0.0))
-        for frame in batches:
-            if frame.empty:
-                continue
-            d = distances(frame)
-            own = d.argmin(axis=1)
-            nearest = d[np.arange(len(frame)), own]
-            if probes is None:
-                gap = np.maximum(centre_gap[own], 1e-12)
-                allowed = (d ** 2 - nearest[:, None] ** 2) / (2 * gap) <= reach
-                allowed[np.arange(len(frame)), own] = True
-            else:
-                order = np.argsort(d, axis=1)[:, :probes]
-                allowed = np.zeros(d.shape, dtype=bool)
-                np.put_along_axis(allowed, order, True, axis=1)
-            row, cell = np.nonzero(allowed)
-            low = np.floor(np.maximum(d[row, cell] - reach, 0) / ring).astype("int32")
-            high = np.floor((d[row, cell] + reach) / ring).astype("int32")
-            width = high - low + 1
-            at = np.repeat(np.arange(len(row)), width)
-            step = np.arange(len(at)) - np.repeat(np.cumsum(width) - width, width)
-            code = cell[at] * rings + low[at] + step
-            order = row[at]
-            bounds = np.searchsorted(order, np.arange(len(frame) + 1))
-            cells = [code[bounds[i]:bounds[i + 1]].astype("int32") for i in range(len(frame))]
-            yield frame.assign(cells=cells)
-
-    stored = stage(
-        groups.select("id", "vector").mapInPandas(place, "id bigint, vector array<double>, cell int"),
-        "cells",
-    )
-    asking = stage(
-        queries.select("id", "vector").mapInPandas(visit, "id bigint, vector array<double>, cells array<int>"),
-        "visits",
-    )
+        return np.sqrt(np.maximum(2.0 - 2.0 * (vectors @ self.shared.value.T), 0.0))
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows `(id, vector)` with the `cell` of the nearest pivot and the ring around it."""
+
+        def place(batches):
+            for frame in batches:
+                if frame.empty:
+                    continue
+                d = self._distances(frame)
+                own = d.argmin(axis=1)
+                radius = d[np.arange(len(frame)), own]
+                yield frame.assign(cell=(own * self.RINGS + (radius // self.ring)).astype("int32"))
+
+        return rows.mapInPandas(place, "id bigint, vector array<double>, cell int")
+
+    def visited(self, rows: DataFrame, reach: float, probes: int | None = None) -> DataFrame:
+        """Rows `(id, vector)` with the `cells` that may hold vectors within `reach`, or those of the `probes` nearest pivots."""
+
+        def visit(batches):
+            pivots, ring = self.shared.value, self.ring
+            centre_gap = np.sqrt(np.maximum(2.0 - 2.0 * (pivots @ pivots.T), 0.0))
+            for frame in batches:
+                if frame.empty:
+                    continue
+                d = self._distances(frame)
+                own = d.argmin(axis=1)
+                nearest = d[np.arange(len(frame)), own]
+                if probes is None:
+                    gap = np.maximum(centre_gap[own], 1e-12)
+                    allowed = (d ** 2 - nearest[:, None] ** 2) / (2 * gap) <= reach
+                    allowed[np.arange(len(frame)), own] = True
+                else:
+                    order = np.argsort(d, axis=1)[:, :probes]
+                    allowed = np.zeros(d.shape, dtype=bool)
+                    np.put_along_axis(allowed, order, True, axis=1)
+                row, cell = np.nonzero(allowed)
+                low = np.floor(np.maximum(d[row, cell] - reach, 0) / ring).astype("int32")
+                high = np.floor((d[row, cell] + reach) / ring).astype("int32")
+                width = high - low + 1
+                at = np.repeat(np.arange(len(row)), width)
+                step = np.arange(len(at)) - np.repeat(np.cumsum(width) - width, width)
+                code = cell[at] * self.RINGS + low[at] + step
+                order = row[at]
+                bounds = np.searchsorted(order, np.arange(len(frame) + 1))
+                cells = [code[bounds[i]:bounds[i + 1]].astype("int32") for i in range(len(frame))]
+                yield frame.assign(cells=cells)
+
+        return rows.mapInPandas(visit, "id bigint, vector array<double>, cells array<int>")
+
+
+def compare_cells(stored: DataFrame, asking: DataFrame, threshold: float, earlier: bool = False, exclude_self: bool = False) -> DataFrame:
+    """The best stored row `(id, vector, cell)` in the cells of each asking row `(id, vector, cells)`; both are stored tables."""
     # At most pivots x rings rows each.
     size_c = stored.groupBy("cell").agg(F.ceil(F.count("*") / DENSE_BLOCK_ROWS).cast("int").alias("nc"))
     visits = asking.select("id", "vector", F.explode("cells").alias("cell"))

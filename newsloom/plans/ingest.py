@@ -25,12 +25,16 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
     that fails leaves the batch as it was. A batch without entries leaves one 'partial' run. On an error
     nothing of the attempt becomes visible but a 'failed' run row, and the error is raised. Texts are
     written when cleaned, when numbered, and in the result; all that is compared are ids and feature sets.
+
+    A batch that is run again after later ones meets the batches before it, but leaves URLs to whichever
+    other batch stored them; URLs that it had itself keep their ids, which later rows may refer to, and new
+    ones are numbered after all ids ever visible. So ids and URLs stay unique whatever is replayed.
     """
     if threshold < store.least_threshold:
         raise ValueError("the store's postings are for thresholds from %s" % store.least_threshold)
     attempt = store.new_attempt()
     started = store.spark.range(1).select(F.current_timestamp().alias("t")).first().t
-    stored = store.articles(before=batch)
+    seen = store.seen_by(batch)
     try:
         entries = stage(entries, "entries")
         # Cleaning keeps the first row of a URL whatever its text, so the others need no page.
@@ -38,7 +42,8 @@ def run_batch(store: TableStore, batch: int, entries: DataFrame, pages: DataFram
         cleaned = stage(clean_articles(enrich(first, pages), profiles, ENTRY_ORDER), "cleaned")
         known = store.known_sets(before=batch)
         added = dedup_insert(
-            stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started), known=known)
+            seen.stored, cleaned, ENTRY_ORDER, threshold, use_vectors, scraped_at=F.lit(started), known=known,
+            taken=seen.taken, replaced=seen.replaced)
         store.write_articles(added.rows, batch, attempt)
         written = store.written(batch, attempt)
         if use_vectors and not written.isEmpty():

@@ -9,6 +9,7 @@ at all, and no attempt touches what another has written. Batch 0 holds the first
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,15 @@ def query(spark: SparkSession, sql: str, args: dict | None = None, **tables: Dat
             spark.catalog.dropTempView(name)
 
 
+@dataclass
+class Seen:
+    """Articles of the batches before one, of all batches but it, and those that an earlier attempt at it stored."""
+
+    stored: DataFrame
+    taken: DataFrame
+    replaced: DataFrame
+
+
 class TableStore:
     """Reads and writes the tables under one root folder.
 
@@ -82,6 +92,9 @@ class TableStore:
         rows = self._read(name, schema)
         if before is not None:
             rows = rows.where(F.col("batch") < before)
+        return self._counting(rows, name)
+
+    def _counting(self, rows: DataFrame, name: str) -> DataFrame:
         valid = self._valid_runs().where("status <> 'failed'").select("batch", "attempt")
         if name == "sources":
             valid = valid.unionByName(self.spark.createDataFrame([(0, FIRST)], "batch bigint, attempt string"))
@@ -94,6 +107,12 @@ class TableStore:
         """Articles of finished batches (with a number below `before`, when given)."""
         return self._visible("articles", ARTICLES, before).drop("batch")
 
+    def seen_by(self, batch: int) -> Seen:
+        """What a batch meets, whether it is new or written again after later ones."""
+        rows = self._visible("articles", ARTICLES, None)
+        own = F.col("batch") == batch
+        return Seen(self.articles(batch), rows.where(~own).drop("batch"), rows.where(own).drop("batch"))
+
     def sources(self, before: int | None = None) -> DataFrame:
         """The source table as the newest finished batch (below `before`, when given) left it."""
         rows = self._visible("sources", SOURCES, before)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import features
 from newsloom.operators import admission, dedup, maintenance, nearest
+from newsloom.operators.lsh import lsh_nearest
+from newsloom.operators.vector_index import VectorIndex
 from newsloom.plans import health, report
-from newsloom.session import stage
+from newsloom.session import scratch_path, stage
 from newsloom.workload import views
 from newsloom.workload.catalog import ORACLE, query
 from newsloom.workload.views import WS, table
@@ -313,6 +315,41 @@ def _(spark, sf):
     return store.articles().agg(F.count("*").alias("articles"), F.countDistinct("id").alias("ids"))
 
 
+_PARTS = """
+    parts as (select max(ord) as m from raw_batch),
+    a as (select lower(url) as k, min(ord) as ord from raw_batch, parts where ord <= m / 4.0 group by 1),
+    a_ids as (select k, row_number() over (order by ord) as id from a),
+    b as (select lower(url) as k, min(ord) as ord from raw_batch, parts where ord > m / 2.0 and lower(url) not in (select k from a) group by 1),
+    b_ids as (select k, ord, (select count(*) from a) + row_number() over (order by ord) as id from b),
+    again as (select lower(url) as k, min(ord) as ord from raw_batch, parts where ord <= 3 * m / 4.0 and lower(url) not in (select k from b) group by 1),
+    more as (select k, (select count(*) from a) + (select count(*) from b) + row_number() over (order by ord) as id
+             from again where k not in (select k from a))"""
+
+
+@query("s10_replayed_batch", f"""
+    with {_PARTS},
+    rows as (select ord, coalesce(o.id, m.id) as id from again g left join a_ids o on o.k = g.k left join more m on m.k = g.k
+             union all select ord, id from b_ids)
+    select r.id, x.url from rows r join raw_batch x on x.ord = r.ord""")
+def _(spark, sf):
+    """Batch 1, batch 2, then batch 1 again with more rows, some of them under URLs that batch 2 has stored."""
+    from newsloom.sources.tables import TableStore
+
+    rows = stage(views.raw_batch(spark, sf), "batch").select(
+        "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
+        F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
+    most = rows.agg(F.max("ord").alias("most")).scalar()
+    placed = stage(rows.withColumn("part", F.col("ord") / most), "placed")
+    store = TableStore(spark, scratch_path(spark, "store"))
+    for batch, part in ((1, "part <= 0.25"), (2, "part > 0.5"), (1, "part <= 0.75")):
+        seen, attempt = store.seen_by(batch), store.new_attempt()
+        added = dedup.dedup_insert(
+            seen.stored, placed.where(part).drop("part"), ["ord"], use_vectors=False, taken=seen.taken, replaced=seen.replaced)
+        store.write_articles(added.rows, batch, attempt)
+        store.write_run(maintenance.run_row(batch, added.counters, F.current_timestamp(), F.current_timestamp()), batch, attempt)
+    return store.articles().select("id", "url")
+
+
 # --- dense neighbours ---------------------------------------------------------------------------
 
 
@@ -364,15 +401,48 @@ def _(spark, sf):
 @query("d3_probe_recall", f"""
     with {_SIMS} select count(distinct id) as matches, true as recall_reached from sims where other < id and s >= {LOOSE}""")
 def _(spark, sf):
-    """How many rows exact search matches, and whether visiting half of eight cells finds 0.7 of these."""
+    """How many rows exact search matches, and whether visiting seven of eight cells finds 0.9 of these."""
     rows = _embeddings(spark, sf).select("id", "vector", F.lit(True).alias("asks"))
     n = rows.count()
     exact = stage(nearest.nearest_earlier_vectors(rows, LOOSE), "exact")
-    few = nearest.nearest_earlier_vectors(rows, LOOSE, probes=4, pivots=8, cell_rows=max(1, n // 8))
-    found = exact.join(few.select("id", F.col("match_id").alias("found")), "id", "left")
-    return found.agg(
+    few = nearest.nearest_earlier_vectors(rows, LOOSE, probes=7, pivots=8, cell_rows=max(1, n // 8))
+    return _recall(exact, few)
+
+
+def _recall(exact, found):
+    both = exact.join(found.select("id", F.col("match_id").alias("found")), "id", "left")
+    return both.agg(
         F.count("*").alias("matches"),
-        (F.count_if(F.col("found") == F.col("match_id")) >= 0.7 * F.count("*")).alias("recall_reached"))
+        (F.count_if(F.col("found") == F.col("match_id")) >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
+_FIFTIETH = f"""
+    with {_SIMS}
+    select id, other as match_id, round(s, 6) as similarity from (
+        select id, other, s, row_number() over (partition by id order by s desc, other) as rk from sims
+        where id % 50 = 0 and other <> id and s >= {LOOSE}) where rk = 1"""
+
+
+@query("j5_into_stored_cells", _FIFTIETH)
+def _(spark, sf):
+    """An index on disk, filled in two batches, asked by every fiftieth vector: what one batch would give."""
+    e = _embeddings(spark, sf).select("id", "vector", "label")
+    index = VectorIndex(spark, scratch_path(spark, "index"))
+    late = F.col("label") > 4
+    index.fit(e.where(~late), cell_rows=16)
+    for batch, part in ((1, e.where(~late)), (2, e.where(late | late.isNull()))):
+        index.add(part.select("id", "vector"), batch)
+    return index.nearest(e.where("id % 50 = 0").select("id", "vector"), LOOSE, exclude_self=True).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("j5_lsh_recall", f"""
+    with {_SIMS} select count(distinct id) as matches, true as recall_reached from sims where id % 50 = 0 and other <> id and s >= {LOOSE}""")
+def _(spark, sf):
+    """How many of every fiftieth vector have a neighbour, and whether the hash tables name 0.9 of these neighbours."""
+    e = _embeddings(spark, sf).select("id", "vector")
+    asked = e.where("id % 50 = 0")
+    exact = stage(nearest.nearest_vectors(asked, e, LOOSE, exclude_self=True), "exact")
+    return _recall(exact, lsh_nearest(asked, e, LOOSE, exclude_self=True, bits=6))
 
 
 @query("j6_nearest_by_general", f"""
@@ -649,6 +719,23 @@ def _(spark, sf):
     return judged.select("id", "accepted", "reason", "match_id")
 
 
+@query("d8_ordered_admission", f"""
+    with recursive {_SOURCE_SIM.replace("with ", "", 1)},
+    near as (select id, list(other) as l from ss where other < id and s >= 0.5 group by id),
+    line as (select t.id, coalesce(n.l, []) as l, row_number() over (order by t.id) as rn from source_text t left join near n on n.id = t.id),
+    walk(rn, id, accepted, taken) as (
+        select 0::bigint, null::int, true, []::int[]
+        union all
+        select l.rn, l.id::int, not list_has_any(w.taken, l.l::int[]),
+               case when list_has_any(w.taken, l.l::int[]) then w.taken else list_append(w.taken, l.id::int) end
+        from walk w join line l on l.rn = w.rn + 1)
+    select id, accepted, case when not accepted then 'similar' end as reason from walk where rn > 0""")
+def _(spark, sf):
+    """All sources as candidates of one call: each is judged by those accepted before it."""
+    rows = _source_vectors(spark, sf)
+    return admission.admit_sources(rows.limit(0), rows, 0.5).select("id", "accepted", "reason")
+
+
 @query("u12_backfill_sources", f"""
     with {_SOURCE_SIM} select id, cast(b as int) as bucket, round(v, 9) as weight from su""")
 def _(spark, sf):

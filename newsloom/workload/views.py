@@ -280,6 +280,8 @@ def with_views(sql: str) -> str:
     if not wanted:
         return sql
     heads = ", ".join(f"{name} as ({VIEWS[name]})" for name in wanted)
+    if sql.lower().startswith("with recursive "):
+        return f"with recursive {heads}, {sql[15:]}"
     if sql.lower().startswith("with "):
         return f"with {heads}, {sql[5:]}"
     return f"with {heads} {sql}"

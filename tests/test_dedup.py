@@ -1,5 +1,6 @@
 """Deduplicating insert, cleaning, admission and maintenance on hand-made rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,6 +131,49 @@ def test_source_admission(spark):
     assert got == {"Space 2": (False, "similar", "Space"), "Chess": (False, "url", None), "Knights": (True, None, None)}
 
 
+def in_turn(vectors, keys, threshold):
+    """Accepted rows when one is judged after the other."""
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors.items() if np.linalg.norm(v)}
+    accepted = []
+    for i in sorted(vectors):
+        similar = any(i in unit and j in unit and round(float(unit[i] @ unit[j]), 9) >= threshold for j in accepted)
+        if not similar and not (keys[i] is not None and keys[i].lower() in {(keys[j] or "").lower() for j in accepted}):
+            accepted.append(i)
+    return accepted
+
+
+def judged(spark, vectors, keys, threshold):
+    schema = "id int, name string, url string, category string, source_embedding array<double>"
+    rows = spark.createDataFrame([(i, f"n{i}", keys[i], "c", [float(x) for x in v]) for i, v in vectors.items()], schema)
+    return {r.id: r for r in admission.admit_sources(rows.limit(0), rows, threshold).collect()}
+
+
+@pytest.mark.parametrize("in_one_task", [0, 4_096])
+def test_candidates_meet_those_accepted_before_them(spark, monkeypatch, in_one_task):
+    monkeypatch.setattr(admission, "IN_ONE_TASK", in_one_task)
+    rng = np.random.default_rng(3)
+    vectors = {i: rng.normal(size=4) for i in range(24)}
+    vectors[7] = vectors[3] * 2
+    vectors[9] = np.zeros(4)
+    keys = {i: None if i == 5 else f"http://F/{i % 11}" if i % 2 else f"http://f/{i % 11}" for i in vectors}
+    got = judged(spark, vectors, keys, 0.7)
+    assert sorted(i for i, r in got.items() if r.accepted) == in_turn(vectors, keys, 0.7)
+    unit = {i: v / max(np.linalg.norm(v), 1e-9) for i, v in vectors.items()}
+    for i, r in got.items():
+        if r.reason == "similar":
+            best = max((round(float(unit[i] @ unit[j]), 9), -j) for j in got if j < i and got[j].accepted)
+            assert (r.similarity, r.match_id, r.match_name) == (best[0], -best[1], f"n{r.match_id}")
+    assert {r.reason for r in got.values()} == {None, "similar", "url"}
+
+
+def test_a_chain_of_candidates_is_judged_link_by_link(spark):
+    # Each resembles the one before and the one behind it, and no other.
+    vectors = {i: [1.0 if j in (i, i + 1) else 0.0 for j in range(51)] for i in range(50)}
+    got = judged(spark, vectors, dict.fromkeys(vectors), 0.45)
+    assert sorted(i for i, r in got.items() if r.accepted) == list(range(0, 50, 2))
+    assert all(got[i].match_id == i - 1 for i in range(1, 50, 2))
+
+
 def test_feed_text(spark):
     channels = spark.createDataFrame([(1, "<b>News</b>", "About " * 60), (2, "", "")], "source_id int, channel_title string, channel_description string")
     entries = spark.createDataFrame([(1, i, f"T{i}", "s" * 300 if i == 0 else "") for i in range(7)], "source_id int, position int, title string, summary string")
