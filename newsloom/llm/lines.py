@@ -14,8 +14,8 @@ from newsloom.llm.registry import query, table
 from newsloom.llm.words import Runs, Splitter, counted, mix, pieces
 from newsloom.session import stage
 
-#: Shorter lines (headings, single sentences of few words) are never near copies of others; the query, which has a
-#: SQL form, does not drop them at all, the stage of the pipeline drops their exact copies (`exact_words`).
+#: Shorter lines (headings, single sentences of few words) are never near copies of others; their exact copies go
+#: (`exact_words`).
 MIN_WORDS = 10
 #: Half keys are looked up in a bit map of so many bits (32 MB at most, whatever the data); keys that
 #: share a bit by chance only cost work.
@@ -160,7 +160,7 @@ def _verified(a: Column, b: Column) -> Column:
     return apart(a, b)
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int = 1) -> DataFrame:
     """(key, version, place) of the lines to drop from `docs` (key bigint, version bigint, text).
 
     Lines are cut at line feeds and compared as sequences of words. A line of at least `min_words`
@@ -176,7 +176,8 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int
     first member. Only lines that share their first or last half with another line, which one edit
     cannot avoid, emit variants. All found pairs are verified on their words.
 
-    NULL text has no lines; NULL keys come last; rows with equal key and version are one document.
+    NULL text has no lines; NULL keys come last; rows with equal key and version are one document; an
+    empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     found = stage(_occurrences(docs, min_words, exact_words), "lines")
@@ -222,12 +223,13 @@ def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
-                           exact_words: int = MIN_WORDS) -> DataFrame:
+                           exact_words: int = 1) -> DataFrame:
     """`docs` with repeated lines cut out of `text` (see `repeated_lines`); other columns stay as they are.
 
     A document that loses lines and keeps none with a word is dropped: all it says is in earlier
     ones. Documents that lose nothing stay unchanged, NULL and empty texts among them, and so do
-    repeated rows (equal key and text): they are one document here.
+    repeated rows (equal key and text): they are one document here. An empty table stays empty;
+    columns of any name are kept.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
@@ -251,15 +253,15 @@ with lines as (
   select doc_id, i - 1 as place, list_filter(regexp_split_to_array(l, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
   from (select doc_id, unnest(l) as l, unnest(range(1, len(l) + 1)) as i
         from (select doc_id, string_split(text, chr(10)) as l from documents))),
-long as (select doc_id, place, w from lines where len(w) >= {MIN_WORDS}),
-first as (select w, min((doc_id, place)) as p from long group by w),
+worded as (select doc_id, place, w from lines where len(w) >= 1),
+first as (select w, min((doc_id, place)) as p from worded group by w),
 cut as (select w, p, i, list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))) as v
-        from (select w, p, unnest(range(1, len(w) + 1)) as i from first)),
+        from (select w, p, unnest(range(1, len(w) + 1)) as i from first where len(w) >= {MIN_WORDS})),
 changed as (select w from (select w, p, min(p) over (partition by v, i) as head from cut) where head < p),
-pairs as (select c.w as x, c.p as xp, f.w as y, f.p as yp from cut c join first f on c.v = f.w),
+pairs as (select c.w as x, c.p as xp, f.w as y, f.p as yp from cut c join first f on c.v = f.w where len(f.w) >= {MIN_WORDS}),
 near as (select w from changed union select x from pairs where yp < xp union select y from pairs where xp < yp),
 drops as (
-  select l.doc_id, l.place from long l join first f on l.w = f.w
+  select l.doc_id, l.place from worded l join first f on l.w = f.w
   where (l.doc_id, l.place) <> f.p or l.w in (select w from near))
 select d.doc_id, coalesce(n, 0)::bigint as n_dropped, coalesce(places, '') as dropped
 from documents d left join (

@@ -29,12 +29,11 @@ def brute(docs, least):
         kept, lines = [], docs[key].split("\n")
         for line in lines:
             w = line.encode().split()
-            if len(w) >= least and any(apart(w, e) <= 1 for e in earlier):
+            near = [e for e in earlier if e == w or (min(len(e), len(w)) >= least and apart(w, e) <= 1)]
+            if w:
                 earlier.append(w)
-                continue
-            if len(w) >= least:
-                earlier.append(w)
-            kept.append(line)
+            if not near:
+                kept.append(line)
         if len(kept) == len(lines) or any(x.split() for x in kept):
             out[key] = "\n".join(kept)
     return out
