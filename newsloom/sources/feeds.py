@@ -1,13 +1,16 @@
 """Landed feed documents (RSS 2.0, RSS 1.0 and Atom) to entry rows.
 
 A feed document is one file: `<root>/source_id=<id>/<name>.xml`. Documents are read whole, one row
-each, and entries keep their position in the document.
+each, in the encoding that they declare, and entries keep their position in the document. Dumps of many
+entries are scanned entry by entry instead.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions.barrier import with_computed
 from newsloom.functions.dates import first_date
@@ -29,12 +32,72 @@ DOCUMENT = (
 )
 
 
-def read_feed_documents(spark: SparkSession, root: str) -> DataFrame:
-    """`(source_id, document)` of every landed feed file."""
+#: Encodings that the JVM decodes without a complaint about any byte; others are decoded by Python, on Arrow batches.
+_PLAIN = {"utf-8": "UTF-8", "utf8": "UTF-8", "us-ascii": "UTF-8", "ascii": "UTF-8", "iso-8859-1": "ISO-8859-1", "latin1": "ISO-8859-1", "latin-1": "ISO-8859-1"}
+
+
+def declared_encoding(content: Column) -> Column:
+    """The encoding of a document's bytes, in lower case: of its byte-order mark, else of the zero bytes that the two-byte
+    forms of `<?` have, else what its XML declaration names, else UTF-8."""
+    front = F.hex(F.substring(content, 1, 4))
+    head = F.decode(F.substring(content, 1, 400), "ISO-8859-1")
+    named = F.lower(F.regexp_extract(head, r"""^\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z0-9._:-]+)["']""", 1))
     return (
-        spark.read.text(root, wholetext=True)
-        .select(F.col("source_id").cast("int").alias("source_id"), F.col("value").alias("document"))
-    )
+        F.when(front.startswith("EFBBBF"), "utf-8")
+        .when(front.isin("FFFE0000", "0000FEFF"), "utf-32")
+        .when(front.startswith("FFFE") | (front == "3C003F00"), "utf-16-le")
+        .when(front.startswith("FEFF") | (front == "003C003F"), "utf-16-be")
+        # A document whose declaration can be read byte by byte is in no two-byte form, whatever it says.
+        .when((named == "") | named.startswith("utf-16") | named.startswith("utf-32"), "utf-8").otherwise(named))
+
+
+@F.arrow_udf(T.StringType())
+def _decoded_by_name(content: pa.Array, encoding: pa.Array) -> pa.Array:
+    def text(raw, name):
+        if raw is None:
+            return None
+        try:
+            return raw.decode(name, "replace")
+        except LookupError:  # a name that nobody knows
+            return raw.decode("utf-8", "replace")
+
+    return pa.array([text(r, n) for r, n in zip(content.to_pylist(), encoding.to_pylist())], pa.string())
+
+
+def decoded(content: Column) -> Column:
+    """The text of a document's bytes, without byte-order mark and XML declaration, which name an encoding that is none of
+    the text's any more. Bytes that are none in the encoding become U+FFFD; unknown encodings count as UTF-8."""
+    encoding = declared_encoding(content)
+    plain = F.lit(None).cast("string")
+    for charset in ("UTF-8", "ISO-8859-1"):
+        names = [n for n, c in _PLAIN.items() if c == charset]
+        whole = F.make_valid_utf8(content.cast("string")) if charset == "UTF-8" else F.decode(content, charset)
+        plain = F.when(encoding.isin(names), whole).otherwise(plain)
+    other = ~encoding.isin(list(_PLAIN))
+    text = F.coalesce(plain, _decoded_by_name(F.when(other, content), F.when(other, encoding)))
+    return F.regexp_replace(text, r"^\x{FEFF}?\s*(?:<\?xml[^>]*\?>)?", "")
+
+
+def read_feed_documents(spark: SparkSession, root: str) -> DataFrame:
+    """`(source_id, document)` of every landed feed file, each in the encoding that it declares."""
+    files = spark.read.format("binaryFile").load(root)
+    return files.select(F.col("source_id").cast("int").alias("source_id"), decoded(F.col("content")).alias("document"))
+
+
+def read_feed_dump(spark: SparkSession, path: str, atom: bool = False) -> DataFrame:
+    """All entries of RSS (or Atom) files in UTF-8 that are too large to be one row: position, url, title, summary, published, author.
+
+    The closing tag of an entry is the line separator of Spark's text source, so a file is read by as many
+    tasks as it has splits and an entry is a row from the start. Positions grow in the order of the file,
+    but not by one. Entries without a link or a title are left out, as in `entries`, and so is one that is cut
+    off or can't be read.
+    """
+    tag, schema, form = ("entry", _ENTRY, _atom_entry) if atom else ("item", _ITEM, _rss_entry)
+    rows = spark.read.option("lineSep", f"</{tag}>").text(path).select(F.monotonically_increasing_id().alias("position"), "value")
+    whole = F.concat(F.regexp_extract("value", rf"(?s)<{tag}[\s>].*$", 0), F.lit(f"</{tag}>"))
+    rows = rows.where(F.col("value").rlike(rf"<{tag}[\s>]"))
+    read = with_computed(rows, _entry=F.from_xml(whole, f"{schema}, _broken STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    return _finished(read.where("_entry._broken IS NULL").select("position", form(F.col("_entry")).alias("e")), ())
 
 
 def _parsed(document: Column) -> Column:
@@ -109,15 +172,15 @@ def entries(feeds: DataFrame, carry: tuple[str, ...] = ("source_id",)) -> DataFr
         F.transform("feed.channel.item", _rss_entry), F.transform("feed.item", _rss_entry),
         F.transform("feed.entry", _atom_entry)
     )
-    return (
-        feeds.select(*carry, F.posexplode(found).alias("position", "e"))
-        .select(
-            *carry, "position", "e.url", strip_tags(F.col("e.title")).alias("title"),
-            clip(strip_tags(F.col("e.summary")), SUMMARY_CHARS).alias("summary"), "e.published",
-            strip_tags(F.col("e.author")).alias("author"),
-        )
-        .where("url <> '' AND title <> ''")
-    )
+    return _finished(feeds.select(*carry, F.posexplode(found).alias("position", "e")), carry)
+
+
+def _finished(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    return rows.select(
+        *carry, "position", "e.url", strip_tags(F.col("e.title")).alias("title"),
+        clip(strip_tags(F.col("e.summary")), SUMMARY_CHARS).alias("summary"), "e.published",
+        strip_tags(F.col("e.author")).alias("author"),
+    ).where("url <> '' AND title <> ''")
 
 
 def collect(feeds: DataFrame, sources: DataFrame) -> DataFrame:

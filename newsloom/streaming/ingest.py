@@ -16,7 +16,7 @@ from newsloom.functions.urls import url_key
 from newsloom.operators.dedup import THRESHOLD
 from newsloom.plans.ingest import run_batch
 from newsloom.schema import RAW_ENTRIES
-from newsloom.sources.feeds import collect, parse_feeds
+from newsloom.sources.feeds import collect, decoded, parse_feeds
 from newsloom.sources.tables import TableStore
 
 LANDED_ENTRIES = T.StructType(RAW_ENTRIES.fields + [T.StructField("position", T.IntegerType())])
@@ -32,11 +32,11 @@ def entry_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 
 def feed_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
-    """Landed feed documents as a stream of `(source_id, document)`."""
-    reader = spark.readStream.schema("value string, source_id int")
+    """Landed feed documents, each in the encoding that it declares, as a stream of `(source_id, document)`."""
+    reader = spark.readStream.schema("path string, modificationTime timestamp, length bigint, content binary, source_id int").format("binaryFile")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(root, wholetext=True).select("source_id", F.col("value").alias("document"))
+    return reader.load(root).select("source_id", decoded(F.col("content")).alias("document"))
 
 
 def unique_url_stream(entries: DataFrame, watermark: str | None = None) -> DataFrame:

@@ -59,6 +59,26 @@ def _(spark, sf):
     return feeds.entries(views.feeds(spark, sf), carry=("source_id", "snapshot"))
 
 
+@query("s4_feed_encodings", f"""
+    with {FEED_ROWS}
+    select source_id, snapshot, position, url, title, summary, published, author from landed where title <> ''""")
+def _(spark, sf):
+    """The same documents as bytes, in five encodings: what their twins in UTF-8 give."""
+    d = views.feed_documents(spark, sf)
+    turn = F.pmod(F.xxhash64("source_id", "snapshot"), F.lit(5))
+    latin = ~F.col("document").rlike(r"[^\x00-\xFF]")
+    def declared(name):
+        return F.concat(F.lit(f'<?xml version="1.0" encoding="{name}"?>\n'), F.col("document"))
+    content = (
+        F.when((turn == 0) & latin, F.encode(declared("ISO-8859-1"), "ISO-8859-1"))
+        .when(turn == 1, F.encode(declared("UTF-16"), "UTF-16"))
+        .when(turn == 2, F.encode(declared("utf-16"), "UTF-16LE"))
+        .when((turn == 3) & latin & ~F.col("document").rlike(r"[\x80-\x9F]"), F.encode(declared("windows-1252"), "ISO-8859-1"))
+        .otherwise(F.encode(F.concat(F.lit("\ufeff"), F.col("document")), "UTF-8")))
+    landed = d.select("source_id", "snapshot", feeds.decoded(content).alias("document"))
+    return feeds.entries(feeds.parse_feeds(landed), carry=("source_id", "snapshot"))
+
+
 @query("s5_all_feeds", f"""
     with {FEED_ROWS}
     select position, source_id, f.url, f.title, summary, published, author, s.name as source_name, s.category

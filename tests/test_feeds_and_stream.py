@@ -32,6 +32,47 @@ def landed(tmp_path):
     return str(tmp_path / "feeds")
 
 
+@pytest.mark.parametrize("encoding, declared, mark", [
+    ("utf-8", None, b""), ("utf-8", "UTF-8", b""), ("utf-8", None, b"\xef\xbb\xbf"), ("iso-8859-1", "ISO-8859-1", b""), ("cp1252", "Windows-1252", b""),
+    ("utf-16-le", "UTF-16", b"\xff\xfe"), ("utf-16-be", "UTF-16", b"\xfe\xff"), ("utf-16-be", "utf-16", b""), ("koi8-r", "koi8-r", b""),
+    ("utf-8", "no-such-name", b""), ("utf-8", "UTF-16", b"")])
+def test_a_feed_is_read_in_the_encoding_it_declares(spark, tmp_path, encoding, declared, mark):
+    title = "\u043f\u0440\u0438\u0432\u0435\u0442" if encoding == "koi8-r" else "Cr\u00e8me \u00e9t\u00e9"
+    text = f"<rss><channel><title>{title}</title><item><title>{title} today</title><link>http://n/1</link></item></channel></rss>"
+    head = f'<?xml version="1.0" encoding="{declared}"?>' if declared else ""
+    os.makedirs(tmp_path / "source_id=1")
+    (tmp_path / "source_id=1" / "a.xml").write_bytes(mark + (head + text).encode(encoding))
+    got = feeds.read_feed_documents(spark, str(tmp_path))
+    assert [tuple(r) for r in got.collect()] == [(1, text)]
+    assert [r.title for r in feeds.entries(feeds.parse_feeds(got)).collect()] == [f"{title} today"]
+
+
+def test_damaged_and_empty_bytes(spark):
+    rows = [(1, b""), (2, None), (3, b"a\xffb"), (4, b'<?xml encoding="utf-16-be"?>x'), (5, b"\xff\xfea")]
+    got = {r.id: r.text for r in spark.createDataFrame(rows, "id int, content binary").select("id", feeds.decoded(F.col("content")).alias("text")).collect()}
+    assert got == {1: "", 2: None, 3: "a\ufffdb", 4: "x", 5: "\ufffd"}
+
+
+def test_a_dump_is_read_by_many_tasks(spark, tmp_path):
+    items = "".join(f"<item><title>Story {i} {'x' * 200}</title><link>http://n/{i}</link><description>\u00e9 {i}</description>"
+                    f"<media:x a='1'/><dc:creator>Ann</dc:creator><pubDate>Tue, 02 Jan 2024 10:00:00 GMT</pubDate></item>\n" for i in range(3000))
+    (tmp_path / "dump.xml").write_text(f"<rss><channel><title>All</title>{items}<item><title>cut off</titl", encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        got = feeds.read_feed_dump(spark, str(tmp_path / "dump.xml"))
+        assert got.rdd.getNumPartitions() > 5
+        rows = got.orderBy("position").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.url for r in rows] == [f"http://n/{i}" for i in range(3000)]
+    assert rows[7].summary == "\u00e9 7" and rows[7].author == "Ann" and str(rows[7].published) == "2024-01-02 10:00:00"
+    atom = ATOM.replace("</feed>", '<entry><title>Two</title><link href="http://m/2"/></entry></feed>')
+    (tmp_path / "atom.xml").write_text(atom)
+    assert [(r.url, r.author) for r in feeds.read_feed_dump(spark, str(tmp_path / "atom.xml"), atom=True).orderBy("position").collect()] == [
+        ("http://m/1", "Bob"), ("http://m/2", "")]
+
+
 @pytest.fixture
 def sources(spark):
     return spark.createDataFrame(
