@@ -28,6 +28,7 @@ FREQUENT = 1 << 20
 CACHED, PENDING = 1 << 19, 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _ID_BITS = 20
+_TEXTS = 1 << 20
 
 
 class Pieces:
@@ -114,8 +115,10 @@ def align(a: Side, b: Side) -> Alignment:
         to = further
     ends = n + np.flatnonzero(last)
     group = np.searchsorted(ends, to)
-    cuts = np.union1d(a.end, b.end)
-    return Alignment(group[:n], group[n:], np.searchsorted(a.end, cuts), np.searchsorted(b.end, cuts))
+    # Each token of A ends a link with the token of B over its last byte, and the other way round; where both end, that is one link.
+    own = np.concatenate([np.arange(n), back[~last]])
+    order = np.argsort(np.concatenate([a.end, b.end[~last]]), kind="stable")
+    return Alignment(group[:n], group[n:], own[order], np.concatenate([over, np.flatnonzero(~last)])[order])
 
 
 def _joined(bytes_: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +180,7 @@ def _sides(a: pa.Array, b: pa.Array, bounds: tuple) -> Iterator[tuple[int, int,
     lo = 0
     while lo < len(a):
         hi = int(np.searchsorted(at_a, at_a[lo] + (1 << 18), side="right")) - 1
-        hi = min(max(hi, lo + 1), len(a))
+        hi = min(max(hi, lo + 1), len(a), lo + _TEXTS)
         sides = []
         for ids, at, width in ((ids_a, at_a, bounds[0]), (ids_b, at_b, bounds[1])):
             own = ids[at[lo]:at[hi]]
@@ -199,10 +202,9 @@ def _links(a: Side, b: Side) -> tuple[Alignment, np.ndarray, np.ndarray]:
 
 def _in_texts(text: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, pair, links) of the distinct pairs of each text."""
-    order = np.lexsort((pair, text))
-    text, pair = text[order], pair[order]
-    first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])])) if len(text) else np.zeros(0, np.int64)
-    return text[first], pair[first], np.diff(first, append=len(text))
+    both = np.sort(text.astype(np.int64) << 2 * _ID_BITS | pair)  # a run of texts has far fewer than 2**23 of them
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+    return both[first] >> 2 * _ID_BITS, both[first] & ((1 << 2 * _ID_BITS) - 1), np.diff(first, append=len(both))
 
 
 def aligned(tokens: DataFrame, a: Vocabulary, b: bytes) -> DataFrame:
