@@ -227,3 +227,23 @@ def with_originals(articles: DataFrame) -> DataFrame:
     )
     flagged = articles.where("is_duplicate").select("id", "url", "duplicate_of_id", "similarity_score")
     return skew_safe_join(flagged, originals, ["duplicate_of_id"], "left")
+
+
+def resolve_roots(articles: DataFrame) -> DataFrame:
+    """`(id, root_id)` of every article: the article that its chain of `duplicate_of_id` ends at, itself if it repeats none.
+
+    Pointers are doubled: in each round every article takes over what its target points to, so a chain
+    of n articles takes some log2(n) rounds, each one join, written before the next. Only pointers to a smaller id that is
+    there are followed, as flags are made; a chain whose next article is gone, or which doesn't lead
+    back, ends before it.
+    """
+    ids = articles.select(F.col("id").alias("to"))
+    followed = articles.where("duplicate_of_id < id").select("id", F.col("duplicate_of_id").alias("to"))
+    links = stage(skew_safe_join(followed, ids, ["to"]).select("id", "to"), "links")
+    left = links.count()
+    while left:
+        ends = links.select(F.col("id").alias("to"), F.col("to").alias("further"))
+        doubled = stage(skew_safe_join(links, ends, ["to"], "left"), "doubled-links")
+        left = doubled.where("further IS NOT NULL").count()
+        links = doubled.select("id", F.coalesce("further", "to").alias("to"))
+    return articles.select("id").join(links, "id", "left").select("id", F.coalesce("to", "id").alias("root_id"))

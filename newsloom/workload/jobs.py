@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.language import train_profiles
 from newsloom.plans.ingest import run_batch
-from newsloom.session import scratch_path
+from newsloom.session import scratch_path, stage
 from newsloom.sources.feeds import collect
 from newsloom.sources.tables import TableStore
 from newsloom.streaming.ingest import entry_stream, start_ingest, unique_url_stream
@@ -110,6 +110,49 @@ def _(spark, sf):
     return _stored(store)
 
 
+@job_query("st5_fetched_sources", f"""
+    with {_JOB}
+    select s.id, s.name, s.url, s.category, s.is_active, s.id in (select source_id from entries) as fetched from sources s""")
+def _(spark, sf):
+    """The source table that the last of two micro-batches leaves: those with entries in either have a fetch time."""
+    store, profiles, entries, pages = _inputs(spark, sf)
+    store.write_sources(views.sources(spark, sf).withColumn("last_fetched_at", F.lit(None).cast("timestamp")), 0)
+    stream = entry_stream(spark, _landed(spark, sf, entries), files_per_batch=1)
+    start_ingest(stream, store, pages, profiles, scratch_path(spark, "ingest"), once=True).awaitTermination()
+    return store.sources().select("id", "name", "url", "category", "is_active", F.col("last_fetched_at").isNotNull().alias("fetched"))
+
+
+@query("st3_expired_urls", """
+    select lower(url) as url_key, count(distinct (ord - 1) // 2 % 3) as times from raw_batch group by 1""")
+def _(spark, sf):
+    """Three days under a watermark of an hour: a URL comes once within a day, and again when its state is gone.
+
+    Between the days come two batches of one row each: the first moves the watermark, and in the
+    second what is older is dropped from the state. Rows older than the watermark are dropped as well.
+    """
+    rows = stage(views.raw_batch(spark, sf).select("url", F.floor((F.col("ord") - 1) / 2 % 3).cast("int").alias("day")), "rows")
+    path, out = scratch_path(spark, "landed"), scratch_path(spark, "unique")
+
+    def land(urls, day):
+        urls.select(
+            "url", F.lit("").alias("title"), F.lit("").alias("summary"), F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp").alias("published"),
+            F.lit("").alias("author"), F.lit(0).alias("source_id"), F.lit("").alias("source_name"), F.lit("").alias("category"),
+            F.lit(0).alias("position")).coalesce(1).write.mode("append").parquet(path)
+
+    for day in range(3):
+        if day:
+            for tick in (5, 6):
+                land(spark.range(1).select(F.lit(f"tick:{day}-{tick}").alias("url")), 10 * day - 9 + tick)
+            land(rows.where(F.col("day") == 0).select(F.concat(F.lit("late:"), "url").alias("url")), 1)
+        land(rows.where(F.col("day") == day), 10 * day + 1)
+    (
+        unique_url_stream(entry_stream(spark, path, files_per_batch=1), "1 hour").writeStream.format("parquet")
+        .option("checkpointLocation", scratch_path(spark, "unique-log")).trigger(availableNow=True).start(out).awaitTermination()
+    )
+    found = spark.read.parquet(out).where(~F.col("url_key").startswith("tick:"))
+    return found.groupBy("url_key").agg(F.count("*").alias("times"))
+
+
 @query("st3_watermarked_urls", "select distinct lower(url) as url_key from raw_batch where published_at is not null")
 def _(spark, sf):
     """With a watermark of ten years no state is dropped, so every URL with a time comes once."""

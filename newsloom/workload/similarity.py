@@ -585,6 +585,17 @@ def _(spark, sf):
     return dedup.with_originals(_flagged_articles(spark, sf))
 
 
+@query("j11_resolved_roots", f"""
+    with recursive {FLAGGED.strip()},
+    chain as (
+        select id, id as root_id from flagged where duplicate_of_id is null
+        union all
+        select f.id, c.root_id from flagged f join chain c on f.duplicate_of_id = c.id)
+    select id, root_id from chain""")
+def _(spark, sf):
+    return dedup.resolve_roots(_flagged_articles(spark, sf))
+
+
 @query("u5_delete_article", f"""
     with {FLAGGED}, victim as (select min(duplicate_of_id) as v from flagged)
     select id, nullif(duplicate_of_id, (select v from victim)) as duplicate_of_id from flagged

@@ -199,6 +199,16 @@ def test_table_maintenance(spark):
     assert [r.id for r in maintenance.find_source(old, "FIV").collect()] == [5]
 
 
+def test_roots_of_long_chains(spark, monkeypatch):
+    rounds, write = [], dedup.stage
+    monkeypatch.setattr(dedup, "stage", lambda df, name: (rounds.append(name), write(df, name))[1])
+    rows = [(i, i - 1 if i > 1 else None) for i in range(1, 1001)] + [(2000 + i, 1) for i in range(50)]
+    rows += [(3000, 2999), (3001, 3000), (4000, 4001), (4001, 4000), (5000, 5000)]
+    got = {r.id: r.root_id for r in dedup.resolve_roots(spark.createDataFrame(rows, "id bigint, duplicate_of_id bigint")).collect()}
+    want = {i: 1 for i, _ in rows if i < 3000} | {3000: 3000, 3001: 3000, 4000: 4000, 4001: 4000, 5000: 5000}
+    assert got == want and rounds.count("doubled-links") <= 12
+
+
 def test_serial_ids_are_dense_and_ordered(spark):
     rows = spark.range(5000).select((F.xxhash64("id")).alias("k"))
     got = assign_ids(rows, ["k"], 10).orderBy("k").select("id").collect()
