@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from newsloom.llm.registry import query, table
 from newsloom.llm.sampling import hashed_sample
 from newsloom.llm.words import PUNCTUATION, WHITE_SPACE, Splitter, pieces
+from newsloom.session import stage
 
-#: The net is fitted on at most so many labelled documents, of which one in CALIBRATION only sets thresholds.
+#: The net is fitted on at most so many labelled documents, and on at most three in four; all others set thresholds.
 SAMPLE_DOCS = 6_000
-CALIBRATION = 4
+#: Logits from -_REACH to _REACH are counted in so many steps; these languages may have thresholds, from so many toxic rows on.
+BINS, _REACH, LANGUAGES, LEAST_TOXIC = 4_096, 16.0, 200, 20
 BUCKET_BITS = 15
 WIDTH = 8
 FILTERS = 8
@@ -25,7 +27,8 @@ RARE = 10
 LEAK = np.float32(0.1)
 #: Passes over the sample, more where it is small: so many steps at least.
 EPOCHS, LEAST_STEPS = 6, 320
-_PAD = max(SIZES) - 1
+#: Behind each text; an empty text is that much, so that no filter sees the next.
+_PAD = max(SIZES)
 
 
 def buckets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -79,10 +82,6 @@ class ConvNet:
     def logits(self, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         return self.pooled(ids, start, size) @ self.out + self.shift[0]
 
-    def score(self, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        a, b = self.scale
-        return 1 / (1 + np.exp(-np.clip(a * self.logits(ids, start, size).astype(np.float64) + b, -700, 700)))
-
     def _start_from_odds(self, texts: list[np.ndarray], y: np.ndarray) -> None:
         """One embedding column starts as how much likelier a bucket is in toxic texts."""
         size = (1 << BUCKET_BITS) + 1
@@ -145,15 +144,18 @@ class ConvNet:
             bias.append(g.sum(axis=0))
         return [embedding, *filters, *bias, top.T @ d, np.array([d.sum()], np.float32)]
 
-    def calibrate(self, logits: np.ndarray, y: np.ndarray, steps: int = 100) -> None:
-        """Platt scaling (with his softened targets) by Newton steps, so that 0.5 means as likely as not."""
-        n1, n0 = y.sum(), (1 - y).sum()
-        target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    def calibrate(self, logits: np.ndarray, ones: np.ndarray, zeros: np.ndarray, steps: int = 100) -> None:
+        """Platt scaling (with his softened targets) by Newton steps, so that 0.5 means as likely as not.
+
+        `ones` and `zeros`: how many toxic and other texts have each logit.
+        """
+        n1, n0 = ones.sum(), zeros.sum()
+        n, hits = ones + zeros, ones * (n1 + 1) / (n1 + 2) + zeros / (n0 + 2)
         a, b = 1.0, 0.0
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-            w = np.maximum(p * (1 - p), 1e-6)
-            g = np.array([((p - target) * logits).sum(), (p - target).sum()])
+            w = n * np.maximum(p * (1 - p), 1e-6)
+            g = np.array([((n * p - hits) * logits).sum(), (n * p - hits).sum()])
             h = np.array([[(w * logits**2).sum() + 1e-3, (w * logits).sum()], [(w * logits).sum(), w.sum() + 1e-3]])
             move = np.clip(np.linalg.solve(h, g), -1, 1)
             a, b = a - move[0], b - move[1]
@@ -162,15 +164,11 @@ class ConvNet:
         self.scale = (float(max(a, 1e-3)), float(b))
 
 
-def best_threshold(score: np.ndarray, y: np.ndarray) -> float:
-    """The score from which calling a text toxic gives the highest F1; 0.5 where there is nothing to learn from."""
-    if not 0 < y.sum() < len(y):
-        return 0.5
-    order = np.argsort(-score, kind="stable")
-    s, hits = score[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(s) + 1) + y.sum())
-    k = int(np.argmax(f1))
-    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else float(s[k])
+def best_bin(ones: np.ndarray, zeros: np.ndarray) -> int:
+    """The bin from which calling a text toxic gives the highest F1 (the highest such bin)."""
+    hits, called = np.cumsum(ones[::-1])[::-1], np.cumsum((ones + zeros)[::-1])[::-1]
+    f1 = 2 * hits / np.maximum(called + ones.sum(), 1)
+    return len(f1) - 1 - int(np.argmax(f1[::-1]))
 
 
 def held_out(key: Column) -> Column:
@@ -178,41 +176,63 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, label: str, sample: int = SAMPLE_DOCS
-          ) -> tuple[ConvNet, dict[str, float]]:
-    """The net, and a threshold for every language with at least 20 toxic calibration rows ("": for the others)."""
-    usable = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
-    picked = hashed_sample(usable.distinct(), sample, F.col("key"), seed=10)
-    own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"))
+def _usable(labels: DataFrame, key: str, label: str) -> DataFrame:
+    return labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key"))).distinct()
+
+
+def train(docs: DataFrame, usable: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCS) -> tuple[ConvNet, DataFrame] | None:
+    """The net, and which labelled rows (key, label; at most `sample`, and at most three in four) it has seen."""
+    seen = stage(hashed_sample(usable, min(sample, usable.count() * 3 // 4), F.col("key"), seed=10), "taught")
+    own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [out[s:s + n + _PAD].tobytes() for out, start, size in buckets(batch.column(0)) for s, n in zip(start, size, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1), batch.column(2), batch.column(3)],
-                                             names=["ids", "lang", "label", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1), batch.column(2)], names=["ids", "label", "key"])
 
-    rows = own.join(F.broadcast(picked), "key").select("text", "lang", "label", "key").mapInArrow(
-        hashed, "ids binary, lang string, label int, key bigint").collect()
+    rows = own.join(F.broadcast(seen), "key").select("text", "label", "key").mapInArrow(hashed, "ids binary, label int, key bigint").collect()
     rows.sort(key=lambda r: (r["key"], bytes(r["ids"]), r["label"]))
     texts = [np.frombuffer(bytes(r["ids"]), dtype=np.int32).reshape(-1, 2) for r in rows]
     y = np.array([r["label"] for r in rows], dtype=np.float32)
-    net = ConvNet()
-    spare = np.arange(len(rows)) % CALIBRATION == 0
-    if not len(rows) or not 0 < y[~spare].sum() < (~spare).sum():
-        net.scale = (0.0, -3.0)  # nothing to learn from: nothing is toxic
-        return net, {"": 0.5}
-    net.fit([t for t, s in zip(texts, spare, strict=True) if not s], y[~spare])
-    kept = [t for t, s in zip(texts, spare, strict=True) if s]
-    size = np.array([len(t) - _PAD for t in kept])
-    start = np.concatenate([[0], np.cumsum(size + _PAD)[:-1]])
-    ids = np.concatenate(kept)
-    net.calibrate(net.logits(ids, start, size).astype(np.float64), y[spare])
-    score = net.score(ids, start, size)
-    of = np.array([r["lang"] for r, s in zip(rows, spare, strict=True) if s])
-    limits = {"": best_threshold(score, y[spare])}
-    limits |= {str(x): best_threshold(score[of == x], y[spare][of == x]) for x in np.unique(of) if y[spare][of == x].sum() >= 20}
-    return net, limits
+    if not len(rows) or not 0 < y.sum() < len(rows):
+        return None
+    return ConvNet().fit(texts, y), seen
+
+
+def thresholds(net: ConvNet, judged: DataFrame) -> dict[str, float]:
+    """Calibrates the net on `judged` (lang, logit, label), rows that it was not fitted on, and gives a threshold for
+    every language with at least LEAST_TOXIC toxic ones ("": for the others).
+
+    All rows count: they are added up by language, label and one of BINS steps of the logit, so what
+    the driver gets is bounded. Of the languages, the LANGUAGES with most toxic rows may have their own.
+    """
+    judged = judged.withColumn("bin", F.least(F.greatest(F.floor((F.col("logit") + _REACH) * (BINS / (2 * _REACH))), F.lit(0)), F.lit(BINS - 1)).cast("int"))
+    counts = stage(judged.groupBy("lang", "bin", "label").agg(F.count("*").alias("n")), "score_bins")
+    mids = (np.arange(BINS) + 0.5) * (2 * _REACH / BINS) - _REACH
+
+    def binned(rows: list) -> list[np.ndarray]:
+        own = [np.zeros(BINS), np.zeros(BINS)]
+        for r in rows:
+            own[r["label"]][r["bin"]] += r["n"]
+        return own
+
+    def limit(zeros: np.ndarray, ones: np.ndarray) -> float:
+        a, b = net.scale
+        edge = best_bin(ones, zeros) * (2 * _REACH / BINS) - _REACH
+        return float(1 / (1 + np.exp(-(a * edge + b))))
+
+    zeros, ones = binned(counts.groupBy("bin", "label").agg(F.sum("n").alias("n")).collect())
+    if not ones.sum() or not zeros.sum():
+        return {"": 0.5}
+    net.calibrate(mids, ones, zeros)
+    limits = {"": limit(zeros, ones)}
+    toxic = counts.where("label = 1 AND lang <> ''").groupBy("lang").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TOXIC)
+    for r in toxic.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect():
+        zeros, ones = binned(counts.where(F.col("lang") == r["lang"]).collect())
+        if zeros.sum():
+            limits[r["lang"]] = limit(zeros, ones)
+    return limits
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -220,22 +240,36 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """(key, held_out, score, predicted, flagged) for each row of `docs`.
 
     `score` depends on the text alone; `predicted` is 1 from a score of 0.5; `flagged` compares the
-    score with the language's own threshold. Labels are learned from at most `sample` documents
-    whose key isn't held out; whole texts, and every document is scored, without a shuffle. NULL or
+    score with the language's own threshold. The net is fitted on at most `sample` labelled documents
+    whose key isn't held out; the calibration of scores and the thresholds of languages come from all other labelled documents
+    that aren't. Whole texts are scored, once each, where they are. NULL or
     empty texts get the score of a text without words; NULL labels and keys teach nothing; an unknown or NULL
-    language has the common threshold; repeated rows get equal scores; without usable labels all scores are low.
+    language has the common threshold; repeated rows get equal scores; without usable labels all scores are low;
+    an empty table gives no rows; other columns are not read.
     """
-    net, limits = train(docs, labels, key, text, lang, label, sample)
-
-    @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        found = [net.score(*piece) for piece in buckets(texts)]
-        return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
-
+    usable = _usable(labels, key, label)
+    made = train(docs, usable, key, text, sample)
+    own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.col(text).alias("text"))
+    if made is None:  # nothing to learn from: nothing is toxic
+        found, (a, b), limits = own.withColumn("logit", F.lit(0.0)), (0.0, -3.0), {"": 0.5}
+    else:
+        net, seen = made
+        shared = docs.sparkSession.sparkContext.broadcast(net)
+
+        @F.arrow_udf("double")
+        def logits(texts: pa.Array) -> pa.Array:
+            parts = [shared.value.logits(*piece).astype(np.float64) for piece in buckets(texts)]
+            return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+
+        found = stage(own.select("key", "lang", logits("text").alias("logit")), "logits")
+        rest = usable.join(F.broadcast(seen), ["key", "label"], "left_anti")
+        limits = thresholds(net, found.join(rest, "key").select("lang", "logit", "label"))
+        a, b = net.scale
     limit = F.lit(limits[""])
-    for name, value in limits.items():
-        limit = F.when(F.col(lang) == name, value).otherwise(limit) if name else limit
-    out = docs.select(F.col(key), held_out(F.col(key)).alias("held_out"), score(F.col(text)).alias("score"), limit.alias("_limit"))
+    if len(limits) > 1:
+        limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("lang")), limit)
+    score = 1 / (1 + F.exp(-(F.lit(a) * F.col("logit") + F.lit(b))))
+    out = found.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), score.alias("score"), limit.alias("_limit"))
     return out.select(key, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                       (F.col("score") >= F.col("_limit")).alias("flagged"))
 
