@@ -21,6 +21,8 @@ RADIUS = 8 * NEAR_BITS + 7
 #: Items go to the tasks in blocks of at most so many; a larger benchmark takes several passes.
 ITEMS_PER_PASS = 4_096
 _TABLE_BITS = 22
+#: Windows times items that are looked up at once (4 MB).
+_AT_ONCE = 1 << 22
 
 
 def _splitter() -> Splitter:
@@ -59,16 +61,25 @@ class Benchmark:
     """Shingles, fingerprints and block tables of at most ITEMS_PER_PASS items."""
 
     def __init__(self, ids: list[int], texts: list[str]):
-        splitter, self.ids, self.shingles = _splitter(), [], []
+        splitter, self.ids, self.shingles, lengths = _splitter(), [], [], []
         for _id, text in zip(ids, texts, strict=True):
             for _, _, data, offsets in pieces(pa.array([text], pa.large_string())):
                 words = splitter.split(data, offsets)
                 own = _shingles(Runs(words.hash), 0, len(words.hash))
                 if len(own):
                     self.ids.append(_id)
+                    lengths.append(len(words.hash))
                     self.shingles.append(own)
         self.sizes = np.array([len(s) for s in self.shingles], dtype=np.int64)
         self.prints = np.array([window_prints(s, np.array([0]), len(s))[0] for s in self.shingles], dtype=np.uint64)
+        # Items of fewer words than a shingle are looked for as they are, by their number of words.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        words = np.array(lengths, dtype=np.int64)
+        for n in np.unique(words[words < SHINGLE]):
+            those = np.flatnonzero(words == n)
+            hashes = np.concatenate([self.shingles[i] for i in those])
+            order = np.argsort(hashes, kind="stable")
+            self.short[int(n)] = hashes[order], those[order]
         # Shingle -> items that have it.
         flat = np.concatenate(self.shingles) if self.shingles else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(self.ids)), self.sizes)
@@ -112,13 +123,16 @@ class Benchmark:
             prints = window_prints(local, starts - lo, window)
             blocks = prints.astype(">u8").view(np.uint8).reshape(-1, 8)
             those = np.flatnonzero(self.sizes == size)
-            met = np.zeros((len(starts), len(those)), dtype=bool)
-            for b in range(8):
-                met |= self.near[b][blocks[:, b]][:, those]
-            i, j = np.nonzero(met)
-            bits = np.bitwise_count(prints[i] ^ self.prints[those[j]])
-            close = bits <= RADIUS
-            i, j, bits = i[close], j[close], bits[close]
+            i, j, step = [], [], max(1, _AT_ONCE // len(those))
+            for at in range(0, len(starts), step):
+                met = np.zeros((min(step, len(starts) - at), len(those)), dtype=bool)
+                for b in range(8):
+                    met |= self.near[b][blocks[at:at + step, b]][:, those]
+                some, other = np.nonzero(met)
+                close = np.bitwise_count(prints[at + some] ^ self.prints[those[other]]) <= RADIUS
+                i.append(at + some[close])
+                j.append(other[close])
+            i, j = np.concatenate(i), np.concatenate(j)
             for k in np.unique(j):
                 own = self.shingles[those[k]]
                 best = max(weighted_similarity(shingles[starts[w]:starts[w] + window], own) for w in i[j == k])
@@ -128,6 +142,20 @@ class Benchmark:
         return found
 
 
+def _short_items(bench: Benchmark, runs: Runs, n: int, end: np.ndarray) -> dict[int, set[int]]:
+    """Text -> ids of items of fewer words than a shingle that stand in it, of a piece of n words whose texts end at `end`."""
+    found: dict[int, set[int]] = {}
+    for size, (hashes, items) in bench.short.items():
+        every = _shingles(runs, 0, n, size) if n >= size else np.zeros(0, np.uint64)
+        lo, hi = np.searchsorted(hashes, every, side="left"), np.searchsorted(hashes, every, side="right")
+        at = np.flatnonzero(lo < hi)
+        text = np.searchsorted(end, at, side="right")
+        inside = at + size <= end[text] if len(at) else np.zeros(0, bool)
+        for place, t in zip(at[inside], text[inside], strict=True):
+            found.setdefault(int(t), set()).update(bench.ids[i] for i in items[lo[place]:hi[place]])
+    return found
+
+
 _RESULT = T.StructType([T.StructField("items", T.ArrayType(T.LongType())), T.StructField("best", T.DoubleType())])
 
 
@@ -146,16 +174,14 @@ def _scan(text: Column, bench: Benchmark, least: float) -> Column:
             inside = at + SHINGLE <= end[text_of] if len(at) else np.zeros(0, bool)
             at, row, text_of = at[inside], row[inside], text_of[inside]
             hits = np.searchsorted(text_of, np.arange(hi - lo + 1))
+            whole = _short_items(bench, runs, n, end)
             for t in range(hi - lo):
                 a, b = int(begin[t]), int(end[t])
                 found: dict[int, float] = {}
                 if hits[t + 1] > hits[t]:
                     some = slice(hits[t], hits[t + 1])
                     found = bench.matches(every[a:b - SHINGLE + 1], at[some] - a, row[some], least)
-                elif 0 < b - a < SHINGLE:
-                    own = _shingles(runs, a, b)
-                    x, y = bench.anchors(own)
-                    found = bench.matches(own, x, y, least) if len(x) else {}
+                found |= dict.fromkeys(whole.get(t, ()), 1.0)
                 items.append(sorted(found))
                 best.append(max(found.values(), default=0.0))
         return pa.StructArray.from_arrays([pa.array(items, pa.list_(pa.int64())), pa.array(best, pa.float64())], names=["items", "best"])
@@ -169,11 +195,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     `items`: the benchmark items that a window of the document resembles: as many five-word shingles
     as the item has (the whole document, if it has fewer), fingerprints within RADIUS bits, and
-    exact weighted similarity of at least `least`. `best` is the highest such similarity, else 0.
+    exact weighted similarity of at least `least`. `best` is the highest such similarity, else 0. Items of fewer than
+    five words match documents in which just these words stand one after the other.
 
     No shuffle: the benchmark goes to the tasks, at most ITEMS_PER_PASS items at a time (a larger
-    one in several passes over `docs`). Items of fewer than five words match documents that are
-    just these words. NULL or empty texts match nothing, and so do NULL or empty items; items with a NULL
+    one in several passes over `docs`). NULL or empty texts match nothing, and so do NULL or empty items; items with a NULL
     id are left out; repeated rows get equal results; an empty benchmark matches nothing.
     """
     rows = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item).cast("bigint"), item_text)
