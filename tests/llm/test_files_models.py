@@ -12,7 +12,7 @@ from newsloom.llm import scoring
 from newsloom.llm.gru import GRU
 from newsloom.llm.scoring import language_model_scores
 from newsloom.llm.tokens import count_tokens, public_encoder, write_token_files
-from newsloom.llm.toxicity import ConvNet, best_threshold, buckets, toxicity
+from newsloom.llm.toxicity import _PAD, FILTERS, SIZES, ConvNet, best_bin, buckets, thresholds, toxicity
 from newsloom.llm.warc import read_archives, read_split, record, write_archives
 from newsloom.session import scratch_path
 
@@ -136,18 +136,65 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got) + 0.1 * sum(r.n_tokens for r in got)
 
 
+def test_a_round_in_tasks_is_the_average_of_their_steps(spark, documents):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(["the", "a", "of", "und", "x1"]) for _ in range(rng.randint(20, 90))), "en", "s") for i in range(40)]
+    docs = documents(rows)
+    counts = scoring.token_counts(docs, "text")
+    model = scoring.train(spark, counts, docs.limit(0), "doc_id", "text")
+    together = docs.repartition(3, "doc_id").sortWithinPartitions("doc_id")
+    placed = together.select("text", F.spark_partition_id().alias("part")).collect()
+    before, parts = [p.copy() for p in model.net.parts], [[r.text for r in placed if r.part == k] for k in range(3)]
+    steps, sizes = [], []
+    for part in parts:
+        net = GRU(model.net.n_words, model.net.n_single, model.net.begin)
+        for p, b in zip(net.parts, before, strict=True):
+            p[:] = b
+        ids = []
+        for value, shape, bounds in scoring.tokens(pa.array(part)):
+            ids += [model.ids(value, shape).astype(np.int32)[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        sizes.append(sum(map(len, ids)))
+        net.fit(ids, epochs=1, streams=int(np.clip(sizes[-1] // 128, 1, 64)), rate=scoring.RATE)
+        steps.append([p - b for p, b in zip(net.parts, before, strict=True)])
+    scoring.learn_in_tasks(model, together, "text")
+    for k, (p, b) in enumerate(zip(model.net.parts, before, strict=True)):
+        want = b + sum(s[k] * n for s, n in zip(steps, sizes, strict=True)) / sum(sizes)
+        assert np.abs(p - want).max() < 1e-4, (k, np.abs(p - want).max(), np.abs(want - b).max(), np.abs(p - b).max())
+    assert not np.allclose(model.net.recurrent, before[1], atol=1e-4)
+
+
+def test_scores_are_those_of_the_model_word_by_word(spark, documents):
+    rng = random.Random(13)
+    rows = [(i, " ".join(f"w{min(rng.randint(0, 60), rng.randint(0, 60))}" for _ in range(rng.randint(1, 100))), "en", "s") for i in range(120)]
+    docs = documents(rows)
+    counts = scoring.token_counts(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 1"), "text")
+    model = scoring.train(spark, counts, docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 1"), "doc_id", "text")
+    known = {r.token: r.n for r in counts.collect()}
+    got = {r.doc_id: r.score for r in language_model_scores(docs).collect()}
+    for i, text, *_ in rows[:25]:
+        (hashed, shape, _), = scoring.tokens(pa.array([text]))
+        h, before, total = np.zeros((1, model.net.hidden), np.float32), model.net.begin, 0.0
+        for token, own, kind in zip(hashed.view(np.int64), model.ids(hashed, shape), shape, strict=True):
+            h = model.net.step(np.array([before]), h)[0]
+            total += float(model.net.log_probability(h, np.array([own]))[0]) / math.log(10)
+            if own >= model.n_words:
+                total += math.log10(known.get(int(token), 0) + 0.5) - float(model.shape_log[kind])
+            before = own
+        assert math.isclose(got[i], total, rel_tol=1e-3)
+
+
 def test_net_learns_rare_words_and_gradients():
     rng = np.random.default_rng(1)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 500, rng.integers(5, 80))) for _ in range(600)]
     y = (rng.random(600) < 0.3).astype(np.float32)
     texts = [t + " awful thing" if label else t for t, label in zip(texts, y, strict=True)]
-    own = [out[s:s + n + 2] for out, start, size in buckets(pa.array(texts)) for s, n in zip(start, size, strict=True)]
+    own = [out[s:s + n + _PAD] for out, start, size in buckets(pa.array(texts)) for s, n in zip(start, size, strict=True)]
     net = ConvNet().fit(own[:400], y[:400])
-    held = [net.logits(t, np.array([0]), np.array([len(t) - 2]))[0] for t in own[400:]]
+    held = [net.logits(t, np.array([0]), np.array([len(t) - _PAD]))[0] for t in own[400:]]
     assert ((np.array(held) > 0) == y[400:]).mean() > 0.97
     net = ConvNet(seed=3)
     grads = net._gradients(own[:8], y[:8])
-    loss = lambda: np.mean([np.log1p(np.exp(-(2 * a - 1) * net.logits(t, np.array([0]), np.array([len(t) - 2]))[0])) for t, a in zip(own[:8], y[:8], strict=True)])
+    loss = lambda: np.mean([np.log1p(np.exp(-(2 * a - 1) * net.logits(t, np.array([0]), np.array([len(t) - _PAD]))[0])) for t, a in zip(own[:8], y[:8], strict=True)])
     for p, g in ((net.out, grads[-2]), (net.filters[1], grads[2]), (net.shift, grads[-1])):
         at = np.unravel_index(np.argmax(np.abs(g)), g.shape)
         old, eps = p[at], 1e-3
@@ -174,6 +221,42 @@ def test_toxicity_rows(spark, documents, odd_documents):
     assert toxicity(odd_documents.limit(0), labels).count() == 0
 
 
-def test_threshold():
-    assert abs(best_threshold(np.array([0.1, 0.2, 0.4, 0.9]), np.array([0, 0, 1, 1])) - 0.3) < 1e-9
-    assert best_threshold(np.array([0.1]), np.array([0])) == 0.5
+def test_best_bin_is_that_of_the_highest_f1():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        ones, zeros = rng.integers(0, 4, 12), rng.integers(0, 6, 12)
+        if ones.sum():
+            f1 = [2 * ones[k:].sum() / ((ones + zeros)[k:].sum() + ones.sum()) for k in range(12)]
+            assert best_bin(ones, zeros) == max(range(12), key=lambda k: (f1[k], k))
+
+
+def test_pooled_responses_are_those_of_plain_loops():
+    rng = np.random.default_rng(8)
+    net = ConvNet(seed=4)
+    net.bias = [rng.normal(size=FILTERS).astype(np.float32) for _ in SIZES]
+    texts = ["one two three four", "", "alone", "a b", " ".join(f"w{i}" for i in range(40))]
+    (ids, start, size), = buckets(pa.array(texts))
+    got = net.pooled(ids, start, size)
+    for i, n in enumerate(size):
+        x = [net.embedding[w[0]] + net.embedding[w[1]] for w in ids[start[i]:start[i] + n + _PAD]]
+        want = []
+        for w, b in zip(net.filters, net.bias, strict=True):
+            for f in range(FILTERS):
+                sums = [float(b[f]) + sum(float(x[at + k] @ w[k][:, f]) for k in range(len(w))) for at in range(max(n, 1)) if at + len(w) <= len(x)]
+                want.append(max(sums) if max(sums) > 0 else 0.1 * max(sums))
+        assert np.allclose(got[i], want, atol=1e-5)
+        assert np.isclose(net.logits(ids, start, size)[i], np.dot(want, net.out) + net.shift[0], atol=1e-5)
+
+
+def test_thresholds_come_from_all_rows_outside_of_the_sample(spark):
+    rng = random.Random(9)
+    rows = [(lang, rng.gauss(centre if label else 0, 1), label) for lang, centre, n in (("en", 4, 300), ("es", 2, 40), ("fr", 3, 6))
+            for label in (0, 1) for _ in range(n)] + [("", rng.gauss(0, 1), 0) for _ in range(50)]
+    net = ConvNet()
+    limits = thresholds(net, spark.createDataFrame(rows, "lang string, logit double, label int"))
+    assert set(limits) == {"", "en", "es"}  # French has too few toxic rows
+    a, b = net.scale
+    for lang, limit in limits.items():
+        own = [(1 / (1 + math.exp(-(a * x + b))), y) for at, x, y in rows if lang in ("", at)]
+        f1 = lambda t: 2 * sum(y for s, y in own if s >= t) / (sum(s >= t for s, _ in own) + sum(y for _, y in own))
+        assert f1(limit) >= max(f1(s) for s, _ in own) - 0.01
