@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.features import content_text, feature_set, general_text, trimmed
 from newsloom.functions.urls import url_key
+from newsloom.operators.bits import Bits
 from newsloom.operators.ids import assign_ids
 from newsloom.operators.joins import skew_safe_join
 from newsloom.operators.nearest import KnownSets, best_of, known_sets, nearest_earlier_sets, nearest_known_sets
@@ -89,45 +90,44 @@ def content_matches(stored: DataFrame, batch: DataFrame, threshold: float = THRE
 def general_matches(stored: DataFrame, batch: DataFrame, matched: DataFrame,
                     threshold: float = THRESHOLD, known: KnownSets | None = None) -> DataFrame:
     """Nearest earlier article by general text for batch rows not in `matched`."""
-    done = matched.select("id", F.lit(False).alias("open"))
-    asking = batch.join(done, "id", "left").select(
-        "id", F.col("embedding").alias("features"), F.coalesce("open", F.lit(True)).alias("asks")
-    )
-    return _matches(stored, stage(asking, "asking"), "embedding", threshold, known)
+    open_ids = stage(batch.select("id").join(matched.select("id"), "id", "left_anti"), "open-ids")
+    # Matched rows that ask by chance are left out of the answer.
+    asking = batch.select("id", F.col("embedding").alias("features"), Bits(open_ids, "id").maybe("id").alias("asks"))
+    found = _matches(stored, asking, "embedding", threshold, known)
+    return found.join(matched.select("id").distinct(), "id", "left_anti")
 
 
-def flag_duplicates(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD,
-                    general: bool = True, known: dict[str, KnownSets] | None = None) -> DataFrame:
-    """Batch rows with is_duplicate, duplicate_of_id, similarity_score and general_similarity.
+def duplicate_matches(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD,
+                      general: bool = True, known: dict[str, KnownSets] | None = None) -> DataFrame:
+    """`(id, duplicate_of_id, similarity_score, general_similarity)` of the rows of a stored batch that repeat an earlier one.
 
     A match by general text is recorded with the threshold as its score; the true value is kept in
     `general_similarity`.
     """
     known = known or {}
-    content = content_matches(stored, batch, threshold, known.get("content"))
+    content = stage(content_matches(stored, batch, threshold, known.get("content")), "content-matches")
+    found = content.select(
+        "id", F.col("match_id").alias("duplicate_of_id"), F.col("similarity").alias("similarity_score"),
+        F.lit(None).cast("double").alias("general_similarity"))
     if not general:
-        return batch.join(content, "id", "left").select(
-            *batch.columns,
-            F.col("match_id").isNotNull().alias("is_duplicate"),
-            F.col("match_id").alias("duplicate_of_id"),
-            F.col("similarity").alias("similarity_score"),
-            F.lit(None).cast("double").alias("general_similarity"),
-        )
-    content = stage(content, "content-matches")
-    other = general_matches(stored, batch, content, threshold, known.get("general")).select(
-        "id", F.col("match_id").alias("g_match"), F.col("similarity").alias("g_similarity")
-    )
-    return (
-        batch.join(content, "id", "left").join(other, "id", "left")
-        .select(
-            *batch.columns,
-            F.coalesce("match_id", "g_match").isNotNull().alias("is_duplicate"),
-            F.coalesce("match_id", "g_match").alias("duplicate_of_id"),
-            F.when(F.col("match_id").isNotNull(), F.col("similarity"))
-            .when(F.col("g_match").isNotNull(), F.lit(threshold)).alias("similarity_score"),
-            F.col("g_similarity").alias("general_similarity"),
-        )
-    )
+        return found
+    other = general_matches(stored, batch, content, threshold, known.get("general"))
+    return stage(found.unionByName(other.select(
+        "id", F.col("match_id").alias("duplicate_of_id"), F.lit(threshold).alias("similarity_score"),
+        F.col("similarity").alias("general_similarity"))), "matches")
+
+
+def with_flags(batch: DataFrame, matches: DataFrame) -> DataFrame:
+    """Batch rows with is_duplicate and the columns of their `matches`."""
+    return batch.join(matches, "id", "left").select(
+        *batch.columns, F.col("duplicate_of_id").isNotNull().alias("is_duplicate"), "duplicate_of_id", "similarity_score",
+        "general_similarity")
+
+
+def flag_duplicates(stored: DataFrame, batch: DataFrame, threshold: float = THRESHOLD,
+                    general: bool = True, known: dict[str, KnownSets] | None = None) -> DataFrame:
+    """Rows of a stored batch with is_duplicate, duplicate_of_id, similarity_score and general_similarity."""
+    return with_flags(batch, duplicate_matches(stored, batch, threshold, general, known))
 
 
 @dataclass
@@ -155,7 +155,9 @@ def dedup_insert(stored: DataFrame, batch: DataFrame, order: list[str], threshol
     taken = stored if taken is None else taken
     ids = taken.select("id") if replaced is None else taken.select("id").unionByName(replaced.select("id"))
     last = ids.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
-    fresh = new_urls(batch, taken, order)
+    # Only places and URLs are compared, sorted and numbered; the rows that stay are moved once, to their ids.
+    placed = batch.withColumn("_at", F.struct(*dict.fromkeys([*order, "url"])))
+    fresh = new_urls(placed.select("_at", *dict.fromkeys([*order, "url"])), taken, order)
     if replaced is None or replaced.isEmpty():
         fresh = assign_ids(fresh, order, last)
     else:
@@ -163,14 +165,21 @@ def dedup_insert(stored: DataFrame, batch: DataFrame, order: list[str], threshol
         fresh = stage(fresh.withColumn("_key", url_key(F.col("url"))).join(had, "_key", "left").drop("_key"), "replayed")
         new = assign_ids(fresh.where("_had IS NULL").drop("_had"), order, last)
         fresh = new.unionByName(fresh.where("_had IS NOT NULL").withColumnRenamed("_had", "id"))
+    numbered = stage(fresh.select("_at", "id"), "numbered-urls")
+    mine = placed.where(Bits(numbered, "_at").maybe("_at")).join(numbered, "_at")
+    fresh = keep_first(mine, F.col("_at"), ["id"]).drop("_at")
     if "scraped_at" not in fresh.columns:
         fresh = fresh.withColumn("scraped_at", scraped_at if scraped_at is not None else F.current_timestamp())
-    if use_vectors and not fresh.isEmpty():
-        slim = with_vectors(fresh, category).select(
-            "id", "embedding", "content_embedding", long_enough(F.col("full_text")).alias("asks"))
-        flags = stage(flag_duplicates(stored, stage(slim, "fresh"), threshold, general, known).drop("asks"), "flags")
-        flagged = fresh.join(flags, "id")
+    if use_vectors and not numbered.isEmpty():
+        fresh = stage(with_vectors(fresh, category).withColumn("asks", long_enough(F.col("full_text"))), "fresh")
+        matches = duplicate_matches(stored, fresh.select("id", "embedding", "content_embedding", "asks"), threshold, general, known)
+        flags = with_flags(fresh.select("id"), matches)
+        # Rows that certainly match nothing stay where they are.
+        maybe = Bits(matches, "id").maybe("id")
+        alone = with_flags(fresh.where(~maybe), matches.where("false"))
+        flagged = with_flags(fresh.where(maybe), matches).unionByName(alone)
     else:
+        fresh = stage(fresh, "fresh")
         flagged = fresh.withColumns({
             "is_duplicate": F.lit(False),
             "duplicate_of_id": F.lit(None).cast("bigint"),

@@ -13,17 +13,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.barrier import with_computed
 from newsloom.functions.features import cosine, has_direction, set_cosine
+from newsloom.operators.bits import Bits
 from newsloom.operators.joins import skew_safe_join
 from newsloom.session import stage
 
 RESULT = "id bigint, match_id bigint, similarity double"
-# Frequent coordinates that get their true rank; the list is broadcast (16 bytes each).
-RANKED_COORDINATES = 100_000
+# Coordinates are ranked by the counts of so many buckets; these are broadcast (8 bytes each).
+BUCKETS = 1 << 18
 # A coordinate with more query/candidate pairs than this is compared in blocks.
 LIGHT_PAIRS = 65_536
 BLOCK_ROWS = 1_024
@@ -51,28 +54,25 @@ def _best(scored: DataFrame) -> DataFrame:
 
 
 def nearest_earlier_sets(rows: DataFrame, threshold: float, light_pairs: int | None = None) -> DataFrame:
-    """Nearest earlier feature set of every asking row. Input: `(id, features, asks)`.
+    """Nearest earlier feature set of every asking row. Input: `(id, features, asks)`, a stored table.
     Coordinates with more than `light_pairs` pairs are compared in blocks.
 
     All rows are candidates for later ones. Equal sets are folded first: the smallest id of each
     distinct set stands for all of them, so a set held by a third of all rows costs one aggregation
     and never forms pairs. A later copy is answered at once, by the first row of its set; only
-    first rows enter the similarity join.
+    first rows enter the similarity join. Sets are folded by their keys, features stay where they are.
     """
-    keyed = rows.where("features IS NOT NULL").select(
-        "id", "asks", "features", *_vector_key(F.col("features"))
-    )
-    groups = stage(
-        keyed.groupBy("k1", "k2").agg(
-            F.min("id").alias("id"), F.min_by("asks", "id").alias("q"),
-            F.any_value("features").alias("features"),
-        ).withColumn("c", F.lit(True)),
-        "distinct-sets",
-    )
-    firsts = groups.select("k1", "k2", F.col("id").alias("match_id"))
+    held = rows.where("features IS NOT NULL").select("id", "asks", "features", *_vector_key(F.col("features")))
+    keyed = held.select("id", "asks", "k1", "k2")
+    heads = stage(keyed.groupBy("k1", "k2").agg(F.min("id").alias("id")), "first-ids")
+    firsts = heads.select("k1", "k2", F.col("id").alias("match_id"))
     copies = skew_safe_join(keyed.where("asks").select("id", "k1", "k2"), firsts, ["k1", "k2"])
     copies = copies.where("match_id < id").select("id", "match_id", F.lit(1.0).alias("similarity"))
-    return copies.unionByName(_prefix_join(groups, threshold, True, light_pairs))
+    # A later copy that is let in by chance is never a better match than the first row; it may not ask.
+    groups = held.where(Bits(heads, "k1", "k2", "id").maybe("k1", "k2", "id")).select(
+        "id", F.col("asks").alias("q"), F.lit(True).alias("c"), "features")
+    near = _prefix_join(groups, threshold, True, light_pairs).join(heads.select("id").distinct(), "id", "left_semi")
+    return copies.unionByName(near)
 
 
 def nearest_sets(queries: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
@@ -100,15 +100,14 @@ def _prefix_length(n: Column, threshold: float) -> Column:
     return n - F.ceil(n * F.lit(threshold * threshold) - F.lit(1e-9)).cast("int") + 1
 
 
-def set_postings(sets: DataFrame, threshold: float) -> DataFrame:
-    """`(f, id, n, pos)` of the prefixes of `sets` `(id, features)`, coordinates in hash order.
+def _in_hash_order(features: Column, threshold: float) -> Column:
+    """The prefix of a set by an order that never changes, so that postings can be stored once and looked up by later sets."""
+    return F.slice(features, F.lit(1), _prefix_length(F.size(features), threshold))
 
-    That order never changes, so postings can be stored once and looked up by later sets.
-    """
-    n = F.size("features")
-    return sets.select(
-        "id", n.alias("n"), F.posexplode(F.slice("features", F.lit(1), _prefix_length(n, threshold))).alias("pos", "f")
-    ).select("f", "id", "n", "pos")
+
+def set_postings(prefixes: DataFrame) -> DataFrame:
+    """`(f, id, n, pos)` of `prefixes` `(id, n, prefix)`."""
+    return prefixes.select("id", "n", F.posexplode("prefix").alias("pos", "f")).select("f", "id", "n", "pos")
 
 
 @dataclass
@@ -126,16 +125,30 @@ def _distinct_sets(rows: DataFrame) -> DataFrame:
     return keyed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.any_value("features").alias("features"))
 
 
+def _keys_of(rows: DataFrame) -> DataFrame:
+    """`(k1, k2, id)`: each set once, under its smallest id."""
+    keyed = rows.where("features IS NOT NULL").select("id", *_vector_key(F.col("features")))
+    return keyed.groupBy("k1", "k2").agg(F.min("id").alias("id"))
+
+
+def _prefixes_of(rows: DataFrame, keys: DataFrame, threshold: float) -> DataFrame:
+    """`(id, n, prefix)` of the sets that `keys` `(k1, k2, id)` name; of `rows` only prefixes are moved."""
+    held = rows.where("features IS NOT NULL").select(
+        "id", *_vector_key(F.col("features")), F.size("features").alias("n"), _in_hash_order(F.col("features"), threshold).alias("prefix"))
+    return held.join(keys, ["k1", "k2", "id"], "left_semi").dropDuplicates(["k1", "k2"]).select("id", "n", "prefix")
+
+
 def known_sets(rows: DataFrame, threshold: float) -> KnownSets:
-    """What `nearest_known_sets` looks up, made from a whole table `(id, features)`."""
-    distinct = stage(_distinct_sets(rows), "known-sets")
-    return KnownSets(distinct.select("k1", "k2", "id"), set_postings(distinct, threshold), distinct.select("id", "features"))
+    """What `nearest_known_sets` looks up, made from a whole stored table `(id, features)`."""
+    keys = stage(_keys_of(rows), "known-sets")
+    postings = stage(set_postings(_prefixes_of(rows, keys, threshold)), "known-postings")
+    return KnownSets(keys.select("k1", "k2", "id"), postings, rows.where("features IS NOT NULL").select("id", "features"))
 
 
 def new_sets(rows: DataFrame, known: KnownSets, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """The keys and postings that rows `(id, features)` add to what is known."""
-    fresh = stage(_distinct_sets(rows).join(known.keys.select("k1", "k2"), ["k1", "k2"], "left_anti"), "new-sets")
-    return fresh.select("k1", "k2", "id"), set_postings(fresh, threshold)
+    """The keys and postings that rows `(id, features)`, a stored table, add to what is known."""
+    fresh = stage(_keys_of(rows).join(known.keys.select("k1", "k2"), ["k1", "k2"], "left_anti"), "new-sets")
+    return fresh.select("k1", "k2", "id"), set_postings(_prefixes_of(rows, fresh, threshold))
 
 
 def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -> DataFrame:
@@ -144,23 +157,22 @@ def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -
     Work follows the queries: of what is known, only postings of the queries' own prefix coordinates
     and the features of sets that these name are taken; nothing stored is hashed, sorted or exploded.
     """
-    asked = stage(_distinct_sets(queries), "asked-sets")
+    asked = stage(_keys_of(queries), "asked-sets")
     firsts = known.keys.select("k1", "k2", F.col("id").alias("match_id"))
     equal = asked.join(firsts, ["k1", "k2"]).select("k1", "k2", "match_id", F.lit(1.0).alias("similarity"))
     unequal = stage(asked.join(firsts, ["k1", "k2"], "left_anti"), "unequal-sets")
-    mine = set_postings(unequal, threshold)
+    mine = stage(set_postings(_prefixes_of(queries, unequal, threshold)), "asked-postings")
     theirs = stage(known.postings.join(mine.select("f").distinct(), "f", "left_semi"), "met-postings")
     keyed = queries.where("features IS NOT NULL").select("id", *_vector_key(F.col("features")))
     if theirs.isEmpty():
         return skew_safe_join(keyed, equal, ["k1", "k2"]).select("id", "match_id", "similarity")
     yes, no = F.lit(True), F.lit(False)
-    postings = stage(
+    postings = (
         mine.select("id", yes.alias("q"), no.alias("c"), "n", "pos", "f")
-        .unionByName(theirs.select("id", no.alias("q"), yes.alias("c"), "n", "pos", "f")), "met")
-    met = known.features.join(theirs.select("id").distinct(), "id", "left_semi")
-    rows = stage(
-        unequal.select("id", yes.alias("q"), no.alias("c"), "features")
-        .unionByName(met.select("id", no.alias("q"), yes.alias("c"), "features")), "sets")
+        .unionByName(theirs.select("id", no.alias("q"), yes.alias("c"), "n", "pos", "f")))
+    rows = (
+        queries.where("features IS NOT NULL").select("id", yes.alias("q"), no.alias("c"), "features")
+        .unionByName(known.features.select("id", no.alias("q"), yes.alias("c"), "features")))
     near = _match(postings, rows, threshold, earlier=False)
     found = asked.join(near, "id").select("k1", "k2", "match_id", "similarity")
     return skew_safe_join(keyed, equal.unionByName(found), ["k1", "k2"]).select("id", "match_id", "similarity")
@@ -179,27 +191,54 @@ def _prefix_join(rows: DataFrame, threshold: float, earlier: bool, light_pairs:
     within the first `n - ceil(t^2 n) + 1` of each. Joining on those coordinates alone finds every
     partner; sizes and positions drop most others before the sets themselves are compared.
     """
-    ranks = (
-        rows.where("c").select(F.explode("features").alias("f"))
-        .groupBy("f").agg(F.count("*").alias("df"))
-        .where(F.col("df") > 1)
-        .orderBy(F.desc("df"), "f").limit(RANKED_COORDINATES)
-    )
-    length = _prefix_length(F.col("n"), threshold)
     prefixes = stage(
-        rows.select("id", "q", "c", F.size("features").alias("n"), F.explode("features").alias("f"))
-        .join(F.broadcast(ranks), "f", "left")
-        .groupBy("id", "q", "c", "n")
-        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "f"))).alias("o"))
-        .select("id", "q", "c", "n", F.transform(F.slice("o", F.lit(1), length), lambda x: x["f"]).alias("prefix")),
-        "prefixes",
-    )
+        rows.select("id", "q", "c", F.size("features").alias("n"), _rarest(rows, threshold)(F.col("features")).alias("prefix")),
+        "prefixes")
     postings = prefixes.select("id", "q", "c", "n", F.posexplode("prefix").alias("pos", "f"))
     return _match(postings, rows, threshold, earlier, light_pairs)
 
 
+def _rarest(rows: DataFrame, threshold: float):
+    """Function from a set to its prefix, rarest coordinates first.
+
+    How frequent a coordinate is, is read off the number of occurrences of all coordinates that fall
+    into its one of BUCKETS. Ties and chance meetings change what is compared, not what is found.
+    """
+    bucket = F.pmod("f", F.lit(BUCKETS)).alias("b")
+    counted = rows.where("c").select(F.explode("features").alias("f")).groupBy(bucket).agg(F.count("*").alias("n")).toArrow()
+    weight = np.zeros(BUCKETS, dtype=np.int64)
+    weight[counted.column("b").to_numpy()] = counted.column("n").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(weight)
+
+    @F.arrow_udf("array<bigint>")
+    def prefix(features: pa.Array) -> pa.Array:
+        flat = features.flatten().to_numpy(zero_copy_only=False)
+        n = pc.fill_null(pc.list_value_length(features), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        length = n - np.ceil(n * (threshold * threshold) - 1e-9).astype(np.int64) + 1
+        length = np.minimum(length, n)
+        start = np.cumsum(n) - n
+        order = np.lexsort((flat, shared.value[flat & (BUCKETS - 1)], np.repeat(np.arange(len(n)), n)))
+        kept = np.arange(len(flat)) - np.repeat(start, n) < np.repeat(length, n)
+        bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat[order][kept]))
+
+    return prefix
+
+
+def _parities(features: Column) -> list[Column]:
+    """128 bits: whether an odd number of coordinates falls to each. Two sets differ in as many coordinates at least as in bits."""
+    one = F.lit(1).cast("bigint")
+    odd = F.transform(F.array(F.lit(0), F.lit(1)), lambda k: F.aggregate(
+        F.filter(features, lambda f: F.shiftright(f, 6).bitwiseAND(one) == k), F.lit(0).cast("bigint"),
+        lambda seen, f: seen.bitwiseXOR(F.call_function("shiftleft", one, f.bitwiseAND(63).cast("int")))))
+    return [odd[0].alias("s1"), odd[1].alias("s2")]
+
+
 def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool, light_pairs: int | None = None) -> DataFrame:
-    """Neighbours by `postings` `(id, q, c, n, pos, f)` of the prefixes of `rows`, both stored."""
+    """Neighbours by stored `postings` `(id, q, c, n, pos, f)` of the prefixes of `rows`, a stored table.
+
+    Only postings of coordinates that two sides share are moved, and of the sets only those that are compared.
+    """
     counts = stage(
         postings.groupBy("f")
         .agg(F.count_if("q").alias("mq"), F.count_if("c").alias("mc"))
@@ -208,7 +247,8 @@ def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool
     ).withColumn("heavy", F.col("mq") * F.col("mc") > (LIGHT_PAIRS if light_pairs is None else light_pairs))
     if counts.isEmpty():
         return rows.sparkSession.createDataFrame([], RESULT)
-    live = stage(skew_safe_join(postings, counts, ["f"]), "postings")
+    shared = postings.where(Bits(counts, "f").maybe("f"))
+    live = stage(skew_safe_join(shared, counts.select("f", "heavy"), ["f"]), "postings")
 
     def side(df: DataFrame, flag: str, prefix: str) -> DataFrame:
         return df.where(flag).select("f", *[F.col(c).alias(prefix + c) for c in ("id", "n", "pos")])
@@ -219,16 +259,30 @@ def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool
     pairs = side(light, "q", "q_").join(side(light, "c", "c_"), "f")
     if earlier:
         pairs = pairs.where("c_id < q_id")
-    pairs = pairs.where(reachable >= needed).select("q_id", "c_id").distinct()
+    pairs = stage(pairs.where(reachable >= needed).select("q_id", "c_id").distinct(), "pairs")
+    asked, named = Bits(pairs, "q_id").maybe("id"), Bits(pairs, "c_id").maybe("id")
+    met = rows.where((F.col("q") & asked) | (F.col("c") & named))
+    met = stage(met.select("id", "q", "c", F.size("features").alias("n"), *_parities(F.col("features")), "features"), "met-sets")
+
+    def of(flag: str, prefix: str, df: DataFrame, *columns: str) -> DataFrame:
+        return df.where(flag).select(*[F.col(c).alias(prefix + c) for c in ("id", *columns)])
+
+    small = ("n", "s1", "s2")
+    near = pairs.join(of("c", "c_", met, *small), "c_id").join(of("q", "q_", met, *small), "q_id")
+    apart = sum(F.bit_count(F.col("q_" + s).bitwiseXOR(F.col("c_" + s))) for s in ("s1", "s2"))
+    near = stage(near.where(apart <= F.col("q_n") + F.col("c_n") - 2 * needed).select("q_id", "c_id").distinct(), "near-pairs")
+    left = met.where((F.col("q") & Bits(near, "q_id").maybe("id")) | (F.col("c") & Bits(near, "c_id").maybe("id")))
     scored = (
-        pairs.join(rows.where("c").select(F.col("id").alias("c_id"), F.col("features").alias("c_f")), "c_id")
-        .join(rows.where("q").select(F.col("id").alias("q_id"), F.col("features").alias("q_f")), "q_id")
+        near.join(of("c", "c_", left, "features").withColumnRenamed("c_features", "c_f"), "c_id")
+        .join(of("q", "q_", left, "features").withColumnRenamed("q_features", "q_f"), "q_id")
         .select(F.col("q_id").alias("id"), F.col("c_id").alias("match_id"),
                 set_cosine(F.col("q_f"), F.col("c_f")).alias("similarity"))
         .where(F.col("similarity") >= threshold)
     )
     if not counts.where("heavy").isEmpty():
-        scored = scored.unionByName(_block_join(rows, live.where("heavy"), threshold, earlier))
+        crowded = stage(live.where("heavy"), "crowded")
+        often = rows.where(Bits(crowded.select("id").distinct(), "id").maybe("id"))
+        scored = scored.unionByName(_block_join(often, crowded, threshold, earlier))
     return _best(scored)
 
 

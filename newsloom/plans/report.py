@@ -133,11 +133,15 @@ def latest_scraped(articles: DataFrame, limit: int = TOP) -> DataFrame:
     ).limit(limit)
 
 
+def _has_embedding(articles: DataFrame) -> Column:
+    return F.col("has_embedding") if "has_embedding" in articles.columns else F.col("content_embedding").isNotNull()
+
+
 def last_articles(articles: DataFrame, limit: int = TOP, url_chars: int = 60) -> DataFrame:
     """Newest ids with their duplicate flags."""
     return articles.select(
         "id", "is_duplicate", "duplicate_of_id", "similarity_score",
-        F.col("content_embedding").isNotNull().alias("has_embedding"),
+        _has_embedding(articles).alias("has_embedding"),
         F.left("url", F.lit(url_chars)).alias("url"),
     ).orderBy(F.desc("id")).limit(limit)
 
@@ -150,7 +154,7 @@ def duplicates(articles: DataFrame, url_chars: int = 65) -> DataFrame:
 
 def table_counts(articles: DataFrame) -> DataFrame:
     """total, with_embedding, without_embedding, duplicates, in one pass."""
-    has = F.col("content_embedding").isNotNull()
+    has = _has_embedding(articles)
     return articles.agg(
         F.count("*").alias("total"), F.count_if(has).alias("with_embedding"),
         F.count_if(~has).alias("without_embedding"), F.count_if("is_duplicate").alias("duplicates"),

@@ -100,7 +100,8 @@ _SETS = """
 
 def _batch(spark, sf):
     """Nothing stored yet, every document in the batch."""
-    rows = stage(views.embedded(spark, sf), "embedded")
+    rows = views.embedded(spark, sf).withColumn("asks", dedup.long_enough(F.col("full_text"))).drop("full_text")
+    rows = stage(rows, "embedded")
     return rows.where("false"), rows
 
 
@@ -113,7 +114,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The same with every shared coordinate of more than twenty pairs compared in blocks."""
     rows = _batch(spark, sf)[1].select(
-        "id", F.col("content_embedding").alias("features"), dedup.long_enough(F.col("full_text")).alias("asks"))
+        "id", F.col("content_embedding").alias("features"), "asks")
     return nearest.nearest_earlier_sets(rows, dedup.THRESHOLD, light_pairs=20)
 
 
@@ -132,8 +133,11 @@ FLAGGED = f"""{_SETS},
 
 
 def _flagged(spark, sf):
+    """Flags, and whether there is a vector, without the texts and vectors themselves."""
     stored, batch = _batch(spark, sf)
-    return dedup.flag_duplicates(stored, batch)
+    matches = dedup.duplicate_matches(stored, batch)
+    slim = stage(batch.select("id", F.col("content_embedding").isNotNull().alias("has_embedding")), "slim")
+    return dedup.with_flags(slim, matches)
 
 
 @query("d9_threshold_override", f"""
@@ -250,7 +254,7 @@ def _insert_in_two(spark, sf):
         "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
         F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
     half = rows.agg((F.max("ord") / 2).alias("half")).scalar()
-    placed = stage(rows.withColumn("late", F.col("ord") > half), "placed")
+    placed = rows.withColumn("late", F.col("ord") > half)
     store, counters = TableStore(spark, scratch_path(spark, "store")), []
     for batch, part in ((1, placed.where("NOT late")), (2, placed.where("late"))):
         known = store.known_sets(before=batch)
@@ -292,7 +296,7 @@ def _(spark, sf):
         "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
         F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
     half = rows.agg((F.max("ord") / 2).alias("half")).scalar()
-    placed = stage(rows.withColumn("late", F.col("ord") > half), "placed")
+    placed = rows.withColumn("late", F.col("ord") > half)
     empty = spark.createDataFrame([], dedup.ARTICLES)
     stored = stage(dedup.dedup_insert(empty, placed.where("NOT late").drop("late"), ["ord"], use_vectors=False).rows, "stored")
     return dedup.dedup_insert(stored, placed.where("late").drop("late"), ["ord"], use_vectors=False).rows.select("id", "url")
@@ -339,7 +343,7 @@ def _(spark, sf):
         "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
         F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
     most = rows.agg(F.max("ord").alias("most")).scalar()
-    placed = stage(rows.withColumn("part", F.col("ord") / most), "placed")
+    placed = rows.withColumn("part", F.col("ord") / most)
     store = TableStore(spark, scratch_path(spark, "store"))
     for batch, part in ((1, "part <= 0.25"), (2, "part > 0.5"), (1, "part <= 0.75")):
         seen, attempt = store.seen_by(batch), store.new_attempt()
