@@ -28,6 +28,8 @@ DEFAULT_LANGUAGE = "en"
 PROFILE_SIZE = 300
 # Profiles for all 184 codes of ISO 639-1 stay within this many rows: small enough for every task.
 MAX_PROFILE_ROWS = 184 * PROFILE_SIZE
+# Texts that are counted at once; a trigram takes some 30 bytes for each byte of text.
+SLICE_BYTES = 2 << 20
 _BITS = 21
 
 
@@ -42,10 +44,21 @@ def _gram(code: int) -> str:
     return "".join(chr(code >> shift & mask) for shift in (2 * _BITS, _BITS, 0))
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of some SLICE_BYTES: what Python holds follows neither the number nor the mean length of texts."""
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+    for lo in range(0, batch.num_rows, rows):
+        part = batch.slice(lo, rows)
+        if part.nbytes > 2 * SLICE_BYTES and part.num_rows > 1:
+            yield from slices(part)
+        else:
+            yield part
+
+
 def trigram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, gram, n) over whole texts, lower-cased; counted batch by batch in the tasks."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             parts: dict[str, list[np.ndarray]] = {}
             for own, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 parts.setdefault(own, []).append(_codes(words))
@@ -85,8 +98,8 @@ def _judged(profiles: DataFrame, text: Column) -> Column:
     @F.arrow_udf("string")
     def best(texts: pa.Array) -> pa.Array:
         out = []
-        for own in texts.to_pylist():
-            codes = _codes(own or "")
+        for own in texts:
+            codes = _codes(own.as_py() or "")
             at = np.searchsorted(known, codes)
             at[at == len(known)] = 0
             hit = at[known[at] == codes] if len(known) else at[:0]
