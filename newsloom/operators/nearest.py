@@ -33,6 +33,10 @@ BLOCK_ROWS = 1_024
 # Pivots are collected and sent to every task: at most 12 MB at a width of 384.
 PIVOTS = 4_096
 DENSE_BLOCK_ROWS = 2_048
+# What is compared in one task: at most so many vectors of a side, and numbers of theirs (64 MB).
+SHELF_ROWS, SHELF_NUMBERS = 32_768, 1 << 23
+# Distances and similarities that a task holds at once (8 bytes each, a few copies).
+HELD_NUMBERS = 1 << 22
 PLACES = 9
 
 
@@ -481,8 +485,7 @@ def _cell_join(queries, groups, threshold, earlier, probes, pivots, cell_rows=No
         return spark.createDataFrame([], RESULT)
     cells = Cells(spark, np.array([r.vector for r in chosen]), max(reach, 1 / 16))
     stored = stage(cells.placed(groups.select("id", "vector")), "cells")
-    asking = stage(cells.visited(queries.select("id", "vector"), reach, probes), "visits")
-    return compare_cells(stored, asking, threshold, earlier, exclude_self)
+    return compare_cells(stored, queries.select("id", "vector"), cells, reach, probes, threshold, earlier, exclude_self)
 
 
 class Cells:
@@ -494,6 +497,13 @@ class Cells:
         centres = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
         self.shared, self.ring = spark.sparkContext.broadcast(centres), ring
 
+    def _slices(self, batches):
+        """Rows by so few that their distances to all pivots are bounded."""
+        rows = max(1, HELD_NUMBERS // len(self.shared.value))
+        for frame in batches:
+            for lo in range(0, len(frame), rows):
+                yield frame.iloc[lo:lo + rows]
+
     def _distances(self, frame: pd.DataFrame) -> np.ndarray:
         vectors = np.stack(frame.vector.to_numpy())
         vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -503,9 +513,7 @@ class Cells:
         """Rows `(id, vector)` with the `cell` of the nearest pivot and the ring around it."""
 
         def place(batches):
-            for frame in batches:
-                if frame.empty:
-                    continue
+            for frame in self._slices(batches):
                 d = self._distances(frame)
                 own = d.argmin(axis=1)
                 radius = d[np.arange(len(frame)), own]
@@ -513,15 +521,15 @@ class Cells:
 
         return rows.mapInPandas(place, "id bigint, vector array<double>, cell int")
 
-    def visited(self, rows: DataFrame, reach: float, probes: int | None = None) -> DataFrame:
-        """Rows `(id, vector)` with the `cells` that may hold vectors within `reach`, or those of the `probes` nearest pivots."""
+    def visited(self, rows: DataFrame, reach: float, probes: int | None = None, places: np.ndarray | None = None) -> DataFrame:
+        """Rows `(id, vector)` with the `cells` that may hold vectors within `reach`, or those of the `probes` nearest pivots;
+        with `places`, the distinct places of these cells (none where it is negative)."""
+        placed = None if places is None else rows.sparkSession.sparkContext.broadcast(places)
 
         def visit(batches):
             pivots, ring = self.shared.value, self.ring
             centre_gap = np.sqrt(np.maximum(2.0 - 2.0 * (pivots @ pivots.T), 0.0))
-            for frame in batches:
-                if frame.empty:
-                    continue
+            for frame in self._slices(batches):
                 d = self._distances(frame)
                 own = d.argmin(axis=1)
                 nearest = d[np.arange(len(frame)), own]
@@ -543,25 +551,60 @@ class Cells:
                 order = row[at]
                 bounds = np.searchsorted(order, np.arange(len(frame) + 1))
                 cells = [code[bounds[i]:bounds[i + 1]].astype("int32") for i in range(len(frame))]
+                if placed is not None:
+                    found = placed.value
+                    cells = [np.unique(found[c[c < len(found)]]) for c in cells]
+                    cells = [c[c >= 0] for c in cells]
                 yield frame.assign(cells=cells)
 
         return rows.mapInPandas(visit, "id bigint, vector array<double>, cells array<int>")
 
 
-def compare_cells(stored: DataFrame, asking: DataFrame, threshold: float, earlier: bool = False, exclude_self: bool = False) -> DataFrame:
-    """The best stored row `(id, vector, cell)` in the cells of each asking row `(id, vector, cells)`; both are stored tables."""
-    # At most pivots x rings rows each.
-    size_c = stored.groupBy("cell").agg(F.ceil(F.count("*") / DENSE_BLOCK_ROWS).cast("int").alias("nc"))
-    visits = asking.select("id", "vector", F.explode("cells").alias("cell"))
-    size_q = visits.groupBy("cell").agg(F.ceil(F.count("*") / DENSE_BLOCK_ROWS).cast("int").alias("nq"))
-    sizes = F.broadcast(size_c.join(size_q, "cell"))
+def _shelved(cell: np.ndarray, n: np.ndarray, most: int, whole: bool) -> np.ndarray:
+    """A shelf for each cell (in order, with its number of rows): neighbours share one up to `most` rows, with `whole` only
+    those of one pivot."""
+    shelf, held, last = np.zeros(len(cell), dtype=np.int32), 0, -1
+    for i, (pivot, rows) in enumerate(zip((cell // Cells.RINGS).tolist(), n.tolist(), strict=True)):
+        new = i and (held + rows > most or (whole and pivot != last))
+        shelf[i] = shelf[i - 1] + bool(new) if i else 0
+        held, last = rows + (0 if new else held), pivot
+    return shelf
+
+
+def compare_cells(stored: DataFrame, queries: DataFrame, cells: Cells, reach: float, probes: int | None, threshold: float,
+                  earlier: bool = False, exclude_self: bool = False) -> DataFrame:
+    """The best row of the stored table `(id, vector, cell)` in the cells that each query `(id, vector)` visits.
+
+    Cells travel on shelves of bounded size, so a query is sent once to a shelf, whichever of its cells
+    it visits. What else is there cannot be a result: it is farther than `reach`, or was ruled out by the
+    bounds; with `probes`, a shelf holds rings of one pivot only.
+    """
+    spark = stored.sparkSession
+    # At most pivots x rings rows.
+    sizes = stored.groupBy("cell").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).orderBy("cell").toPandas()
+    if sizes.empty:
+        return spark.createDataFrame([], RESULT)
+    width = max(1, int(sizes.width.max()))
+    most = max(1, min(SHELF_ROWS, SHELF_NUMBERS // width))
+    sizes["shelf"] = _shelved(sizes.cell.to_numpy(), sizes.n.to_numpy(), most, probes is not None)
+    places = np.full(int(sizes.cell.max()) + 1, -1, dtype=np.int32)
+    places[sizes.cell] = sizes.shelf
+    asking = stage(cells.visited(queries, reach, probes, places), "visits")
+    visits = asking.select("id", "vector", F.explode("cells").alias("shelf"))
+    asked = visits.groupBy("shelf").agg(F.ceil(F.count("*") / most).cast("int").alias("nq")).toPandas()
+    if asked.empty:
+        return spark.createDataFrame([], RESULT)
+    held = sizes.groupby("shelf").n.sum()
+    asked["nc"] = -(-held.loc[asked.shelf].to_numpy() // most)
+    blocks = F.broadcast(spark.createDataFrame(asked.astype("int32")[["shelf", "nq", "nc"]], "shelf int, nq int, nc int"))
+    shelf_of = F.broadcast(spark.createDataFrame(sizes[["cell", "shelf"]].astype("int32"), "cell int, shelf int"))
 
     def spread(df: DataFrame, mine: str, other: str, own_n: str, other_n: str) -> DataFrame:
         return (
-            df.join(sizes, "cell")
+            df.join(blocks, "shelf")
             .withColumn(mine, F.pmod(F.xxhash64("id"), F.col(own_n)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-            .select("cell", "bq", "bc", F.col("id").alias("id"), F.col("vector").alias("vector"))
+            .select("shelf", "bq", "bc", F.col("id").alias("id"), F.col("vector").alias("vector"))
         )
 
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -569,14 +612,17 @@ def compare_cells(stored: DataFrame, asking: DataFrame, threshold: float, earlie
             return pd.DataFrame({"id": [], "match_id": [], "similarity": []})
         c = c.sort_values("id")
         a, b = np.stack(q.vector.to_numpy()), np.stack(c.vector.to_numpy())
-        a = a / np.linalg.norm(a, axis=1, keepdims=True)
-        b = b / np.linalg.norm(b, axis=1, keepdims=True)
-        return _row_best(q.id.to_numpy(), c.id.to_numpy(), np.round(a @ b.T, PLACES), threshold, earlier, exclude_self)
-
-    keys = ["cell", "bq", "bc"]
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b /= np.linalg.norm(b, axis=1, keepdims=True)
+        q_id, c_id, step = q.id.to_numpy(), c.id.to_numpy(), max(1, HELD_NUMBERS // len(b))
+        return pd.concat([
+            _row_best(q_id[lo:lo + step], c_id, np.round(a[lo:lo + step] @ b.T, PLACES), threshold, earlier, exclude_self)
+            for lo in range(0, len(a), step)])
+
+    keys = ["shelf", "bq", "bc"]
     best = (
         spread(visits, "bq", "bc", "nq", "nc").groupBy(*keys)
-        .cogroup(spread(stored, "bc", "bq", "nc", "nq").groupBy(*keys))
+        .cogroup(spread(stored.join(shelf_of, "cell"), "bc", "bq", "nc", "nq").groupBy(*keys))
         .applyInPandas(compare, RESULT)
     )
     return _best(best)

@@ -109,14 +109,13 @@ class VectorIndex:
             asked = keyed.select("id", "vector")
         else:
             asked = keyed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.any_value("vector").alias("vector")).select("id", "vector")
-        asking = stage(cells.visited(asked, reach, probes), "visits")
         # At most a number a pivot.
-        wanted = [r[0] for r in asking.select(F.explode(F.transform("cells", lambda c: F.floor(c / Cells.RINGS).cast("int"))).alias("c")).distinct().collect()]
+        wanted = [r[0] for r in cells.visited(asked, reach, probes).select(F.explode(F.transform("cells", lambda c: F.floor(c / Cells.RINGS).cast("int"))).alias("c")).distinct().collect()]
         if not wanted:
             return empty
         stored = self.vectors(wanted, before)
         stored = stored.select(F.explode(F.array_compact(F.array("id", "second"))).alias("id"), "vector", (F.col("cell") * Cells.RINGS + F.col("ring")).alias("cell"))
-        near = compare_cells(stored, asking, threshold, exclude_self=exclude_self)
+        near = compare_cells(stored, asked, cells, reach, probes, threshold, exclude_self=exclude_self)
         if exclude_self:
             return near
         heads = keyed.groupBy("k1", "k2").agg(F.min("id").alias("head"))
