@@ -21,9 +21,9 @@ from newsloom.session import stage
 MODEL_WORDS = 1_024
 #: Other words share SHAPES unknown tokens, by their last two bytes.
 SHAPES = 16
-#: The recurrent model starts from a fit on at most so many documents, and then learns from one training document in
-#: SHARE, wherever it is; counts are of all training documents. A round over all of them (SHARE = 1) costs three times their scoring.
-SAMPLE_DOCS, SHARE, RATE = 1_500, 16, 0.002
+#: The recurrent model starts from a fit on at most so many documents, and then learns from every training document in the
+#: task that holds it; counts are of all training documents too. This round costs some three times the scoring.
+SAMPLE_DOCS, RATE = 1_500, 0.002
 #: Averages of parameters that the driver adds up.
 _SUMS = 8
 #: Counts of at most so many frequent words (12 MB) go to every task; those of others are joined.
@@ -200,7 +200,7 @@ def train(spark: SparkSession, counts: DataFrame, docs: DataFrame, key: str, tex
     rows = sorted(bytes(r[0]) for r in picked.select("text").mapInArrow(hashed, "ids binary").collect())
     if rows and model.n_words:
         model.net.fit([np.frombuffer(r, dtype=np.int32) for r in rows])
-        learn_in_tasks(model, docs.where(F.pmod(F.xxhash64(F.lit(9), F.col(key)), F.lit(SHARE)) == 0), text)
+        learn_in_tasks(model, docs, text)
     return model
 
 
@@ -247,7 +247,7 @@ def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "tex
     Tokens are words with A-Z in lower case, then one end. Training documents are those that aren't
     held out. `base_score` is the smoothed unigram score over counts of all of them; `score` is
     log10 of the probability that the recurrent model gives the whole text. The model starts from a fit on at most `sample`
-    training documents and goes on with one in SHARE, both chosen by a hash of the key; its vocabulary, and the
+    training documents, chosen by a hash of the key, and goes on with all of them; its vocabulary, and the
     shares of words outside of it, come from all counts.
 
     Counts of frequent words go to the tasks, each document's other words meet their counts by a join on the word, so no
