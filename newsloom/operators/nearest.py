@@ -36,7 +36,7 @@ DENSE_BLOCK_ROWS = 2_048
 # What is compared in one task: at most so many vectors of a side, and numbers of theirs (64 MB).
 SHELF_ROWS, SHELF_NUMBERS = 32_768, 1 << 23
 # Distances and similarities that a task holds at once (8 bytes each, a few copies).
-HELD_NUMBERS = 1 << 22
+HELD_NUMBERS = 1 << 21
 PLACES = 9
 
 
@@ -497,9 +497,9 @@ class Cells:
         centres = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
         self.shared, self.ring = spark.sparkContext.broadcast(centres), ring
 
-    def _slices(self, batches):
-        """Rows by so few that their distances to all pivots are bounded."""
-        rows = max(1, HELD_NUMBERS // len(self.shared.value))
+    def _slices(self, batches, each: int = 1):
+        """Rows by so few that their distances to all pivots, or `each` numbers a pivot, are bounded."""
+        rows = max(1, HELD_NUMBERS // (len(self.shared.value) * each))
         for frame in batches:
             for lo in range(0, len(frame), rows):
                 yield frame.iloc[lo:lo + rows]
@@ -529,7 +529,7 @@ class Cells:
         def visit(batches):
             pivots, ring = self.shared.value, self.ring
             centre_gap = np.sqrt(np.maximum(2.0 - 2.0 * (pivots @ pivots.T), 0.0))
-            for frame in self._slices(batches):
+            for frame in self._slices(batches, math.ceil(2 * reach / ring) + 2):
                 d = self._distances(frame)
                 own = d.argmin(axis=1)
                 nearest = d[np.arange(len(frame)), own]
