@@ -93,20 +93,19 @@ def _(spark, sf):
         "id", "articles_found", "articles_inserted", "articles_skipped", "errors", "status")
 
 
-def _landed(spark, sf, entries):
-    """Two files, one after the other, so that they are read in this order."""
-    path = scratch_path(spark, "landed")
+def _ingest_in_two(spark, store, profiles, entries, pages):
+    """Two parts land one after the other, each written by as many tasks as hold it; each is one micro-batch."""
+    path, log = scratch_path(spark, "landed"), scratch_path(spark, "ingest")
     for part in (entries.where("source_id < 10"), entries.where("source_id >= 10")):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+        part.write.mode("append").parquet(path)
+        start_ingest(entry_stream(spark, path), store, pages, profiles, log, once=True).awaitTermination()
 
 
 @job_query("st1_incremental_ingest", _ARTICLES)
 def _(spark, sf):
-    """Two landed files, one micro-batch each: ST1, ST2, ST4 and ST5 in one job; the rows of one batch."""
+    """Two landed parts, one micro-batch each: ST1, ST2, ST4 and ST5 in one job; the rows of one batch."""
     store, profiles, entries, pages = _inputs(spark, sf)
-    stream = entry_stream(spark, _landed(spark, sf, entries), files_per_batch=1)
-    start_ingest(stream, store, pages, profiles, scratch_path(spark, "ingest"), once=True).awaitTermination()
+    _ingest_in_two(spark, store, profiles, entries, pages)
     return _stored(store)
 
 
@@ -117,8 +116,7 @@ def _(spark, sf):
     """The source table that the last of two micro-batches leaves: those with entries in either have a fetch time."""
     store, profiles, entries, pages = _inputs(spark, sf)
     store.write_sources(views.sources(spark, sf).withColumn("last_fetched_at", F.lit(None).cast("timestamp")), 0)
-    stream = entry_stream(spark, _landed(spark, sf, entries), files_per_batch=1)
-    start_ingest(stream, store, pages, profiles, scratch_path(spark, "ingest"), once=True).awaitTermination()
+    _ingest_in_two(spark, store, profiles, entries, pages)
     return store.sources().select("id", "name", "url", "category", "is_active", F.col("last_fetched_at").isNotNull().alias("fetched"))
 
 
