@@ -22,7 +22,7 @@ MODEL_WORDS = 1_024
 #: Other words share SHAPES unknown tokens, by their last two bytes.
 SHAPES = 16
 #: The recurrent model starts from a fit on at most so many documents, and then learns from every training document in the
-#: task that holds it; counts are of all training documents too. This round costs some three times the scoring.
+#: task that holds it; counts are of all training documents too.
 SAMPLE_DOCS, RATE = 1_500, 0.002
 #: Averages of parameters that the driver adds up.
 _SUMS = 8
@@ -95,6 +95,35 @@ def _frequent(counts: DataFrame) -> DataFrame:
     return counts.where(level >= least)
 
 
+class Places:
+    """Where hashes are in a sorted array of them: a table of their first bits leads next to the place."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.table = keys, None
+
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys, "table": None}  # tables are made where they are used
+
+    def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there); the place of one that isn't there is any."""
+        if not len(self.keys):
+            return np.zeros(len(hashed), dtype=np.int64), np.zeros(len(hashed), dtype=bool)
+        shift = np.uint64(64 - max(8, len(self.keys).bit_length()))
+        if self.table is None:
+            bucket = (self.keys >> shift).astype(np.int64)
+            n = np.bincount(bucket, minlength=1 << (64 - int(shift)))
+            self.table = (np.cumsum(n) - n).astype(np.int32)
+        last = len(self.keys) - 1
+        at = np.minimum(self.table[(hashed >> shift).astype(np.int64)], last)
+        less = np.flatnonzero(self.keys[at] < hashed)
+        while len(less):
+            at[less] += 1
+            less = less[at[less] <= last]
+            less = less[self.keys[at[less]] < hashed[less]]
+        at = np.minimum(at, last)
+        return at, self.keys[at] == hashed
+
+
 class Model:
     """The recurrent model over the commonest tokens, and the counts of frequent ones.
 
@@ -105,26 +134,26 @@ class Model:
     def __init__(self, common: np.ndarray, common_counts: np.ndarray, shape_counts: np.ndarray, shape_totals: np.ndarray,
                  frequent: np.ndarray, frequent_counts: np.ndarray):
         order = np.argsort(common)
-        self.sorted, self.rank = common[order], order
+        self.sorted, self.rank = Places(common[order]), order
         self.n_words = len(common)
-        self.frequent, self.counts = frequent, frequent_counts
+        self.frequent, self.counts = Places(frequent), frequent_counts
         self.shape_log = np.log10(shape_totals + 0.5)
         end = np.flatnonzero(common == END)
         self.net = GRU(len(common), SHAPES, int(end[0]) if len(end) else 0)
         self.net.start_from(np.concatenate([common_counts, shape_counts]).astype(float))
 
     def ids(self, hashed: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.sorted, hashed)
-        at[at == len(self.sorted)] = 0
-        return np.where(self.sorted[at] == hashed, self.rank[at], self.n_words + shape.astype(np.int64)) if self.n_words else shape.astype(np.int64)
+        if not self.n_words:
+            return self.n_words + shape.astype(np.int64)
+        at, there = self.sorted.find(hashed)
+        return np.where(there, self.rank[at], self.n_words + shape.astype(np.int64))
 
     def count(self, hashed: np.ndarray) -> np.ndarray:
         """Training counts of frequent tokens, -1 for others."""
-        if not len(self.frequent):
+        if not len(self.counts):
             return np.full(len(hashed), -1)
-        at = np.searchsorted(self.frequent, hashed)
-        at[at == len(self.frequent)] = 0
-        return np.where(self.frequent[at] == hashed, self.counts[at], -1)
+        at, there = self.frequent.find(hashed)
+        return np.where(there, self.counts[at], -1)
 
 
 def learn_in_tasks(model: Model, docs: DataFrame, text: str) -> None:

@@ -1,8 +1,11 @@
 """Operator 7's recurrent model: bounded arrays, and sums that equal plain loops."""
 
+import pickle
+
 import numpy as np
 
 from newsloom.llm.gru import CLASS_SIZE, GRU
+from newsloom.llm.scoring import Places
 
 
 def some_net():
@@ -54,3 +57,15 @@ def test_kept_arrays_leave_no_trace_in_the_next_window():
         assert np.array_equal(fresh[1], kept[1]) and fresh[2] == kept[2]
         alone = sum(net._gradients(tokens[:, s:s + 1], targets[:, s:s + 1], h[s:s + 1])[0][0] for s in range(streams)) / streams
         assert np.allclose(fresh[0][0], alone, atol=1e-6)
+
+
+def test_places_are_those_of_a_search():
+    rng = np.random.default_rng(8)
+    keys = np.unique(rng.integers(0, 1 << 63, 3_000, dtype=np.uint64) * np.uint64(2))
+    crowded = np.unique(np.concatenate([keys[:50], np.arange(200, dtype=np.uint64), np.uint64((1 << 64) - 1) - np.arange(90, dtype=np.uint64)]))
+    for own in (keys, crowded, keys[:1], keys[:0]):
+        asked = np.concatenate([own, own + np.uint64(1), rng.integers(0, 1 << 63, 500, dtype=np.uint64), np.array([0, (1 << 64) - 1], dtype=np.uint64)])
+        places = pickle.loads(pickle.dumps(Places(own)))
+        at, there = places.find(asked)
+        assert np.array_equal(there, np.isin(asked, own))
+        assert np.array_equal(own[at[there]], asked[there])
