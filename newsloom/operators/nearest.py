@@ -30,6 +30,9 @@ BUCKETS = 1 << 18
 # A coordinate with more query/candidate pairs than this is compared in blocks.
 LIGHT_PAIRS = 65_536
 BLOCK_ROWS = 1_024
+# 64-bit words of a set's parities, a power of two. Unrelated sets of 160 coordinates differ in some 180 of 512 bits, and
+# may in 62 at cosine 0.8; of 128 bits they would differ in 63.
+SKETCH_WORDS = 8
 # Pivots are collected and sent to every task: at most 12 MB at a width of 384.
 PIVOTS = 4_096
 DENSE_BLOCK_ROWS = 2_048
@@ -229,13 +232,17 @@ def _rarest(rows: DataFrame, threshold: float):
     return prefix
 
 
-def _parities(features: Column) -> list[Column]:
-    """128 bits: whether an odd number of coordinates falls to each. Two sets differ in as many coordinates at least as in bits."""
+def _parity_words(features: Column) -> Column:
+    """Of 64 * SKETCH_WORDS bits: whether an odd number of coordinates falls to each. Two sets differ in as many coordinates at least as in bits."""
     one = F.lit(1).cast("bigint")
-    odd = F.transform(F.array(F.lit(0), F.lit(1)), lambda k: F.aggregate(
-        F.filter(features, lambda f: F.shiftright(f, 6).bitwiseAND(one) == k), F.lit(0).cast("bigint"),
+    return F.transform(F.array(*[F.lit(k) for k in range(SKETCH_WORDS)]), lambda k: F.aggregate(
+        F.filter(features, lambda f: F.shiftright(f, 6).bitwiseAND(SKETCH_WORDS - 1) == k), F.lit(0).cast("bigint"),
         lambda seen, f: seen.bitwiseXOR(F.call_function("shiftleft", one, f.bitwiseAND(63).cast("int")))))
-    return [odd[0].alias("s1"), odd[1].alias("s2")]
+
+
+def _parities(features: Column) -> list[Column]:
+    words = _parity_words(features)
+    return [words[k] for k in range(SKETCH_WORDS)]
 
 
 def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool, light_pairs: int | None = None) -> DataFrame:
@@ -266,14 +273,14 @@ def _match(postings: DataFrame, rows: DataFrame, threshold: float, earlier: bool
     pairs = stage(pairs.where(reachable >= needed).select("q_id", "c_id").distinct(), "pairs")
     asked, named = Bits(pairs, "q_id").maybe("id"), Bits(pairs, "c_id").maybe("id")
     met = rows.where((F.col("q") & asked) | (F.col("c") & named))
-    met = stage(met.select("id", "q", "c", F.size("features").alias("n"), *_parities(F.col("features")), "features"), "met-sets")
+    met = stage(met.select("id", "q", "c", F.size("features").alias("n"), _parity_words(F.col("features")).alias("s"), "features"), "met-sets")
 
     def of(flag: str, prefix: str, df: DataFrame, *columns: str) -> DataFrame:
         return df.where(flag).select(*[F.col(c).alias(prefix + c) for c in ("id", *columns)])
 
-    small = ("n", "s1", "s2")
+    small = ("n", "s")
     near = pairs.join(of("c", "c_", met, *small), "c_id").join(of("q", "q_", met, *small), "q_id")
-    apart = sum(F.bit_count(F.col("q_" + s).bitwiseXOR(F.col("c_" + s))) for s in ("s1", "s2"))
+    apart = sum(F.bit_count(F.col("q_s")[k].bitwiseXOR(F.col("c_s")[k])) for k in range(SKETCH_WORDS))
     near = stage(near.where(apart <= F.col("q_n") + F.col("c_n") - 2 * needed).select("q_id", "c_id").distinct(), "near-pairs")
     left = met.where((F.col("q") & Bits(near, "q_id").maybe("id")) | (F.col("c") & Bits(near, "c_id").maybe("id")))
     scored = (
