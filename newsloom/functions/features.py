@@ -30,10 +30,13 @@ CONTENT_CHARS = 500
 DENSE_WIDTH = 384
 SHINGLE = 3
 NON_WORD = r"[^\p{L}\p{N}]+"
+# All characters of text.WHITESPACE.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$", "")
+    """Without white space at either end; only the ends are looked at."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def _labelled(label: str, text: Column) -> Column:
@@ -68,11 +71,10 @@ def feature_set(text: Column, size: int = SHINGLE) -> Column:
     A text shorter than `size` words is one run.
     """
     def runs(tokens):
-        starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (size - 1), F.lit(1)))
-        hashes = F.transform(
-            starts, lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, size), " "))
-        )
-        return F.when(F.size(tokens) > 0, F.array_sort(F.array_distinct(hashes)))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - size, F.lit(0)))
+        # Places beyond the last word are NULL, which concat_ws leaves out.
+        hashes = F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(size)])))
+        return F.when(F.size(tokens) > 0, F.sort_array(F.array_distinct(hashes)))
 
     return let(words(text), runs)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.barrier import with_computed
-from newsloom.functions.text import MIN_TITLE_CHARS, normalise, word_count
+from newsloom.functions.text import MIN_TITLE_CHARS, collapsed_word_count, normalise
 from newsloom.operators.dedup import unique_urls
 from newsloom.operators.language import detect_language
 from newsloom.schema import CLEAN_ARTICLES
@@ -47,8 +47,7 @@ def clean_articles(entries: DataFrame, profiles: DataFrame, order: list[str]) ->
     first = unique_urls(entries, order)
     kept = normalise_columns(first).where(has_text() & titled())
     # Held per row: the texts were decoded in Python, which must not happen once per use.
-    kept = with_computed(
-        kept, word_count=word_count(F.col("full_text"), F.col("summary")), _text=F.coalesce("full_text", "summary"))
+    kept = with_computed(kept, _text=F.coalesce("full_text", "summary")).withColumn("word_count", collapsed_word_count(F.col("_text")))
     spoken = detect_language(kept, profiles, "url", "_text", "language")
     extra = [f for f in kept.schema.fields if f.name in order and f.name not in CLEAN_ARTICLES.fieldNames()]
     return align(spoken.withColumn("is_clean", F.lit(True)), T.StructType(extra + CLEAN_ARTICLES.fields))

@@ -30,6 +30,8 @@ PROFILE_SIZE = 300
 MAX_PROFILE_ROWS = 184 * PROFILE_SIZE
 # Texts that are counted at once; a trigram takes some 30 bytes for each byte of text.
 SLICE_BYTES = 2 << 20
+# Trigrams of an alphabet with so many are counted in a table (16 MB), others by sorting.
+CELLS = 1 << 21
 _BITS = 21
 
 
@@ -39,9 +41,31 @@ def _codes(text: str) -> np.ndarray:
     return (c[:-2] << 2 * _BITS) | (c[1:-1] << _BITS) | c[2:] if len(c) > 2 else np.zeros(0, np.int64)
 
 
-def _gram(code: int) -> str:
-    mask = (1 << _BITS) - 1
-    return "".join(chr(code >> shift & mask) for shift in (2 * _BITS, _BITS, 0))
+def _counted(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct trigrams of some texts and how often each occurs; none reaches from one text into the next."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    ends = np.cumsum([len(t) for t in texts])
+    if len(points) < 3:
+        return [], np.zeros(0, np.int64)
+    across = np.concatenate([ends[ends >= 1] - 1, ends[ends >= 2] - 2])
+    across = across[across < len(points) - 2]
+    letters = np.flatnonzero(np.bincount(points))
+    if len(letters) ** 3 < CELLS:
+        place = np.zeros(int(letters[-1]) + 1, dtype=np.int32)
+        place[letters] = np.arange(len(letters), dtype=np.int32)
+        of, base = place[points], len(letters)
+        codes = (of[:-2] * base + of[1:-1]) * base + of[2:]
+        codes[across] = base ** 3
+        n = np.bincount(codes, minlength=base ** 3)[:base ** 3]
+        code = np.flatnonzero(n)
+        n = n[code]
+    else:
+        of, base, letters = points.astype(np.int64), 1 << _BITS, None
+        code, n = np.unique(np.delete((of[:-2] * base + of[1:-1]) * base + of[2:], across), return_counts=True)
+    three = np.stack([code // (base * base), code // base % base, code % base], axis=1)
+    three = three if letters is None else letters[three]
+    grams = three.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return [grams[i:i + 3] for i in range(0, len(grams), 3)], n
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -59,13 +83,13 @@ def trigram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang")
     """(lang, gram, n) over whole texts, lower-cased; counted batch by batch in the tasks."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            parts: dict[str, list[np.ndarray]] = {}
+            parts: dict[str, list[str]] = {}
             for own, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts.setdefault(own, []).append(_codes(words))
-            for own, codes in parts.items():
-                code, n = np.unique(np.concatenate(codes), return_counts=True)
+                parts.setdefault(own, []).append(words)
+            for own, texts in parts.items():
+                grams, n = _counted(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([own] * len(code), pa.string()), pa.array([_gram(int(c)) for c in code], pa.string()), pa.array(n)],
+                    [pa.array([own] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())],
                     names=["lang", "gram", "n"])
 
     usable = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
