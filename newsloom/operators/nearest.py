@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.barrier import with_computed
@@ -108,7 +108,7 @@ def _prefix_length(n: Column, threshold: float) -> Column:
 
 
 def _in_hash_order(features: Column, threshold: float) -> Column:
-    """The prefix of a set by an order that never changes, so that postings can be stored once and looked up by later sets."""
+    """The prefix of a set by hash alone. A coordinate of nearly every set may come first, and then all sets meet."""
     return F.slice(features, F.lit(1), _prefix_length(F.size(features), threshold))
 
 
@@ -119,11 +119,17 @@ def set_postings(prefixes: DataFrame) -> DataFrame:
 
 @dataclass
 class KnownSets:
-    """Stored distinct sets: `keys` (k1, k2, id), `postings` (f, id, n, pos), `features` (id, features)."""
+    """Stored distinct sets: `keys` (k1, k2, id), `postings` (f, id, n, pos), `features` (id, features).
+
+    `weights` (of BUCKETS) is the order of coordinates, lightest first, that the postings were made by. It must never
+    change while they are in use, so that postings can be stored once and looked up by later sets; it may be of any
+    sets, as it only rules how many sets meet. Without it, coordinates are in hash order.
+    """
 
     keys: DataFrame
     postings: DataFrame
     features: DataFrame
+    weights: np.ndarray | None = None
 
 
 def _distinct_sets(rows: DataFrame) -> DataFrame:
@@ -138,24 +144,26 @@ def _keys_of(rows: DataFrame) -> DataFrame:
     return keyed.groupBy("k1", "k2").agg(F.min("id").alias("id"))
 
 
-def _prefixes_of(rows: DataFrame, keys: DataFrame, threshold: float) -> DataFrame:
+def _prefixes_of(rows: DataFrame, keys: DataFrame, threshold: float, weights: np.ndarray | None) -> DataFrame:
     """`(id, n, prefix)` of the sets that `keys` `(k1, k2, id)` name; of `rows` only prefixes are moved."""
-    held = rows.where("features IS NOT NULL").select(
-        "id", *_vector_key(F.col("features")), F.size("features").alias("n"), _in_hash_order(F.col("features"), threshold).alias("prefix"))
+    features = F.col("features")
+    prefix = _in_hash_order(features, threshold) if weights is None else _lightest(rows.sparkSession, weights, threshold)(features)
+    held = rows.where("features IS NOT NULL").select("id", *_vector_key(features), F.size("features").alias("n"), prefix.alias("prefix"))
     return held.join(keys, ["k1", "k2", "id"], "left_semi").dropDuplicates(["k1", "k2"]).select("id", "n", "prefix")
 
 
-def known_sets(rows: DataFrame, threshold: float) -> KnownSets:
+def known_sets(rows: DataFrame, threshold: float, weights: np.ndarray | None = None) -> KnownSets:
     """What `nearest_known_sets` looks up, made from a whole stored table `(id, features)`."""
     keys = stage(_keys_of(rows), "known-sets")
-    postings = stage(set_postings(_prefixes_of(rows, keys, threshold)), "known-postings")
-    return KnownSets(keys.select("k1", "k2", "id"), postings, rows.where("features IS NOT NULL").select("id", "features"))
+    postings = stage(set_postings(_prefixes_of(rows, keys, threshold, weights)), "known-postings")
+    return KnownSets(
+        keys.select("k1", "k2", "id"), postings, rows.where("features IS NOT NULL").select("id", "features"), weights)
 
 
 def new_sets(rows: DataFrame, known: KnownSets, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The keys and postings that rows `(id, features)`, a stored table, add to what is known."""
     fresh = stage(_keys_of(rows).join(known.keys.select("k1", "k2"), ["k1", "k2"], "left_anti"), "new-sets")
-    return fresh.select("k1", "k2", "id"), set_postings(_prefixes_of(rows, fresh, threshold))
+    return fresh.select("k1", "k2", "id"), set_postings(_prefixes_of(rows, fresh, threshold, known.weights))
 
 
 def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -> DataFrame:
@@ -168,7 +176,7 @@ def nearest_known_sets(queries: DataFrame, known: KnownSets, threshold: float) -
     firsts = known.keys.select("k1", "k2", F.col("id").alias("match_id"))
     equal = asked.join(firsts, ["k1", "k2"]).select("k1", "k2", "match_id", F.lit(1.0).alias("similarity"))
     unequal = stage(asked.join(firsts, ["k1", "k2"], "left_anti"), "unequal-sets")
-    mine = stage(set_postings(_prefixes_of(queries, unequal, threshold)), "asked-postings")
+    mine = stage(set_postings(_prefixes_of(queries, unequal, threshold, known.weights)), "asked-postings")
     theirs = stage(known.postings.join(mine.select("f").distinct(), "f", "left_semi"), "met-postings")
     keyed = queries.where("features IS NOT NULL").select("id", *_vector_key(F.col("features")))
     if theirs.isEmpty():
@@ -205,17 +213,32 @@ def _prefix_join(rows: DataFrame, threshold: float, earlier: bool, light_pairs:
     return _match(postings, rows, threshold, earlier, light_pairs)
 
 
+def bucket_counts(sets: DataFrame) -> DataFrame:
+    """`(b, n)`: how many coordinates of `sets` `(features)` fall into each one of BUCKETS."""
+    bucket = F.pmod("f", F.lit(BUCKETS)).alias("b")
+    return sets.select(F.explode("features").alias("f")).groupBy(bucket).agg(F.count("*").alias("n"))
+
+
+def bucket_weights(counts: DataFrame) -> np.ndarray:
+    """The `(b, n)` of `bucket_counts` as one number for each of BUCKETS."""
+    counted = counts.toArrow()
+    weights = np.zeros(BUCKETS, dtype=np.int64)
+    weights[counted.column("b").to_numpy()] = counted.column("n").to_numpy()
+    return weights
+
+
 def _rarest(rows: DataFrame, threshold: float):
     """Function from a set to its prefix, rarest coordinates first.
 
     How frequent a coordinate is, is read off the number of occurrences of all coordinates that fall
     into its one of BUCKETS. Ties and chance meetings change what is compared, not what is found.
     """
-    bucket = F.pmod("f", F.lit(BUCKETS)).alias("b")
-    counted = rows.where("c").select(F.explode("features").alias("f")).groupBy(bucket).agg(F.count("*").alias("n")).toArrow()
-    weight = np.zeros(BUCKETS, dtype=np.int64)
-    weight[counted.column("b").to_numpy()] = counted.column("n").to_numpy()
-    shared = rows.sparkSession.sparkContext.broadcast(weight)
+    return _lightest(rows.sparkSession, bucket_weights(bucket_counts(rows.where("c"))), threshold)
+
+
+def _lightest(spark: SparkSession, weights: np.ndarray, threshold: float):
+    """Function from a set to its prefix, coordinates of the lightest buckets first."""
+    shared = spark.sparkContext.broadcast(weights)
 
     @F.arrow_udf("array<bigint>")
     def prefix(features: pa.Array) -> pa.Array:

@@ -78,3 +78,10 @@ POSTINGS = T.StructType([
     T.StructField("n", T.IntegerType()),
     T.StructField("pos", T.IntegerType()),
 ])
+
+# How often coordinates of either kind fell into each bucket when the first postings were made.
+WEIGHTS = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("b", T.LongType()),
+    T.StructField("n", T.LongType()),
+])

@@ -4,21 +4,23 @@ Layout under one root: `<table>/batch=<n>/attempt=<name>` for the tables article
 postings and runs. An attempt at a batch writes its own folders, its run row last. Readers take, of
 each batch, the attempt whose run row is the newest without failure: a batch is visible whole or not
 at all, and no attempt touches what another has written. Batch 0 holds the first sources.
+`weights` is outside the batches: it is written once, before the first postings, and never again.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from newsloom.operators.dedup import THRESHOLD
-from newsloom.operators.nearest import KnownSets, new_sets
-from newsloom.schema import ARTICLES, POSTINGS, RUNS, SETS, SOURCES
+from newsloom.operators.nearest import KnownSets, bucket_counts, bucket_weights, new_sets
+from newsloom.schema import ARTICLES, POSTINGS, RUNS, SETS, SOURCES, WEIGHTS
 
 FIRST = "first"
 KINDS = {"content": "content_embedding", "general": "embedding"}
@@ -71,13 +73,16 @@ class TableStore:
         return uuid.uuid4().hex
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        wide = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("attempt", T.StringType())])
+        return self._read_as(name, T.StructType(
+            [*schema.fields, T.StructField("batch", T.LongType()), T.StructField("attempt", T.StringType())]))
+
+    def _read_as(self, name: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(wide).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], wide)
+            return self.spark.createDataFrame([], schema)
 
     def _write(self, rows: DataFrame, name: str, batch: int, attempt: str) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}/attempt={attempt}")
@@ -98,7 +103,8 @@ class TableStore:
         valid = self._valid_runs().where("status <> 'failed'").select("batch", "attempt")
         if name == "sources":
             valid = valid.unionByName(self.spark.createDataFrame([(0, FIRST)], "batch bigint, attempt string"))
-        return rows.join(valid, ["batch", "attempt"], "left_semi").drop("attempt")
+        # A row for each batch; the articles must not be shuffled for it.
+        return rows.join(F.broadcast(valid), ["batch", "attempt"], "left_semi").drop("attempt")
 
     def runs(self) -> DataFrame:
         return self._valid_runs().drop("batch", "attempt")
@@ -122,15 +128,34 @@ class TableStore:
     def known_sets(self, before: int | None = None) -> dict[str, KnownSets]:
         """The distinct feature sets of finished batches, by kind."""
         keys, postings = self._visible("sets", SETS, before), self._visible("postings", POSTINGS, before)
-        articles = self.articles(before)
+        articles, weights = self.articles(before), self._weights()
         return {
             kind: KnownSets(
                 keys.where(F.col("kind") == kind).select("k1", "k2", "id"),
                 postings.where(F.col("kind") == kind).select("f", "id", "n", "pos"),
                 articles.where(F.col(vector).isNotNull()).select("id", F.col(vector).alias("features")),
+                weights.get(kind),
             ) for kind, vector in KINDS.items()
         }
 
+    def _weights(self) -> dict[str, np.ndarray]:
+        """The order of coordinates that all postings are made by; none in a store whose postings are in hash order."""
+        rows = self._read_as("weights", WEIGHTS)
+        return {} if rows.isEmpty() else {kind: bucket_weights(rows.where(F.col("kind") == kind)) for kind in KINDS}
+
+    def _fixed_weights(self, articles: DataFrame) -> dict[str, np.ndarray]:
+        """The weights of the store; where nothing was ever posted, those of `articles` become them.
+
+        Any attempt may fix them, finished or not: they rule what postings are compared by, not what is found.
+        """
+        weights = self._weights()
+        if weights or not self._read("postings", POSTINGS).isEmpty():
+            return weights
+        counts = [bucket_counts(articles.select(F.col(vector).alias("features"))).withColumn("kind", F.lit(kind)) for kind, vector in KINDS.items()]
+        # At most a row for each bucket and kind. One file, which is there whole or not at all.
+        counts[0].unionByName(counts[1]).select(*WEIGHTS.fieldNames()).repartition(1).write.mode("overwrite").parquet(f"{self.root}/weights")
+        return self._weights()
+
     def written(self, batch: int, attempt: str) -> DataFrame:
         """Articles of an attempt, whether or not it is finished."""
         return self.spark.read.schema(ARTICLES).parquet(f"{self.root}/articles/batch={batch}/attempt={attempt}")
@@ -140,9 +165,10 @@ class TableStore:
 
     def write_sets(self, articles: DataFrame, known: dict[str, KnownSets], batch: int, attempt: str = "only") -> None:
         """Keys and postings of the feature sets that `articles` add to what is known."""
-        keys, postings = [], []
+        keys, postings, weights = [], [], self._fixed_weights(articles)
         for kind, vector in KINDS.items():
-            new = new_sets(articles.select("id", F.col(vector).alias("features")), known[kind], self.least_threshold)
+            by = replace(known[kind], weights=weights.get(kind))
+            new = new_sets(articles.select("id", F.col(vector).alias("features")), by, self.least_threshold)
             for part, all_ in zip(new, (keys, postings)):
                 all_.append(part.withColumn("kind", F.lit(kind)))
         self._write(keys[0].unionByName(keys[1]).select(*SETS.fieldNames()), "sets", batch, attempt)

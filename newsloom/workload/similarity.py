@@ -9,7 +9,7 @@ from newsloom.operators import admission, dedup, maintenance, nearest
 from newsloom.operators.lsh import lsh_nearest
 from newsloom.operators.vector_index import VectorIndex
 from newsloom.plans import health, report
-from newsloom.session import scratch_path, stage
+from newsloom.session import passing_stages, scratch_path, stage
 from newsloom.workload import views
 from newsloom.workload.catalog import ORACLE, query
 from newsloom.workload.views import WS, table
@@ -250,19 +250,20 @@ def _insert_in_two(spark, sf):
     from newsloom.session import scratch_path
     from newsloom.sources.tables import TableStore
 
-    rows = stage(views.raw_batch(spark, sf), "batch").select(
+    rows = views.raw_batch(spark, sf, written=True).select(
         "ord", "source_id", "title", "url", "author", "published_at", "summary", "full_text",
         F.lit(None).cast("int").alias("word_count"), F.lit("en").alias("language"), F.lit(True).alias("is_clean"))
     half = rows.agg((F.max("ord") / 2).alias("half")).scalar()
     placed = rows.withColumn("late", F.col("ord") > half)
     store, counters = TableStore(spark, scratch_path(spark, "store")), []
     for batch, part in ((1, placed.where("NOT late")), (2, placed.where("late"))):
-        known = store.known_sets(before=batch)
-        added = dedup.dedup_insert(store.articles(before=batch), part.drop("late"), ["ord"], known=known)
-        store.write_articles(added.rows, batch)
-        store.write_sets(store.written(batch, "only"), known, batch)
-        counters.append(stage(added.counters, "counters"))
-        store.write_run(maintenance.run_row(batch, counters[-1], F.current_timestamp(), F.current_timestamp()), batch)
+        with passing_stages(spark):
+            known = store.known_sets(before=batch)
+            added = dedup.dedup_insert(store.articles(before=batch), part.drop("late"), ["ord"], known=known)
+            store.write_articles(added.rows, batch)
+            store.write_sets(store.written(batch, "only"), known, batch)
+            counters.append(stage(added.counters, "counters", lasting=True))
+            store.write_run(maintenance.run_row(batch, counters[-1], F.current_timestamp(), F.current_timestamp()), batch)
     return store, counters
 
 
