@@ -41,6 +41,8 @@ SHELF_ROWS, SHELF_NUMBERS = 32_768, 1 << 23
 # Distances and similarities that a task holds at once (8 bytes each, a few copies).
 HELD_NUMBERS = 1 << 21
 PLACES = 9
+# Blocks of fewer pairs of dense vectors are compared as they are.
+SKETCH_PAIRS = 1 << 21
 
 
 def _vector_key(vector: Column) -> list[Column]:
@@ -601,6 +603,63 @@ def _shelved(cell: np.ndarray, n: np.ndarray, most: int, whole: bool) -> np.ndar
     return shelf
 
 
+def _sketched(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, float] | None:
+    """Short single-precision rows x and y for unit rows a and b, and a limit: where `x @ y.T` is below it, `a @ b.T` is below the threshold.
+
+    The rows are turned to the directions that are longest in a sample of b. The first k numbers are kept, and the length of the
+    rest: by Cauchy and Schwarz two rests add no more than the product of their lengths. The smallest k that rules out
+    nearly all of a sample's pairs is taken, at worst all numbers. The limit allows for all rounding. None where there
+    is little to compare or to rule out.
+    """
+    width = b.shape[1]
+    if len(a) * len(b) < SKETCH_PAIRS:
+        return None
+
+    def some(rows: np.ndarray, n: int) -> np.ndarray:
+        return rows[::-(-len(rows) // n)]
+
+    sample = some(b, 1_024)
+    turn = np.linalg.eigh(sample.T @ sample)[1][:, ::-1]
+    x, y = some(a, 512) @ turn, some(b, 512) @ turn
+    most = (x @ y.T >= threshold).mean()
+    if most > 1 / 32:
+        return None
+    head, k = np.zeros((len(x), len(y))), 0
+    while k < width:
+        head += x[:, k:k + 16] @ y[:, k:k + 16].T
+        k = min(k + 16, width)
+        rest = np.outer(*(np.sqrt((m[:, k:] ** 2).sum(axis=1)) for m in (x, y)))
+        if (head + rest >= threshold).mean() <= most + 2e-4:
+            break
+
+    def short(rows: np.ndarray) -> np.ndarray:
+        out = np.empty((len(rows), k + (k < width)), dtype="float32")
+        for lo in range(0, len(rows), 4_096):
+            out[lo:lo + 4_096, :k] = kept = rows[lo:lo + 4_096] @ turn[:, :k]
+            if k < width:  # never less than the true length of the rest
+                out[lo:lo + 4_096, k] = np.sqrt(np.maximum(1.0 - (kept ** 2).sum(axis=1), 0.0) + 1e-13)
+        return out
+
+    return short(a), short(b), threshold - (k + 16) * 2.0 ** -22
+
+
+def _block_best(q_id, a, c_id, b, threshold, earlier, exclude_self) -> pd.DataFrame:
+    """`_row_best` of unit rows a and b, both in id order: a few rows at once, and only those pairs exactly that sketches don't rule out."""
+    sketch, step, found = _sketched(a, b, threshold), max(1, HELD_NUMBERS // len(b)), []
+    for lo in range(0, len(a), step):
+        rows = np.arange(lo, min(lo + step, len(a)))
+        cols = slice(0, int(np.searchsorted(c_id, q_id[rows[-1]])) if earlier else len(b))
+        if cols.stop and sketch is not None:
+            x, y, limit = sketch
+            bound = x[rows] @ y[cols].T
+            near = bound.max(axis=1) >= limit
+            rows, cols = rows[near], np.flatnonzero((bound[near] >= limit).any(axis=0))
+        if len(rows) and len(c_id[cols]):
+            found.append(_row_best(
+                q_id[rows], c_id[cols], np.round(a[rows] @ b[cols].T, PLACES), threshold, earlier, exclude_self))
+    return pd.concat(found) if found else pd.DataFrame({"id": [], "match_id": [], "similarity": []})
+
+
 def compare_cells(stored: DataFrame, queries: DataFrame, cells: Cells, reach: float, probes: int | None, threshold: float,
                   earlier: bool = False, exclude_self: bool = False) -> DataFrame:
     """The best row of the stored table `(id, vector, cell)` in the cells that each query `(id, vector)` visits.
@@ -640,14 +699,11 @@ def compare_cells(stored: DataFrame, queries: DataFrame, cells: Cells, reach: fl
     def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"id": [], "match_id": [], "similarity": []})
-        c = c.sort_values("id")
+        q, c = q.sort_values("id"), c.sort_values("id")
         a, b = np.stack(q.vector.to_numpy()), np.stack(c.vector.to_numpy())
         a /= np.linalg.norm(a, axis=1, keepdims=True)
         b /= np.linalg.norm(b, axis=1, keepdims=True)
-        q_id, c_id, step = q.id.to_numpy(), c.id.to_numpy(), max(1, HELD_NUMBERS // len(b))
-        return pd.concat([
-            _row_best(q_id[lo:lo + step], c_id, np.round(a[lo:lo + step] @ b.T, PLACES), threshold, earlier, exclude_self)
-            for lo in range(0, len(a), step)])
+        return _block_best(q.id.to_numpy(), a, c.id.to_numpy(), b, threshold, earlier, exclude_self)
 
     keys = ["shelf", "bq", "bc"]
     best = (

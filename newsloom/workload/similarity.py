@@ -365,7 +365,7 @@ def _(spark, sf):
         select id, m, s, row_number() over (partition by id order by s desc, m) as rk from sims where s >= 0.92
           and id in (select id from texts where length(trim(full_text)) >= 50)) where rk = 1""")
 def _(spark, sf):
-    rows = stage(views.dense(spark, sf), "dense").select("id", "vector", dedup.long_enough(F.col("full_text")).alias("asks"))
+    rows = stage(views.dense(spark, sf).select("id", "vector", dedup.long_enough(F.col("full_text")).alias("asks")), "dense")
     return nearest.nearest_earlier_vectors(rows, dedup.THRESHOLD).withColumn("similarity", F.round("similarity", 6))
 
 
